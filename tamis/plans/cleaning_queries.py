@@ -63,12 +63,13 @@ def web_rules(t):
     return noisy.transform(op.cleaner(cl.WEB_RULES))
 
 
-# Outside the tables two rules act; inside nothing does.  The twin hides each table
-# behind a marker, rewrites the rest and puts the (constant) table back.
+# Outside the tables two rules act; inside nothing does.  The twin puts a marker on a
+# line of its own in place of each table, rewrites the rest, and puts the (constant)
+# table back: a stretch of text ends where a table starts.
 @query("cln16_protected_tables", f"""
 WITH s AS (SELECT doc_id, {TABLED} AS x FROM documents),
-m AS (SELECT doc_id, regexp_replace(x, '(?s)<MARKDOWN_TABLE>.*?</MARKDOWN_TABLE>', '@@T@@', 'g') AS y FROM s)
-SELECT doc_id, replace({rx('y', ('&quot;|&#34;', '"'), (r'([^ \n]) {2,}', r'\1 '), (r'(?m) +$', ''))}, '@@T@@',
+m AS (SELECT doc_id, regexp_replace(x, '(?s)<MARKDOWN_TABLE>.*?</MARKDOWN_TABLE>', concat(chr(10), '@@T@@', chr(10)), 'g') AS y FROM s)
+SELECT doc_id, replace({rx('y', *STEPS['double_quote_entity'], *STEPS['spaces'])}, concat(chr(10), '@@T@@', chr(10)),
   concat('<MARKDOWN_TABLE>| a  | &quot;b&quot; |', chr(10), '-----', chr(10), '</MARKDOWN_TABLE>')) AS text FROM m""")
 def protected_tables(t):
     rules = [cl.WEB_RULES_BY_NAME[n] for n in ("double_quote_entity", "spaces")]

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tamis.functions.text import PUNCTUATION_CLASS, byte_count, count_matches, strip, word_count, words
+from tamis.session import pin
 
 # Stop words of the default profile.
 STOP_WORDS = ("של", "את", "על", "הוא", "עם", "בשנת", "גם", "היה", "היא", "לאחר", "לא", "ידי", "בין", "או", "כי")
@@ -321,7 +322,7 @@ def annotate_quality(
         (m["alpha_ratio"] < limit.max_non_alpha_words_ratio, "gopher_below_alpha_threshold"),
         ((limit.min_stop_words > 0) & (m["stop_words"] < limit.min_stop_words), "gopher_enough_stop_words"),
     )
-    out = out.withColumn("filter_reason", F.coalesce(repetition, late))
+    out = pin(out, "filter_reason", F.coalesce(repetition, late))
     out = out.withColumn("filter_group", reason_group(F.col("filter_reason")))
     out = out.withColumn("n_words", F.col("_m_n_words"))
     internal = [c for c in out.columns if c in ("_early", "_words", "_dups") or c.startswith("_m_")]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tamis.functions.text import byte_count, preview, sheet_safe, word_count
 from tamis.operators.sampling import sample_per_group
+from tamis.session import cut_lineage
 
 # Fixed value: the token pattern used where no tokenizer is plugged in.
 TOKEN = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\s\p{L}\p{M}\p{N}]"
@@ -117,13 +118,21 @@ def size_report(annotated: DataFrame, text_col: str = "text") -> DataFrame:
     return out.withColumn("filter_percent", F.round(percent(F.col("removed_bytes"), whole), 6))
 
 
+def reason_totals(annotated: DataFrame) -> DataFrame:
+    """Documents and words by (source, reason), kept documents under a null reason.
+
+    One pass over the documents; the reports below work on its few rows.
+    """
+    return annotated.groupBy("source", "filter_reason").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("n_words").alias("words")
+    )
+
+
 def reason_counts(annotated: DataFrame) -> DataFrame:
     """Count by (source, reason) with its share of all and of dropped documents."""
-    counts = annotated.groupBy("source", "filter_reason").agg(F.count(F.lit(1)).alias("documents"))
-    # One row per (source, reason) reaches this window.
     w = Window.partitionBy("source")
     dropped = F.sum(F.when(F.col("filter_reason").isNotNull(), F.col("documents")).otherwise(0)).over(w)
-    shared = counts.select(
+    shared = reason_totals(annotated).select(
         "source", "filter_reason", "documents",
         (F.col("documents") / F.sum("documents").over(w)).alias("of_total"),
         F.try_divide(F.col("documents"), dropped).alias("of_dropped"),
@@ -134,22 +143,21 @@ def reason_counts(annotated: DataFrame) -> DataFrame:
 def drop_summary(annotated: DataFrame, top: int = 5) -> DataFrame:
     """By source: totals, percentage dropped, words before and after, the most frequent reasons."""
     dropped = F.col("filter_reason").isNotNull()
-    totals = annotated.groupBy("source").agg(
-        F.count(F.lit(1)).alias("total_samples"), F.count_if(dropped).alias("samples_dropped"),
-        F.sum("n_words").alias("words_before"), F.sum(F.when(dropped, 0).otherwise(F.col("n_words"))).alias("words_after"),
+    # Kept documents come last in the order, so the rank counts reasons only.
+    w = Window.partitionBy("source").orderBy(F.col("filter_reason").isNull(), F.desc("documents"), "filter_reason")
+    ranked = reason_totals(annotated).withColumn("_n", F.row_number().over(w))
+    entry = F.when(dropped & (F.col("_n") <= top), F.struct("_n", F.concat_ws(":", "filter_reason", "documents").alias("r")))
+    sums = ranked.groupBy("source").agg(
+        F.sum("documents").alias("total_samples"),
+        F.sum(F.when(dropped, F.col("documents")).otherwise(0)).alias("samples_dropped"),
+        F.sum("words").alias("words_before"), F.sum(F.when(dropped, 0).otherwise(F.col("words"))).alias("words_after"),
+        F.array_sort(F.collect_list(entry)).alias("_r"),
     )
-    w = Window.partitionBy("source").orderBy(F.desc("documents"), "filter_reason")
-    ranked = reason_counts(annotated).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= top)
-    named = ranked.groupBy("source").agg(
-        F.array_sort(F.collect_list(F.struct("_n", F.concat_ws(":", "filter_reason", "documents").alias("r")))).alias("_r")
-    )
-    tops = named.select("source", F.array_join(F.transform("_r", lambda s: s["r"]), ",").alias("top_reasons"))
-    joined = totals.join(tops, "source", "left")
-    return joined.select(
+    return sums.select(
         "source", "total_samples", "samples_dropped",
         F.round(percent(F.col("samples_dropped"), F.col("total_samples")), 6).alias("drop_percentage"),
         "words_before", "words_after", (F.col("words_before") - F.col("words_after")).alias("words_dropped"),
-        F.coalesce("top_reasons", F.lit("")).alias("top_reasons"),
+        F.array_join(F.transform("_r", lambda s: s["r"]), ",").alias("top_reasons"),
     )
 
 
@@ -182,10 +190,14 @@ def removed_examples(annotated: DataFrame, per_reason: int = 30, seed: int = 42,
 
 
 def reason_evidence(annotated: DataFrame, per_reason: int = 20, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """Sampled removed documents with the share of all documents their reason accounts for."""
-    removed = annotated.where(F.col("filter_reason").isNotNull())
+    """Sampled removed documents with the share of all documents their reason accounts for.
+
+    The gates run once: their verdicts, without the texts, are kept for both uses.
+    """
+    verdicts = cut_lineage(annotated.select(id_col, "source", "filter_reason", "n_words"))
+    removed = verdicts.where(F.col("filter_reason").isNotNull())
     picked = sample_per_group(removed, ["source", "filter_reason"], id_col, per_reason, seed)
-    shares = reason_counts(annotated).select("source", "filter_reason", F.col("of_total").alias("reason_filter_prob"))
+    shares = reason_counts(verdicts).select("source", "filter_reason", F.col("of_total").alias("reason_filter_prob"))
     return picked.select("source", "filter_reason", id_col).join(shares, ["source", "filter_reason"])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Settings the operators assume.  They change plans, never results.
 RECOMMENDED = {
@@ -55,3 +55,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def pin(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a column whose expression later operators cannot take apart.
+
+    A long CASE would be copied into every filter, key and inferred constraint that
+    mentions it.  Behind a one-element generator it is computed once per row and all
+    that follows sees a plain column.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.inline(F.array(F.struct(column.alias(name)))))

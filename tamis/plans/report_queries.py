@@ -162,7 +162,7 @@ def top_reasons(t):
 
 
 @query("jon11_reason_evidence", f"""
-WITH {ANNOTATED}, c AS (SELECT source, filter_reason, count(*) / sum(count(*)) OVER (PARTITION BY source) AS p FROM annotated GROUP BY ALL),
+WITH {ANNOTATED}, c AS (SELECT source, filter_reason, n / sum(n) OVER (PARTITION BY source) AS p FROM (SELECT source, filter_reason, count(*) AS n FROM annotated GROUP BY ALL)),
 e AS (SELECT source, filter_reason, doc_id FROM annotated WHERE filter_reason IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY source, filter_reason ORDER BY md5(concat_ws('|', '42', doc_id)), doc_id) <= 3)
 SELECT source, filter_reason, doc_id, round(p, 6) AS reason_filter_prob FROM e JOIN c USING (source, filter_reason)""")

@@ -12,9 +12,17 @@ from tamis.operators.cleaning import rule_examples
 from tamis.session import pin
 
 
-def article_text(c: Column) -> Column:
-    rules = [r for group in w.ARTICLE_RULES.values() for r in group]
-    return apply_rules(c, rules)
+def with_article_text(df: DataFrame, text_col: str) -> DataFrame:
+    """Apply the article rules, one projection per part.
+
+    Table conversion mentions its input several times; what comes before it must be
+    a column by then, or it would be computed as often.
+    """
+    groups = list(w.ARTICLE_RULES.values())
+    at = list(w.ARTICLE_RULES).index("tables")
+    for part in (groups[:at], groups[at : at + 1], groups[at + 1 :]):
+        df = df.withColumn(text_col, apply_rules(F.col(text_col), [r for g in part for r in g]))
+    return df
 
 
 def clean_articles(df: DataFrame, text_col: str = "text", min_length: int = 100, redirects: bool = True) -> DataFrame:
@@ -24,8 +32,8 @@ def clean_articles(df: DataFrame, text_col: str = "text", min_length: int = 100,
     """
     raw = F.col(text_col)
     redirect = w.is_redirect(raw) if redirects else F.lit(False)
-    out = df.withColumn("_redirect", redirect)
-    out = pin(out, text_col, article_text(raw))
+    out = with_article_text(df.withColumn("_redirect", redirect), text_col)
+    out = pin(out, text_col, F.col(text_col))
     short = F.length(text_col) < min_length
     out = out.withColumn("reject_reason", F.when(F.col("_redirect"), "redirect").when(short, "too_short")).drop("_redirect")
     return out.withColumns({"word_count": word_count(F.col(text_col)), "byte_count": byte_count(F.col(text_col))})

@@ -132,30 +132,35 @@ def _repeated(items: Column) -> tuple[Column, Column]:
     return F.size(items) - F.size(distinct), chars
 
 
-def measures(text: Column, t: Thresholds) -> dict[str, Column]:
-    """Every per-document measure except the n-gram ones."""
-    # A word is caught at its start only, so long runs of one kind stay linear.
-    real_word = rf"(?<!\S)[{PUNCTUATION_CLASS}]*+[^\s{PUNCTUATION_CLASS}]\S*"
-    symbol_word = rf"(?<!\S)[{PUNCTUATION_CLASS}]++(?!\S)"
-    n_words = word_count(text)
-    n_real = count_matches(text, real_word)
+def base_counts(text: Column, t: Thresholds) -> dict[str, Column]:
+    """Counts that several measures share; as columns of their own they are taken once."""
+    return {
+        "n_words": word_count(text),
+        # A match starts at the first character of the kind and takes the rest of the word.
+        "n_real_words": count_matches(text, rf"[^\s{PUNCTUATION_CLASS}]\S*"),
+        "newlines": F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
+        "solid": F.regexp_extract_all(text, F.lit(r"(?md)^[^\S\n]*+\S[^\n]*"), F.lit(0)),
+        "runs": F.split(text, r"\n+", -1),
+    }
+
+
+def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str, Column]:
+    """Every per-document measure except the n-gram ones, from the text and its base counts."""
+    symbol_word = rf"(?:^|\s)[{PUNCTUATION_CLASS}]+(?=\s|$)"
     real_chars = F.length(F.regexp_replace(F.regexp_replace(text, symbol_word, ""), r"\s+", ""))
-    newlines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    n_words, newlines, solid, runs = base["n_words"], base["newlines"], base["solid"], base["runs"]
     n_lines = newlines + F.when(text.endswith("\n"), 0).otherwise(1)
-    solid_line = r"(?md)^[^\S\n]*+\S[^\n]*"
-    solid_lines = F.regexp_extract_all(text, F.lit(solid_line), F.lit(0))
-    n_solid = F.size(solid_lines)
+    n_solid = F.size(solid)
     paragraphs = F.split(strip(text), r"\n{2,}", -1)
-    runs = F.split(text, r"\n+", -1)
     dup_para, dup_para_chars = _repeated(paragraphs)
     dup_line, dup_line_chars = _repeated(runs)
-    _, dup_solid_chars = _repeated(solid_lines)
+    _, dup_solid_chars = _repeated(solid)
     stops = "|".join(re.escape(w) for w in t.stop_words)
     ends = re.escape(t.stop_characters)
     return {
         "n_words": n_words,
-        "n_real_words": n_real,
-        "mean_word_length": share(real_chars, n_real),
+        "n_real_words": base["n_real_words"],
+        "mean_word_length": share(real_chars, base["n_real_words"]),
         "dup_para_frac": share(dup_para, F.size(paragraphs)),
         "dup_para_char_frac": share(dup_para_chars, F.length(text)),
         "dup_line_frac": share(dup_line, F.size(runs)),
@@ -167,15 +172,19 @@ def measures(text: Column, t: Thresholds) -> dict[str, Column]:
         ),
         "char_dup_ratio": share(dup_solid_chars, F.length(text) - newlines),
         "list_ratio": share(newlines, n_words),
-        "hash_ratio": share(count_matches(text, "#"), n_words),
+        "hash_ratio": share(F.length(text) - F.length(F.replace(text, F.lit("#"), F.lit(""))), n_words),
         "ellipsis_ratio": share(count_matches(text, r"\.\.\.|…"), n_words),
         "bullet_ratio": share(count_matches(text, r"(?md)^[^\S\n]*+[•\-]"), n_lines),
         "ellipsis_line_ratio": share(count_matches(text, r"(?md)(?:\.\.\.|…)[^\S\n]*$"), n_lines),
-        "alpha_ratio": share(count_matches(text, r"(?<!\S)[^\s\p{L}]*+\p{L}\S*"), n_words),
+        "alpha_ratio": share(count_matches(text, r"\p{L}\S*"), n_words),
         "stop_words": count_matches(text, rf"(?<!\S)(?:{stops})(?!\S)") if stops else F.lit(0).cast("long"),
     }
 
 
+def measures(text: Column, t: Thresholds) -> dict[str, Column]:
+    return ratios(text, base_counts(text, t), t)
+
+
 def n_grams(word_array: Column, n: int) -> Column:
     """Blank-joined n-grams of a word array; empty when there are fewer than n words."""
     count = F.greatest(F.size(word_array) - (n - 1), F.lit(0))
@@ -278,8 +287,11 @@ def annotate_quality(
     t = thresholds or Thresholds()
     limit = Limits(t, DEFAULT_OVERRIDES if overrides is None else overrides, F.col(source_col) if source_col else None)
     text = F.col(text_col)
-    m = {k: F.col(f"_m_{k}") for k in measures(text, t)}
-    out = df.withColumns({f"_m_{k}": c for k, c in measures(text, t).items()})
+    base = base_counts(text, t)
+    out = df.withColumns({f"_b_{k}": c for k, c in base.items()})
+    derived = ratios(text, {k: F.col(f"_b_{k}") for k in base}, t)
+    out = out.withColumns({f"_m_{k}": c for k, c in derived.items()})
+    m = {k: F.col(f"_m_{k}") for k in derived}
 
     early = _first(
         (m["n_real_words"] < limit.min_doc_words, "gopher_short_doc"),
@@ -325,10 +337,10 @@ def annotate_quality(
     out = pin(out, "filter_reason", F.coalesce(repetition, late))
     out = out.withColumn("filter_group", reason_group(F.col("filter_reason")))
     out = out.withColumn("n_words", F.col("_m_n_words"))
-    internal = [c for c in out.columns if c in ("_early", "_words", "_dups") or c.startswith("_m_")]
+    internal = [c for c in out.columns if c in ("_early", "_words", "_dups") or c.startswith(("_m_", "_b_"))]
     if not keep_measures:
         return out.drop(*internal)
-    out = out.drop("_early", "_words", "_dups", "_m_n_words")
+    out = out.drop("_early", "_words", "_dups", "_m_n_words", *[c for c in internal if c.startswith("_b_")])
     return out.withColumnsRenamed({c: c[3:] for c in out.columns if c.startswith("_m_")})
 
 

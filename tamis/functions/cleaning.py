@@ -38,21 +38,21 @@ def _web(name: str, pattern: str | None = None, replacement: str = "", **kw) ->
 
 
 WEB_RULES = [
-    _web("double_quote_entity", r"&quot;|&#34;", '"'),
-    _web("apostrophe_entity", r"&#39;", "'"),
-    _web("style_block", r"<style[^>]*>[^<]*</style>"),
-    _web("html_tag", rf"</?(?:{HTML_TAGS})\b[^>]*>"),
+    _web("double_quote_entity", r"&quot;|&#34;", '"', needs=("&quot;", "&#34;")),
+    _web("apostrophe_entity", r"&#39;", "'", needs=("&#39;",)),
+    _web("style_block", r"<style[^>]*>[^<]*</style>", needs=("<style",)),
+    _web("html_tag", rf"</?(?:{HTML_TAGS})\b[^>]*>", needs=("<",)),
     _web("blank_line", r"(?md)^[ \t]+$"),
-    _web("carriage_return", r"\r\n?", "\n"),
-    _web("newline_run", r"\n{4,}", "\n\n\n"),
-    _web("spaces", r" {2,}|(?md) +$", function=fold_spaces),
+    _web("carriage_return", r"\r\n?", "\n", needs=("\r",)),
+    _web("newline_run", r"\n{4,}", "\n\n\n", needs=("\n\n\n\n",)),
+    _web("spaces", r" {2,}|(?md) +$", function=fold_spaces, needs=("  ", " \n", "\n ")),
     _web("ip_address", PUBLIC_IP, "<IP>"),
-    _web("email", EMAIL, "<EMAIL>"),
+    _web("email", EMAIL, "<EMAIL>", needs=("@",)),
     _web("separator_line", SEPARATOR_LINE),
     _web("vowel_points", r"[\u0591-\u05BD\u05BF-\u05C7]"),
-    _web("no_break_space", r"\u00A0", " "),
+    _web("no_break_space", r"\u00A0", " ", needs=("\u00A0",)),
     _web("direction_mark", r"[\u200E\u200F\u202A-\u202F]"),
-    Rule("table_tag", r"</?MARKDOWN_TABLE>"),
+    Rule("table_tag", r"</?MARKDOWN_TABLE>", needs=("MARKDOWN_TABLE",)),
 ]
 WEB_RULES_BY_NAME = {r.name: r for r in WEB_RULES}
 

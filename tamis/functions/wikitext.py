@@ -129,54 +129,54 @@ def headings_to_markdown(c: Column) -> Column:
 
 
 MASK_PERSONAL_DATA = [
-    Rule("email", EMAIL, "[EMAIL_REMOVED]"),
+    Rule("email", EMAIL, "[EMAIL_REMOVED]", needs=("@",)),
     Rule("ip_address", rf"(?!\b{LOOPBACK}){IP_ADDRESS}", "[IP_REMOVED]"),
 ]
 
-DROP_TEMPLATES = [Rule(f"template_pass_{i}", r"\{\{[^{}]*\}\}") for i in range(1, 6)]
+DROP_TEMPLATES = [Rule(f"template_pass_{i}", r"\{\{[^{}]*\}\}", needs=("{{",)) for i in range(1, 6)]
 
 UNWRAP_MARKUP = DROP_TEMPLATES + [
-    Rule("piped_link", r"\[\[([^|\]]+)\|([^\]]+)\]\]", "$2"),
-    Rule("plain_link", r"\[\[([^\]]+)\]\]", "$1"),
-    Rule("tag", r"<[^>]*>"),
-    Rule("double_comma", r",\s*,", ","),
-    Rule("comma_before_bracket", r",\s*\]", "]"),
-    Rule("comma_after_bracket", r"\[\s*,", "["),
+    Rule("piped_link", r"\[\[([^|\]]+)\|([^\]]+)\]\]", "$2", needs=("[[",)),
+    Rule("plain_link", r"\[\[([^\]]+)\]\]", "$1", needs=("[[",)),
+    Rule("tag", r"<[^>]*>", needs=("<",)),
+    Rule("double_comma", r",\s*,", ",", needs=(",",)),
+    Rule("comma_before_bracket", r",\s*\]", "]", needs=("]",)),
+    Rule("comma_after_bracket", r"\[\s*,", "[", needs=("[",)),
     Rule("blank_run", r"[ \t]+", " "),
-    Rule("leading_comma", r"(?md)^\s*,\s*"),
-    Rule("trailing_comma", r"(?md)\s*,\s*$"),
+    Rule("leading_comma", r"(?md)^\s*,\s*", needs=(",",)),
+    Rule("trailing_comma", r"(?md)\s*,\s*$", needs=(",",)),
 ]
 
 CITATIONS = [
-    Rule("ref", r"(?is)<ref[^>]*>.*?</ref>"),
-    Rule("empty_ref", r"(?is)<ref[^>]*/>"),
-    Rule("cite", r"(?is)\{\{cite[^}]*\}\}"),
-    Rule("note", r"(?isu)\{\{(?:צ-|הערה|מקור)[^}]*\}\}"),
+    Rule("ref", r"(?is)<ref[^>]*>.*?</ref>", needs=("<",)),
+    Rule("empty_ref", r"(?is)<ref[^>]*/>", needs=("<",)),
+    Rule("cite", r"(?is)\{\{cite[^}]*\}\}", needs=("{{",)),
+    Rule("note", r"(?isu)\{\{(?:צ-|הערה|מקור)[^}]*\}\}", needs=("{{",)),
 ]
 
 _PLACED = _any(PLACEMENT_WORDS)
 
 # A bar that closes one match opens the next, so it is looked at and not consumed.
 MEDIA = [
-    Rule("media_link", rf"(?isu)\[\[{_any(MEDIA_NAMESPACES)}:[^\]]*\]\]"),
-    Rule("placement", rf"(?imdU)\|{_PLACED}\b[^|]*(?=\|)"),
-    Rule("leading_placement", rf"(?imdU)(?:^|\s){_PLACED}(?=\|)"),
-    Rule("trailing_placement", rf"(?imdU)\|{_PLACED}(?:$|\s)", "|"),
+    Rule("media_link", rf"(?isu)\[\[{_any(MEDIA_NAMESPACES)}:[^\]]*\]\]", needs=("[[",)),
+    Rule("placement", rf"(?imdU)\|{_PLACED}\b[^|]*(?=\|)", needs=("|",)),
+    Rule("leading_placement", rf"(?imdU)(?:^|\s){_PLACED}(?=\|)", needs=("|",)),
+    Rule("trailing_placement", rf"(?imdU)\|{_PLACED}(?:$|\s)", "|", needs=("|",)),
     Rule("size", r"(?i)\b\d+px\b"),
-    Rule("boxed_size", r"(?i)\|\d+px(?:\||\b)"),
+    Rule("boxed_size", r"(?i)\|\d+px(?:\||\b)", needs=("|",)),
     Rule("two_sided_size", r"(?i)\|?\b\d+x\d+px\b\|?"),
-    Rule("width_or_height", r"""(?i)(?:width|height)\s*=\s*["']?\d+["']?"""),
-    Rule("caption", rf"(?iu)\([^)]*{_any(MEDIA_TERMS)}[^)]*\)"),
-    Rule("parameter", rf"(?i)\|{_any(PICTURE_PARAMETERS)}\s*=[^|]*"),
-    Rule("see_hebrew", rf"(?iu){_any(SEE_HEBREW)} [A-Za-z\s,א-ת.:\-]+"),
+    Rule("width_or_height", r"""(?i)(?:width|height)\s*=\s*["']?\d+["']?""", needs=("=",)),
+    Rule("caption", rf"(?iu)\([^)]*{_any(MEDIA_TERMS)}[^)]*\)", needs=("(",)),
+    Rule("parameter", rf"(?i)\|{_any(PICTURE_PARAMETERS)}\s*=[^|]*", needs=("|",)),
+    Rule("see_hebrew", rf"(?iu){_any(SEE_HEBREW)} [A-Za-z\s,א-ת.:\-]+", needs=("ראו ", "ראה ")),
     Rule("see_english", rf"(?i){_any(SEE_ENGLISH)} [A-Za-z\s,.:\-]+"),
     Rule("see_also_line", r"(?imud)^\s*(?:(?:ראו גם|see also)\s*:*.*|ראה גם\s*:*\s*)$"),
-    Rule("gallery", r"(?is)<gallery[^>]*>.*?</gallery>"),
-    Rule("gallery_template", r"(?is)\{\{gallery[^}]*\}\}"),
-    Rule("image_map", r"(?is)<imagemap[^>]*>.*?</imagemap>"),
-    Rule("bar_pair", r"\|\s*\|", "|"),
-    Rule("leading_bar", r"(?md)^\|"),
-    Rule("trailing_bar", r"(?md)\|\s*$"),
+    Rule("gallery", r"(?is)<gallery[^>]*>.*?</gallery>", needs=("<",)),
+    Rule("gallery_template", r"(?is)\{\{gallery[^}]*\}\}", needs=("{{",)),
+    Rule("image_map", r"(?is)<imagemap[^>]*>.*?</imagemap>", needs=("<",)),
+    Rule("bar_pair", r"\|\s*\|", "|", needs=("|",)),
+    Rule("leading_bar", r"(?md)^\|", needs=("|",)),
+    Rule("trailing_bar", r"(?md)\|\s*$", needs=("|",)),
     Rule("blank_lines", r"\n\s*\n\s*\n", "\n\n"),
     Rule("newline_run", r"\n{4,}", "\n\n\n"),
     Rule("blank_run", r"[ \t]+", " "),
@@ -189,23 +189,23 @@ DROP_BULLET_LINES = Rule("bullet_line", function=_drop_lines(r"^[•●■◦▪
 DROP_SEPARATOR_LINES = Rule(
     "separator_line", function=_drop_lines("^(?:" + "|".join(f"[{ch}]{{4,}}" for ch in SEPARATORS) + ")$")
 )
-DROP_TABLE_ATTRIBUTES = Rule("table_attribute", rf'{_any(TABLE_ATTRIBUTES)}="[^"]*"')
+DROP_TABLE_ATTRIBUTES = Rule("table_attribute", rf'{_any(TABLE_ATTRIBUTES)}="[^"]*"', needs=("=\"",))
 
 # Article cleaning in order; citations and media go before general markup.
 ARTICLE_RULES: dict[str, list[Rule]] = {
-    "html_escape_codes": [Rule("double_quote", r"&quot;|&#34;", '"'), Rule("apostrophe", r"&#39;", "'")],
-    "cr_and_3_newlines": [Rule("carriage_return", r"\r"), Rule("newline_run", r"\n{4,}", "\n\n\n")],
-    "multiple_spaces": [Rule("space_run", r" {2,}", function=shrink_space_runs)],
+    "html_escape_codes": [Rule("double_quote", r"&quot;|&#34;", '"', needs=("&quot;", "&#34;")), Rule("apostrophe", r"&#39;", "'", needs=("&#39;",))],
+    "cr_and_3_newlines": [Rule("carriage_return", r"\r", needs=("\r",)), Rule("newline_run", r"\n{4,}", "\n\n\n")],
+    "multiple_spaces": [Rule("space_run", r" {2,}", function=shrink_space_runs, needs=("  ",))],
     "start_end_white_space": [Rule("strip", function=strip)],
     "PII": MASK_PERSONAL_DATA,
     "empty_line_with_bullet": [DROP_BULLET_LINES],
     "multiple_hyphens": [DROP_SEPARATOR_LINES],
     "CSS": [DROP_TABLE_ATTRIBUTES],
-    "tables": [Rule("table", function=tables_to_markdown)],
+    "tables": [Rule("table", function=tables_to_markdown, needs=("{|",))],
     "wiki_citations": CITATIONS,
     "wiki_tags_and_media_descriptions": MEDIA,
     "wiki_markup": UNWRAP_MARKUP,
-    "wiki_headers": [Rule("heading", function=headings_to_markdown)],
+    "wiki_headers": [Rule("heading", function=headings_to_markdown, needs=("==",))],
 }
 
 # Short form used before training: tables as lists, leftovers dropped.
@@ -213,12 +213,12 @@ LEFTOVER_RULES = [
     Rule("table", function=tables_to_lists),
     Rule("template", r"\{\{[^}]*\}\}"),
     Rule("link", r"\[\[[^\]]*\]\]"),
-    Rule("tag", r"<[^>]*>"),
+    Rule("tag", r"<[^>]*>", needs=("<",)),
     Rule("placement_line", r"(?mud)^\s*(?:שמאל|ימין|מרכז|ממוזער)\|.*$"),
     *[Rule(f"foreign_{i}", rf"(?d)\({w}:.*?\)") for i, w in enumerate(FOREIGN_LANGUAGES)],
     Rule("see", r"ראו [A-Za-z\s,]+\."),
     Rule("newline_run", r"\n{3,}", "\n\n"),
-    Rule("space_run", r" {2,}", " "),
+    Rule("space_run", r" {2,}", " ", needs=("  ",)),
     Rule("heading_line", r"(?md)^\s*=+.*?=+\s*$"),
 ]
 

@@ -6,23 +6,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tamis.functions import wikitext as w
 from tamis.functions.cleaning import ocr_elements_to_text
-from tamis.functions.rules import Rule, apply_rules
+from tamis.functions.rules import Rule, apply_rules, rewrite_column
 from tamis.functions.text import byte_count, flatten_for_training, matches_title, preview, title_line, word_count
 from tamis.operators.cleaning import rule_examples
 from tamis.session import pin
 
 
-def with_article_text(df: DataFrame, text_col: str) -> DataFrame:
-    """Apply the article rules, one projection per part.
-
-    Table conversion mentions its input several times; what comes before it must be
-    a column by then, or it would be computed as often.
-    """
-    groups = list(w.ARTICLE_RULES.values())
-    at = list(w.ARTICLE_RULES).index("tables")
-    for part in (groups[:at], groups[at : at + 1], groups[at + 1 :]):
-        df = df.withColumn(text_col, apply_rules(F.col(text_col), [r for g in part for r in g]))
-    return df
+ARTICLE_STEPS = [r for group in w.ARTICLE_RULES.values() for r in group]
 
 
 def clean_articles(df: DataFrame, text_col: str = "text", min_length: int = 100, redirects: bool = True) -> DataFrame:
@@ -32,7 +22,7 @@ def clean_articles(df: DataFrame, text_col: str = "text", min_length: int = 100,
     """
     raw = F.col(text_col)
     redirect = w.is_redirect(raw) if redirects else F.lit(False)
-    out = with_article_text(df.withColumn("_redirect", redirect), text_col)
+    out = rewrite_column(df.withColumn("_redirect", redirect), text_col, ARTICLE_STEPS)
     out = pin(out, text_col, F.col(text_col))
     short = F.length(text_col) < min_length
     out = out.withColumn("reject_reason", F.when(F.col("_redirect"), "redirect").when(short, "too_short")).drop("_redirect")

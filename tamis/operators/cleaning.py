@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tamis.functions.cleaning import insert_at
 from tamis.functions.hashing import stable_rank_key
-from tamis.functions.rules import Rule, apply_rules
+from tamis.functions.rules import Rule, rewrite_column
 from tamis.functions.text import edit_distance_ratio, strip, word_count, words
 
 Step = Callable[[DataFrame], DataFrame]
@@ -23,7 +23,8 @@ def compose(steps: Iterable[Step]) -> Step:
 
 def clean_text(df: DataFrame, rules: Sequence[Rule], text_col: str = "text") -> DataFrame:
     """Apply a rule set, strip, and recount ``n_words``."""
-    out = df.withColumn(text_col, strip(apply_rules(F.col(text_col), rules)))
+    out = rewrite_column(df, text_col, rules)
+    out = out.withColumn(text_col, strip(F.col(text_col)))
     return out.withColumn("n_words", word_count(F.col(text_col)))
 
 

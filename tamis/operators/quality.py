@@ -223,42 +223,46 @@ def top_n_gram_chars(word_array: Column, n: int) -> Column:
 _WORD = re.compile(r"\S+", re.ASCII)
 
 
-def repeated_n_gram_chars(text: str, sizes: list[int]) -> list[int]:
-    """Characters in n-grams seen before, scanning left to right and jumping over each hit."""
+def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
+    """Per top size: count times length of the most frequent n-gram (longest among equals).
+    Per dup size: characters in n-grams seen before, left to right, jumping over each hit.
+    """
     found = _WORD.findall(text)
-    out = dict.fromkeys(sizes, 0)
-    if len(found) > min(sizes):
-        seen: dict[str, int] = {}
-        ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
-        ends = np.concatenate([[0], np.cumsum([len(w) for w in found])])
-        codes = ids
-        for n in range(2, max(sizes) + 1):
-            if len(codes) < 2:
-                break
+    tops, dups = dict.fromkeys(top_sizes, 0), dict.fromkeys(dup_sizes, 0)
+    seen: dict[str, int] = {}
+    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in found], dtype=np.int64)])
+    codes, repeats = ids, True
+    for n in range(2, min(len(found), max([*tops, *dups], default=0)) + 1):
+        lengths = ends[n:] - ends[:-n]
+        if repeats:
             # Number the n-grams exactly: (n-1)-gram number and last word decide it.
-            distinct, codes = np.unique(codes[:-1] * len(seen) + ids[n - 1:], return_inverse=True)
-            if len(distinct) == len(codes):
-                break  # nothing repeats, so nothing longer does
-            if n in out:
-                visited, i, chars = set(), 0, 0
-                row = codes.tolist()
-                while i < len(row):
-                    if row[i] in visited:
-                        chars += int(ends[i + n] - ends[i])
-                        i += n
-                    else:
-                        visited.add(row[i])
-                        i += 1
-                out[n] = chars
-    return [out[n] for n in sizes]
-
-
-def repeated_n_grams(sizes: list[int]):
-    """Arrow UDF ``text -> array`` of repeated characters, one entry per size; null stays null."""
+            distinct, codes, counts = np.unique(codes[:-1] * len(seen) + ids[n - 1:], return_inverse=True, return_counts=True)
+            repeats = len(distinct) < len(codes)  # when nothing repeats, nothing longer does
+        if n in tops:
+            best = int(counts.max()) if repeats else 1
+            of_best = lengths[counts[codes] == best] if repeats else lengths
+            tops[n] = best * (int(of_best.max()) + n - 1)
+        if n in dups and repeats:
+            visited, at, chars = set(), 0, 0
+            row = codes.tolist()
+            while at < len(row):
+                if row[at] in visited:
+                    chars += int(lengths[at])
+                    at += n
+                else:
+                    visited.add(row[at])
+                    at += 1
+            dups[n] = chars
+    return [*tops.values(), *dups.values()]
+
+
+def n_gram_scan(top_sizes: list[int], dup_sizes: list[int]):
+    """Arrow UDF ``text -> array``: the top sizes first, then the dup sizes; null stays null."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def scan(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda v: None if v is None else repeated_n_gram_chars(v, sizes))
+        return texts.map(lambda v: None if v is None else n_gram_chars(v, top_sizes, dup_sizes))
 
     return scan
 
@@ -301,20 +305,23 @@ def annotate_quality(
         (m["dup_line_char_frac"] > limit.dup_line_char_frac, "dup_line_char_frac"),
     )
     out = out.withColumn("_early", early)
-    out = out.withColumn("_words", F.when(F.col("_early").isNull(), words(text)))
     top_sizes, dup_sizes = limit.sizes("top_n_grams"), limit.sizes("dup_n_grams")
-    out = out.withColumns({f"_m_top_{n}_gram": share(top_n_gram_chars(F.col("_words"), n), F.length(text)) for n in top_sizes})
-    if top_sizes:
-        over = [(F.col(f"_m_top_{n}_gram") > limit.n_gram("top_n_grams", n), f"top_{n}_gram") for n in top_sizes]
-        out = out.withColumn("_early", F.coalesce(F.col("_early"), _first(*over)))
-    repetition = F.col("_early")
+    top_share = {n: F.col(f"_m_top_{n}_gram") for n in top_sizes}
+    dup_share = {n: F.col(f"_m_dup_{n}_gram") for n in dup_sizes}
     if dup_sizes:
-        out = out.withColumn("_dups", repeated_n_grams(dup_sizes)(F.when(F.col("_early").isNull(), text)))
-        out = out.withColumns(
-            {f"_m_dup_{n}_gram": share(F.col("_dups")[i], F.length(text)) for i, n in enumerate(dup_sizes)}
-        )
-        over = [(F.col(f"_m_dup_{n}_gram") > limit.n_gram("dup_n_grams", n), f"duplicated_{n}_n_grams") for n in dup_sizes]
-        repetition = F.coalesce(repetition, _first(*over))
+        # Texts go to Python for the order-dependent scan, which numbers the short
+        # n-grams on its way, so their counts come from there too.
+        out = out.withColumn("_grams", n_gram_scan(top_sizes, dup_sizes)(F.when(F.col("_early").isNull(), text)))
+        names = [f"_m_top_{n}_gram" for n in top_sizes] + [f"_m_dup_{n}_gram" for n in dup_sizes]
+        out = out.withColumns({name: share(F.col("_grams")[i], F.length(text)) for i, name in enumerate(names)})
+    elif top_sizes:
+        out = out.withColumn("_words", F.when(F.col("_early").isNull(), words(text)))
+        out = out.withColumns({f"_m_top_{n}_gram": share(top_n_gram_chars(F.col("_words"), n), F.length(text)) for n in top_sizes})
+    repetition = F.coalesce(
+        F.col("_early"),
+        *[F.when(top_share[n] > limit.n_gram("top_n_grams", n), f"top_{n}_gram") for n in top_sizes],
+        *[F.when(dup_share[n] > limit.n_gram("dup_n_grams", n), f"duplicated_{n}_n_grams") for n in dup_sizes],
+    )
     lines_low = (m["line_punct_ratio"] < limit.line_punct_thr) & ~(
         (m["line_punct_ratio"] == 0) & F.lit(t.line_punct_exclude_zero)
     )
@@ -337,10 +344,10 @@ def annotate_quality(
     out = pin(out, "filter_reason", F.coalesce(repetition, late))
     out = out.withColumn("filter_group", reason_group(F.col("filter_reason")))
     out = out.withColumn("n_words", F.col("_m_n_words"))
-    internal = [c for c in out.columns if c in ("_early", "_words", "_dups") or c.startswith(("_m_", "_b_"))]
+    internal = [c for c in out.columns if c in ("_early", "_words", "_grams") or c.startswith(("_m_", "_b_"))]
     if not keep_measures:
         return out.drop(*internal)
-    out = out.drop("_early", "_words", "_dups", "_m_n_words", *[c for c in internal if c.startswith("_b_")])
+    out = out.drop("_early", "_words", "_grams", "_m_n_words", *[c for c in internal if c.startswith("_b_")])
     return out.withColumnsRenamed({c: c[3:] for c in out.columns if c.startswith("_m_")})
 
 

@@ -24,9 +24,15 @@ WIKI_PAGE = T.StructType([
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Readable rows, and the unreadable lines for a report."""
+    """Readable rows, and the unreadable lines for a report.
+
+    Lines are parsed here and not by the JSON source, which refuses to hand out the
+    unreadable ones by themselves.
+    """
     with_bad = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(with_bad).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
+    rows = lines.select(F.from_json("value", with_bad, options).alias("r")).select("r.*")
     return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
@@ -137,12 +143,12 @@ def read_wiki_dump(spark: SparkSession, path: str, min_length: int = 0) -> DataF
 
 def read_book_tree(spark: SparkSession, root: str) -> DataFrame:
     """``path, text``: each file below the folder whole."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root)
+    files = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def read_labelled_files(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return parse_labelled_blocks(files)
 
 
@@ -169,7 +175,7 @@ def eval_run_rows(files: DataFrame) -> DataFrame:
 
 
 def read_eval_runs(spark: SparkSession, root: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
     return eval_run_rows(files.select(F.col("_metadata.file_path").alias("path"), "value"))
 
 

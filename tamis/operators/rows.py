@@ -53,6 +53,26 @@ def running_total(
     )
 
 
+def previous_value(df: DataFrame, key: str, value: str, name: str, groups: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``name``: the value of the row before in the group, by ``key`` (unique, orderable).
+
+    Inside a range the window looks back; the first row of a range takes the last
+    value of the nearest earlier range.
+    """
+    groups = groups or []
+    placed = df.withColumn("_range", _range_of(df, key, buckets))
+    by = [*groups, "_range"]
+    ends = placed.groupBy(*by).agg(F.max_by(F.struct(F.col(value).alias("v")), key).alias("_end"))
+    carried = F.lag("_end").over(Window.partitionBy(*groups).orderBy("_range"))
+    right = ends.select(*by, carried.alias("_carried")).withColumnsRenamed({c: f"_o_{c}" for c in by})
+    condition = F.lit(True)
+    for c in by:
+        condition = condition & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    inside = Window.partitionBy(*by).orderBy(key)
+    before = F.when(F.row_number().over(inside) == 1, F.col("_carried.v")).otherwise(F.lag(value).over(inside))
+    return placed.join(right, condition).withColumn(name, before).drop("_range", "_carried", *[f"_o_{c}" for c in by])
+
+
 def row_numbers(df: DataFrame, key: str, name: str = "row_number", groups: list[str] | None = None) -> DataFrame:
     """Add 1-based row numbers by ``key`` (unique, numeric) inside each group."""
     return running_total(df, key, F.lit(1).cast("long"), name, groups)

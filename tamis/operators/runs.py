@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tamis.operators.rows import previous_value
+
 # Topics whose means stand for the two halves of the psychometric test.
 HEBREW_TOPICS = ["understanding_hebrew", "sentence_text_hebrew", "sentence_complete_hebrew", "analogies_hebrew"]
 ENGLISH_TOPICS = ["restatement_english", "sentence_text_english", "sentence_complete_english"]
@@ -120,9 +122,9 @@ def group_or_name(group: Column, name: Column) -> Column:
 
 
 def score_changes(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """Series in order with the change from the point before."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("change", F.round(F.col(value) - F.lag(value).over(w), 6))
+    """Each point of a series with the change from the point before; a series may be of any length."""
+    out = previous_value(df, order, value, "_before", keys)
+    return out.withColumn("change", F.round(F.col(value) - F.col("_before"), 6)).drop("_before")
 
 
 def metric_with_fallback(metrics: Column) -> tuple[Column, Column]:

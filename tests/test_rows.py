@@ -20,6 +20,18 @@ def test_running_total(spark, n, buckets):
     assert got == expected
 
 
+def test_previous_value(spark):
+    rng = random.Random(3)
+    data = [(k * 3, rng.choice(["hot", "hot", "b", None]), rng.choice([None, 1, 2, 3])) for k in range(300)]
+    df = spark.createDataFrame(data, "k long, g string, v int")
+    got = {x["k"]: x["p"] for x in r.previous_value(df, "k", "v", "p", ["g"], 16).collect()}
+    last, expected = {}, {}
+    for k, g, v in data:
+        expected[k] = last.get(g)
+        last[g] = v
+    assert got == expected
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k long, v int")
     assert r.row_numbers(df, "k").count() == 0

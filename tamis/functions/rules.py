@@ -73,7 +73,9 @@ def _folded(rules: Sequence[Rule]) -> Callable[[Column], Column]:
 def apply_rules(c: Column, rules: Sequence[Rule]) -> Column:
     """Fold the rules left to right.
 
-    Neighbouring protected rules share one split into table and text segments.
+    Neighbouring protected rules share one split into table and text segments.  Rules
+    whose function mentions its input several times multiply the work of all rules
+    before them in one expression; use ``rewrite_column`` for those.
     """
     groups: list[tuple[bool, list[Rule]]] = []
     for rule in rules:

@@ -12,6 +12,8 @@ WIKI_TABLE = r"(?s)\{\|.*?\|\}"
 
 # Characters whose 4-fold repetition makes a separator line.
 SEPARATORS = "-=_~*#"
+# Bullets that make a line empty when nothing else is on it.
+BULLETS = "•●■◦▪◆"
 # Attributes dropped from table markup.
 TABLE_ATTRIBUTES = ["style", "cellspacing", "cellpadding", "class", "width", "height"]
 # Media namespaces, in Hebrew and English.
@@ -155,6 +157,7 @@ CITATIONS = [
 ]
 
 _PLACED = _any(PLACEMENT_WORDS)
+_PIXELS = ("px", "PX", "Px", "pX")
 
 # A bar that closes one match opens the next, so it is looked at and not consumed.
 MEDIA = [
@@ -162,9 +165,9 @@ MEDIA = [
     Rule("placement", rf"(?imdU)\|{_PLACED}\b[^|]*(?=\|)", needs=("|",)),
     Rule("leading_placement", rf"(?imdU)(?:^|\s){_PLACED}(?=\|)", needs=("|",)),
     Rule("trailing_placement", rf"(?imdU)\|{_PLACED}(?:$|\s)", "|", needs=("|",)),
-    Rule("size", r"(?i)\b\d+px\b"),
-    Rule("boxed_size", r"(?i)\|\d+px(?:\||\b)", needs=("|",)),
-    Rule("two_sided_size", r"(?i)\|?\b\d+x\d+px\b\|?"),
+    Rule("size", r"(?i)\b\d+px\b", needs=_PIXELS),
+    Rule("boxed_size", r"(?i)\|\d+px(?:\||\b)", needs=_PIXELS),
+    Rule("two_sided_size", r"(?i)\|?\b\d+x\d+px\b\|?", needs=_PIXELS),
     Rule("width_or_height", r"""(?i)(?:width|height)\s*=\s*["']?\d+["']?""", needs=("=",)),
     Rule("caption", rf"(?iu)\([^)]*{_any(MEDIA_TERMS)}[^)]*\)", needs=("(",)),
     Rule("parameter", rf"(?i)\|{_any(PICTURE_PARAMETERS)}\s*=[^|]*", needs=("|",)),
@@ -185,9 +188,10 @@ MEDIA = [
     Rule("punctuation_line", r"(?md)^\s*[,.;:]+\s*$"),
 ]
 
-DROP_BULLET_LINES = Rule("bullet_line", function=_drop_lines(r"^[•●■◦▪◆]+$"))
+DROP_BULLET_LINES = Rule("bullet_line", function=_drop_lines(f"^[{BULLETS}]+$"), needs=tuple(BULLETS))
 DROP_SEPARATOR_LINES = Rule(
-    "separator_line", function=_drop_lines("^(?:" + "|".join(f"[{ch}]{{4,}}" for ch in SEPARATORS) + ")$")
+    "separator_line", function=_drop_lines("^(?:" + "|".join(f"[{ch}]{{4,}}" for ch in SEPARATORS) + ")$"),
+    needs=tuple(ch * 4 for ch in SEPARATORS),
 )
 DROP_TABLE_ATTRIBUTES = Rule("table_attribute", rf'{_any(TABLE_ATTRIBUTES)}="[^"]*"', needs=("=\"",))
 

@@ -13,7 +13,7 @@ def _severity(i: int) -> str:
 
 
 def _category(i: int) -> str:
-    return f"CASE WHEN (event_id * {i} + user_id) % 7 < 3 THEN CASE (event_id + {i}) % 9 {CATEGORY_CASES} END ELSE '' END"
+    return f"CASE WHEN (event_id * {i} + user_id) % 7 < 3 THEN CASE (event_id + {i % 4}) % 9 {CATEGORY_CASES} END ELSE '' END"
 
 
 ANNOTATION = [

@@ -38,6 +38,13 @@ def _cuts(values: np.ndarray, shift: int, parts: int) -> np.ndarray:
     return np.searchsorted(values >> np.uint64(shift) if shift else values, np.arange(parts + 1, dtype=np.uint64))
 
 
+def _among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values occur in an ascending array."""
+    if not len(ascending):
+        return np.zeros(len(values), bool)
+    return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
 def _sketch_sizes(total: int, bucket_bytes: int, depth: int) -> tuple[int, int]:
     """Bits of a cell number, and of a segment number.
 
@@ -57,15 +64,15 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
     segments, within = 1 << segment_bits, width - segment_bits
     docs = slim.groupBy("bucket")
 
-    def bucket_windows(rows: pd.DataFrame, hasher: Hasher) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Windows by document, the distinct ones ascending, and whether each occurs again in the bucket."""
+    def bucket_windows(rows: pd.DataFrame, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of windows by document, the distinct ones ascending, the place of each among these, and which occur again."""
         each = [hasher.windows(t) for t in rows["text"]]
-        distinct, counts = np.unique(np.concatenate(each), return_counts=True)
-        return each, distinct, counts > 1
+        distinct, place, counts = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
+        return np.array([len(w) for w in each]), distinct, place, counts > 1
 
     def sketch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """The bucket's own count-min sketch, sparse: occupied cells and those counted twice or more."""
-        _, distinct, again = bucket_windows(rows, Hasher(window))
+        _, distinct, _, again = bucket_windows(rows, Hasher(window))
         out = []
         for row in range(depth):
             cells = _cells(distinct, row, width)
@@ -86,46 +93,49 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
         flags = [unpack_bits(f, len(p)) for f, p in zip(rows["flags"], parts)]
         every = np.sort(np.concatenate([*parts, *(p[f] for p, f in zip(parts, flags))]))
         heavy = every[1:][every[1:] == every[:-1]]
-        said = [pack_bits(np.isin(p, heavy, assume_unique=False)) for p in parts]
+        said = [pack_bits(_among(p, heavy)) for p in parts]
         return pd.DataFrame({"bucket": rows["bucket"], "row": key[0], "segment": key[1], "cells": [pack_bits_key(p) for p in parts], "flags": said})
 
     def pack_bits_key(cells: np.ndarray) -> bytes:
         return np.array([len(cells)], "<u4").tobytes()
 
-    def estimated(distinct: np.ndarray, again: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+    def estimated(distinct: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
         """Windows whose estimate is two or more in every row."""
         likely = np.ones(len(distinct), bool)
         for row in range(depth):
             own = answers[(answers["kind"] == 0) & (answers["row"] == row)].sort_values("segment")
-            cells = _cells(distinct, row, width)
-            order, place = np.unique(cells, return_inverse=True)
             flags = [unpack_bits(f, int(np.frombuffer(c, "<u4")[0])) for c, f in zip(own["cells"], own["flags"])]
-            likely &= np.concatenate(flags)[place] if flags else np.zeros(len(distinct), bool)
+            cells = _cells(distinct, row, width)
+            order = np.argsort(cells)
+            # The bucket's distinct cells ascend as its answers do.
+            new = np.diff(cells[order], prepend=cells[order][:1]) != 0
+            likely[order] &= np.concatenate(flags)[np.cumsum(new)] if flags else False
         return likely
 
-    def candidates(rows: pd.DataFrame, hasher: Hasher, answers: pd.DataFrame) -> tuple[list[np.ndarray], pd.DataFrame]:
-        """Windows by document, and the distinct candidate windows with their check hash, ascending."""
-        each, distinct, again = bucket_windows(rows, hasher)
-        likely = distinct[estimated(distinct, again, answers)]
-        found = []
-        for text, windows in zip(rows["text"], each):
-            hit = np.isin(windows, likely)
-            if hit.any():
-                found.append(np.rec.fromarrays([windows[hit], hasher.check(text)[hit].astype(np.uint32)], names="a,b"))
-        keys = np.concatenate(found) if found else np.rec.fromarrays([np.zeros(0, np.uint64), np.zeros(0, np.uint32)], names="a,b")
-        order = np.lexsort((keys["b"], keys["a"]))
-        a, b = keys["a"][order], keys["b"][order]
+    def candidates(rows: pd.DataFrame, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, pd.DataFrame]:
+        """Windows by document, which of all are candidates, the key of each of those, and the distinct keys ascending."""
+        hasher = Hasher(window)
+        sizes, distinct, place, _ = bucket_windows(rows, hasher)
+        hit = estimated(distinct, answers)[place]
+        ends = np.cumsum(sizes)
+        checks = [
+            hasher.check(t)[hit[e - n : e]] for t, n, e in zip(rows["text"], sizes.tolist(), ends.tolist()) if hit[e - n : e].any()
+        ]
+        a, b = distinct[place[hit]], np.concatenate(checks) if checks else np.zeros(0, np.uint64)
+        order = np.lexsort((b, a))
         new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
         start = np.flatnonzero(new)
+        key = np.zeros(len(a), np.int64)
+        key[order] = np.cumsum(new) - 1
         many = np.diff(np.append(start, len(a))) > 1
-        return each, pd.DataFrame({"a": a[start], "b": b[start], "many": many})
+        return sizes, hit, key, pd.DataFrame({"a": a[order][start], "b": b[order][start].astype(np.uint32), "many": many})
 
     def ask(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         """The bucket's candidates by segment, for the exact count."""
         if not len(rows):
             return pd.DataFrame({"bucket": [], "segment": [], "cells": [], "checks": [], "flags": []})
-        _, keys = candidates(rows, Hasher(window), answers)
+        keys = candidates(rows, answers)[3]
         a, b, many = (keys[c].to_numpy() for c in ("a", "b", "many"))
         cut = _cuts(a, 64 - segment_bits, segments) if segment_bits else np.array([0, len(a)])
         out = [
@@ -155,22 +165,13 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
         """Starts of the repeated windows of each document."""
         if not len(rows):
             return pd.DataFrame({"id": [], "text": [], "at": []})
-        hasher = Hasher(window)
-        each, keys = candidates(rows, hasher, answers)
+        sizes, hit, key, _ = candidates(rows, answers)
         own = answers[answers["kind"] == 1].sort_values("segment")
         flags = [unpack_bits(f, int(np.frombuffer(c, "<u4")[0])) for c, f in zip(own["cells"], own["flags"])]
-        sure = np.concatenate(flags) if flags else np.zeros(0, bool)
-        a, b = keys["a"].to_numpy()[sure], keys["b"].to_numpy()[sure]
-        # Windows equal in 64 bits but not in the check hash need the check; that is all but never.
-        unsure = np.unique(np.concatenate([a[1:][a[1:] == a[:-1]], np.intersect1d(a, keys["a"].to_numpy()[~sure])]))
-        at = []
-        for text, windows in zip(rows["text"], each):
-            hit = np.isin(windows, a)
-            if len(unsure) and np.isin(windows, unsure).any():
-                real = set(zip(a.tolist(), b.tolist()))
-                check = hasher.check(text)
-                hit &= np.fromiter(((x, y) in real for x, y in zip(windows.tolist(), check.tolist())), bool, len(windows))
-            at.append(pack_sorted(np.flatnonzero(hit)))
+        sure = np.zeros(len(hit), bool)
+        if flags:
+            sure[hit] = np.concatenate(flags)[key]
+        at = [pack_sorted(np.flatnonzero(sure[e - n : e])) for n, e in zip(sizes.tolist(), np.cumsum(sizes).tolist())]
         return pd.DataFrame({"id": rows["id"], "text": rows["text"], "at": at})
 
     answer = "bucket long, row int, segment int, cells binary, flags binary"

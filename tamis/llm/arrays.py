@@ -64,6 +64,57 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+BYTES = Powers(0x2545F4914F6CDD1D)
+
+
+def hash_words(texts: list[bytes], seed: int = 0, block_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words one after another, and the number of words of each text.
+
+    A word is a run of anything but ASCII white space.  Texts are taken in blocks, so that the
+    temporary arrays stay small.
+    """
+    hashes, counts, at = [], [], 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end]) < block_bytes):
+            size += len(texts[end]) + 1
+            end += 1
+        # A blank stands before every text, so words and texts never touch.
+        data = np.frombuffer(b" " + b" ".join(texts[at:end]) + b" ", np.uint8)
+        starts = np.cumsum([1, *(len(t) + 1 for t in texts[at:end])])
+        blank = BLANK[data]
+        edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        first, last = edge[::2], edge[1::2]
+        up, down = BYTES.upto(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * up, dtype=np.uint64, out=sums[1:])
+        hashes.append(mix((sums[last] - sums[first]) * down[first] + np.uint64(seed)))
+        counts.append(np.diff(np.searchsorted(first, starts)))
+        at = end
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def windows_within(words: np.ndarray, counts: np.ndarray, n: int, powers: Powers, block_words: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every run of ``n`` words inside one text, text after text, and how many each text has."""
+    sizes = np.maximum(counts - n + 1, 0)
+    ends = np.cumsum(counts)
+    out, at = [], 0
+    while at < len(counts):
+        begin = ends[at] - counts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, begin + block_words, "right")))
+        found = window_hashes(words[begin : ends[stop - 1]], n, powers)
+        # Runs that begin in the last n - 1 words of a text reach into the next one.
+        place = np.arange(len(found)) + begin
+        owner_end = np.repeat(ends[at:stop], counts[at:stop])[: len(found)]
+        out.append(found[place + n <= owner_end])
+        at = stop
+    return (np.concatenate(out) if out else words[:0]), sizes
+
+
 def window_hashes(words: np.ndarray, n: int, powers: Powers) -> np.ndarray:
     """Hash of every run of ``n`` words in time independent of ``n``; none for a shorter text."""
     if len(words) < n:

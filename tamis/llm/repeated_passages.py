@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tamis.llm.arrays import (
-    MULTIPLIER, SECOND, Powers, WordHashes, mix, pack_bits, pack_sorted, unpack_bits, unpack_sorted, window_hashes,
+    MULTIPLIER, SECOND, Powers, hash_words, mix, pack_bits, pack_sorted, unpack_bits, unpack_sorted, windows_within,
 )
 from tamis.llm.frames import bucketed, text_bytes
 
@@ -15,17 +15,17 @@ SALTS = (0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0x4F5E2D9A1C3B7F61, 0x8EBC6AF09
 
 
 class Hasher:
-    """Two hashes of every window of a text: 64 bits, and 32 more for the exact count."""
+    """Two hashes of every window of some texts: 64 bits, and 32 more for the exact count."""
 
-    def __init__(self, window: int):
-        self.window, self.words = window, WordHashes()
-        self.first, self.second = Powers(int(MULTIPLIER)), Powers(int(SECOND))
+    def __init__(self, texts: list[bytes], window: int):
+        self.words, self.counts = hash_words(texts)
+        self.window = window
 
-    def windows(self, text: bytes) -> np.ndarray:
-        return window_hashes(self.words.of(text.split()), self.window, self.first)
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        return windows_within(self.words, self.counts, self.window, Powers(int(MULTIPLIER)))
 
-    def check(self, text: bytes) -> np.ndarray:
-        return window_hashes(mix(self.words.of(text.split())), self.window, self.second) >> np.uint64(32)
+    def checks(self) -> np.ndarray:
+        return windows_within(mix(self.words), self.counts, self.window, Powers(int(SECOND)))[0] >> np.uint64(32)
 
 
 def _cells(windows: np.ndarray, row: int, width_bits: int) -> np.ndarray:
@@ -64,15 +64,10 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
     segments, within = 1 << segment_bits, width - segment_bits
     docs = slim.groupBy("bucket")
 
-    def bucket_windows(rows: pd.DataFrame, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Number of windows by document, the distinct ones ascending, the place of each among these, and which occur again."""
-        each = [hasher.windows(t) for t in rows["text"]]
-        distinct, place, counts = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-        return np.array([len(w) for w in each]), distinct, place, counts > 1
-
     def sketch(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """The bucket's own count-min sketch, sparse: occupied cells and those counted twice or more."""
-        _, distinct, _, again = bucket_windows(rows, Hasher(window))
+        distinct, counts = np.unique(Hasher(rows["text"].tolist(), window).windows()[0], return_counts=True)
+        again = counts > 1
         out = []
         for row in range(depth):
             cells = _cells(distinct, row, width)
@@ -114,14 +109,11 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
 
     def candidates(rows: pd.DataFrame, answers: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, pd.DataFrame]:
         """Windows by document, which of all are candidates, the key of each of those, and the distinct keys ascending."""
-        hasher = Hasher(window)
-        sizes, distinct, place, _ = bucket_windows(rows, hasher)
+        hasher = Hasher(rows["text"].tolist(), window)
+        windows, sizes = hasher.windows()
+        distinct, place = np.unique(windows, return_inverse=True)
         hit = estimated(distinct, answers)[place]
-        ends = np.cumsum(sizes)
-        checks = [
-            hasher.check(t)[hit[e - n : e]] for t, n, e in zip(rows["text"], sizes.tolist(), ends.tolist()) if hit[e - n : e].any()
-        ]
-        a, b = distinct[place[hit]], np.concatenate(checks) if checks else np.zeros(0, np.uint64)
+        a, b = windows[hit], hasher.checks()[hit] if hit.any() else np.zeros(0, np.uint64)
         order = np.lexsort((b, a))
         new = np.ones(len(a), bool)
         new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])

@@ -185,7 +185,7 @@ def covered_words(n_words: int, starts: np.ndarray, window: int) -> np.ndarray:
 
 
 def remove_repeated_passages(
-    df: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 8 << 20, depth: int = 2,
+    df: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 4 << 20, depth: int = 2,
 ) -> DataFrame:
     """``<id>, kept_text, n_words, n_removed, removed_spans``: texts without words in repeated windows.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tamis.session import cut_lineage
@@ -21,20 +23,22 @@ WORD = re.compile(r"[^\W\d_]+")
 class Settings:
     """``max_examples`` bounds the labelled rows that are learnt from, half of them toxic if there are enough.
 
-    Terms are words and their first ``stems`` letters; kept are the ``max_terms`` whose share of
-    toxic examples is furthest above the overall share, by at least ``least_z`` standard errors.
+    Terms are words and their first ``stems`` letters; kept are at most ``max_terms`` whose
+    share of toxic examples is above the overall share, those with the greatest log-likelihood
+    ratio, which has to be ``least_ratio`` or more (30: one term in 10**7 by chance), and of whose
+    examples ``least_purity`` or more are toxic.  Copies of a text count once.
     ``neighbours`` vote, ``block`` examples share a block of the index, and a document without
     neighbours counts ``prior`` votes at the share of toxic examples that have none either.
     """
 
-    max_examples: int = 20_000
+    max_examples: int = 8192
     stems: tuple[int, ...] = (4, 5, 6)
     max_terms: int = 4096
-    least_z: float = 5.0
-    least_examples: int = 4
+    least_ratio: float = 30.0
     neighbours: int = 16
-    block: int = 128
-    prior: float = 0.25
+    block: int = 512
+    prior: float = 1.0
+    least_purity: float = 0.5
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -115,8 +119,9 @@ class Model:
     offset: float
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
-        """Share of toxic votes; a neighbour's vote weighs one over its distance."""
-        weights = 1.0 / (1.0 - np.minimum(cosines, 1.0) + 0.05)
+        """Share of toxic votes; a neighbour's vote weighs its cosine over its distance."""
+        near = np.minimum(cosines, 1.0)
+        weights = near / (1.0 - near + 0.05)
         prior = self.index.settings.prior
         return float((weights @ self.index.toxic[at] + prior * self.share_without) / (weights.sum() + prior))
 
@@ -183,10 +188,13 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
     totals = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     n, n_hot = int(totals[0]), int(totals[1])
     share = n_hot / max(1, n)
-    counts = examples.mapInPandas(words, "term string, n long, hot long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("hot").alias("hot"))
-    z = (F.col("hot") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1e-9)
-    chosen = counts.where(F.col("n") >= settings.least_examples).withColumn("z", z).where(F.col("z") >= settings.least_z)
-    kept = chosen.orderBy(F.desc("z"), "term").limit(settings.max_terms).collect()
+    counts = examples.dropDuplicates(["text", "toxic"]).mapInPandas(words, "term string, n long, hot long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("hot").alias("hot"))
+    hot, cold = F.col("hot"), F.col("n") - F.col("hot")
+    part = lambda x, p: F.when(x > 0, x * F.log(x / (F.col("n") * max(p, 1e-12)))).otherwise(0.0)
+    ratio = 2 * (part(hot, share) + part(cold, 1 - share))
+    pure = (hot > F.col("n") * share) & (hot >= F.col("n") * settings.least_purity)
+    chosen = counts.where(pure).withColumn("ratio", F.round(ratio, 9)).where(F.col("ratio") >= settings.least_ratio)
+    kept = chosen.orderBy(F.desc("ratio"), "term").limit(settings.max_terms).collect()
     terms = [r["term"] for r in kept]
     idf = np.array([math.log((1 + n) / (1 + r["n"])) + 1 for r in kept])
     known = set(terms)
@@ -212,11 +220,12 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
     if not n:
         return model
     # Calibrate on the examples' own votes, each without itself.
-    sent = spark.sparkContext.broadcast((model, vectors_of))
+    # As bytes that carry the classes too, so that executors need not have the package.
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps((model, vectors_of)))
     numbers = spark.range(len(full), numPartitions=max(1, min(64, len(full) // 256)))
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, vectors_of = sent.value
+        model, vectors_of = pickle.loads(sent.value)
         for batch in batches:
             yield pd.DataFrame({"at": batch["id"], "vote": [model.vote(*model.index.nearest(vectors_of[i], skip=i)) for i in batch["id"]]})
 
@@ -247,11 +256,11 @@ def score_toxicity(
     slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     model = fit(slim.where("id IS NOT NULL"), marks.where(~held_out(F.col("id"), folds)), settings)
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     stems = settings.stems
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = sent.value
+        model = pickle.loads(sent.value)
         known = model.index.terms
         cache: dict[str, list[str]] = {}
         for batch in batches:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tamis.llm.frames import text_bytes
-from tamis.llm.tokenizing import Encoder
+from tamis.llm.tokenizing import Encoder, shared_encoder
 
 MAGIC = b"CMR1"
 BLOCK_IDS = 2048
@@ -322,7 +322,7 @@ def write_token_files(
     n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = slim.repartitionByRange(n, "id").sortWithinPartitions("id", "text")
     ordered = ordered.withColumn("part", F.spark_partition_id())
-    make = tokenizer if callable(tokenizer) else lambda: Encoder(tokenizer, joiner)
+    make = tokenizer if callable(tokenizer) else lambda: shared_encoder(tokenizer, joiner)
     id_type = dict(slim.dtypes)["id"]
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,16 +35,21 @@ def held_out(doc_id: Column, folds: int) -> Column:
 
 
 class Grams:
-    """The n-grams of some texts: the distinct ones as rows of code points, ascending."""
+    """The n-grams of some texts: the distinct ones as rows of code points, ascending.
 
-    def __init__(self, texts: list[str], order: int):
+    With ``inverse``, ``place`` has for every character the number of its n-gram among those.
+    """
+
+    def __init__(self, texts: list[str], order: int, inverse: bool = False):
         codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
         # A text's own start and end marks would be taken for ours.
         codes = [np.where((c == START) | (c == END), 32, c) for c in codes]
         self.sizes = np.array([len(c) + 1 for c in codes], np.int64)
         pad, end = np.full(order - 1, START, "<u4"), np.array([END], "<u4")
         flat = np.concatenate([x for c in codes for x in (pad, c, end)]) if codes else np.zeros(0, "<u4")
-        self.alphabet, dense = np.unique(flat, return_inverse=True)
+        there = np.bincount(flat, minlength=1) > 0 if len(flat) else np.zeros(1, bool)
+        self.alphabet = np.flatnonzero(there).astype("<u4")
+        dense = (np.cumsum(there) - 1)[flat]
         self.order = order
         target = np.flatnonzero(flat != START)
         if len(self.alphabet) ** order < 1 << 63:
@@ -51,7 +57,10 @@ class Grams:
             for j in range(order - 1, -1, -1):
                 key = key * len(self.alphabet) + dense[target - j]
             self.key = key
-            self.distinct = np.unique(key)
+            if inverse:
+                self.distinct, self.place = np.unique(key, return_inverse=True)
+            else:
+                self.distinct = np.unique(key)
             digits, rest = [], self.distinct.copy()
             for _ in range(order):
                 digits.append(self.alphabet[rest % len(self.alphabet)])
@@ -60,12 +69,39 @@ class Grams:
         else:  # too many different characters for one number
             rows = np.stack([flat[target - j] for j in range(order - 1, -1, -1)], axis=1).astype("<u4")
             self.rows, self.key = np.unique(rows, axis=0, return_inverse=True)
-            self.key = self.key.ravel()
+            self.place = self.key = self.key.ravel()
             self.distinct = np.arange(len(self.rows))
 
-    def place(self) -> np.ndarray:
-        """For every character the number of its n-gram among the distinct ones."""
-        return np.searchsorted(self.distinct, self.key)
+
+def pack_texts(docs: DataFrame) -> DataFrame:
+    """``docs(bucket, id, lang, text)`` with the texts of a bucket compressed together, batch by batch."""
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for bucket, rows in batch.groupby("bucket", sort=True):
+                texts = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
+                sizes = np.array([len(t) for t in texts], "<u8").tobytes()
+                ids = [None if i is None or i != i else i for i in rows["id"].astype(object)]
+                ids = [int(i) if isinstance(i, float) else i for i in ids] if whole else ids
+                out.append((bucket, ids, rows["lang"].tolist(), sizes, zlib.compress(b"".join(texts), 1)))
+            yield pd.DataFrame(out, columns=["bucket", "ids", "langs", "sizes", "texts"])
+
+    types = dict(docs.dtypes)
+    whole = types["id"] in ("tinyint", "smallint", "int", "bigint")  # pandas makes floats of these next to a null
+    return docs.mapInPandas(pack, f"bucket long, ids array<{types['id']}>, langs array<{types['lang']}>, sizes binary, texts binary")
+
+
+def unpack_texts(rows: pd.DataFrame) -> tuple[list, list, list[str]]:
+    """Ids, languages and texts of the packed rows of one bucket."""
+    ids, langs, texts = [], [], []
+    for i, lang, sizes, data in zip(rows["ids"], rows["langs"], rows["sizes"], rows["texts"]):
+        ids += list(i)
+        langs += list(lang)
+        data = zlib.decompress(data)
+        ends = np.cumsum(np.frombuffer(sizes, "<u8")).tolist()
+        texts += [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends)]
+    return ids, langs, texts
 
 
 def shard_of(rows: np.ndarray, shards: int) -> np.ndarray:
@@ -155,14 +191,16 @@ def document_perplexities(
     order = settings.order
     slim = df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     docs, n, total = bucketed(slim, F.col("id"), F.col("text"), settings.bucket_bytes)
+    docs = pack_texts(docs)
     marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(n)).cast("long"))
     shards = max(4, -(-total // (16 * settings.bucket_bytes)))
 
     def count(key: tuple, rows: pd.DataFrame, marked: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"bucket": [], "shard": [], "grams": [], "counts": []})
-        grams = Grams(rows["text"].tolist(), order)
-        known = np.repeat(rows["id"].isin(set(marked["id"])).to_numpy() & rows["id"].notna().to_numpy(), grams.sizes)
+        ids, _, texts = unpack_texts(rows)
+        grams, good = Grams(texts, order), set(marked["id"])
+        known = np.repeat(np.fromiter((i in good for i in ids), bool, len(ids)), grams.sizes)
         found, often = np.unique(grams.key[known], return_counts=True)
         counts = np.zeros(len(grams.rows), "<u4")
         counts[np.searchsorted(grams.distinct, found)] = often
@@ -196,13 +234,14 @@ def document_perplexities(
     def score(rows: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
             return pd.DataFrame({"id": [], "lang": [], "units": [], "perplexity": []})
-        grams = Grams(rows["text"].tolist(), order)
+        ids, langs, texts = unpack_texts(rows)
+        grams = Grams(texts, order, inverse=True)
         shard = shard_of(grams.rows, shards)
         logs = np.zeros(len(grams.rows))
         for s, data in zip(said["shard"], said["logs"]):
             logs[shard == s] = np.frombuffer(zlib.decompress(data), "<f4")
-        sums = np.add.reduceat(logs[grams.place()], np.cumsum(grams.sizes) - grams.sizes)
-        return pd.DataFrame({"id": rows["id"], "lang": rows["lang"], "units": grams.sizes, "perplexity": np.exp(-sums / grams.sizes)})
+        sums = np.add.reduceat(logs[grams.place], np.cumsum(grams.sizes) - grams.sizes)
+        return pd.DataFrame({"id": ids, "lang": langs, "units": grams.sizes, "perplexity": np.exp(-sums / grams.sizes)})
 
     id_type, lang_type = dict(slim.dtypes)["id"], dict(slim.dtypes)["lang"]
     return docs.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(score, f"id {id_type}, lang {lang_type}, units long, perplexity double")

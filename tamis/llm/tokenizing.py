@@ -22,7 +22,7 @@ class Encoder:
     special tokens) are encoded whole, so the ids are always those of the whole text.
     """
 
-    def __init__(self, path: str, joiner: str | None = None, cache_pieces: int = 300_000):
+    def __init__(self, path: str, joiner: str | None = None, cache_pieces: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -101,3 +101,14 @@ class Encoder:
             out.append(ids)
             lengths[i] = len(ids)
         return np.concatenate(out) if out else np.zeros(0, np.uint32), lengths
+
+
+def shared_encoder(path: str, joiner: str | None) -> Encoder:
+    """The worker's encoder for a file: a worker that runs several tasks keeps its pieces between them."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if (path, joiner) not in kept:
+        kept.clear()  # one at a time, so memory stays bounded
+        kept[path, joiner] = Encoder(path, joiner)
+    return kept[path, joiner]

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tamis.llm.tokenizing import Encoder
+from tamis.llm.tokenizing import Encoder, shared_encoder
 from tamis.session import cut_lineage
 
 
@@ -131,7 +131,7 @@ def cut_pieces(
     ``capacity``, the first holding what is left over.  ``tokens`` are little-endian 32-bit ids.
     No shuffle.  Null texts are empty: just the end id, or no piece if there is none.
     """
-    make = tokenizer if callable(tokenizer) else lambda: Encoder(tokenizer, joiner)
+    make = tokenizer if callable(tokenizer) else lambda: shared_encoder(tokenizer, joiner)
     slim = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tail = [] if end_id is None else [end_id]
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["tokens"] if keep_tokens else [])

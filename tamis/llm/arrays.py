@@ -5,11 +5,9 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import xxhash
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xD6E8FEB86659FD93)
-CACHE_WORDS = 400_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,20 +19,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered while the table is small."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hash of every run of ``n`` words; fewer words than ``n`` make one shingle, none make none."""
     if len(words) == 0:

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tamis.llm.arrays import WordHashes, mix, shingle_hashes
+from tamis.llm.arrays import hash_words, mix, shingle_hashes
 from tamis.llm.frames import text_bytes
 from tamis.session import cut_lineage
 
@@ -28,10 +28,11 @@ class Settings:
     block_items: int = 20_000
 
 
-def item_shingles(text: bytes, words: int, cache: WordHashes) -> np.ndarray:
-    """Distinct shingle hashes of a text in lower case; none for a text of fewer words."""
-    hashes = cache.of(text.decode("utf-8", "replace").lower().encode().split())
-    return np.unique(shingle_hashes(hashes, words)) if len(hashes) >= words else hashes[:0]
+def text_shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
+    """Shingle hashes of each text in lower case; none for a text of fewer words."""
+    hashes, counts = hash_words([t.decode("utf-8", "replace").lower().encode() for t in texts])
+    ends = np.cumsum(counts).tolist()
+    return [shingle_hashes(hashes[a:b], words) if b - a >= words else hashes[:0] for a, b in zip([0, *ends], ends)]
 
 
 def probes_of(size: int, settings: Settings) -> tuple[int, int]:
@@ -65,9 +66,8 @@ class Index:
     """Items by size class, the minima of each, and all their shingles for the check."""
 
     def __init__(self, ids: list, texts: list[bytes], settings: Settings):
-        cache = WordHashes()
         self.ids, self.settings = ids, settings
-        self.shingles = [item_shingles(t, settings.words, cache) for t in texts]
+        self.shingles = [np.unique(s) for s in text_shingles(texts, settings.words)]
         self.sizes = np.array([len(s) for s in self.shingles])
         keys, owners, self.needed = [], [], np.ones(len(ids), np.int64)
         classes = np.ceil(np.log2(np.maximum(self.sizes, 1))).astype(int)
@@ -140,13 +140,11 @@ def contaminated(
 
         def search(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             ids, texts = sent.value
-            index, cache = Index(ids, texts, settings), WordHashes()
+            index = Index(ids, texts, settings)
             for batch in batches:
                 out = []
-                for doc, text in zip(batch["id"].tolist(), batch["text"]):
-                    words = cache.of(text.decode("utf-8", "replace").lower().encode().split())
-                    if len(words) >= settings.words:
-                        out += [(doc, ids[i], share) for i, share in index.find(shingle_hashes(words, settings.words))]
+                for doc, shingles in zip(batch["id"].tolist(), text_shingles(batch["text"].tolist(), settings.words)):
+                    out += [(doc, ids[i], share) for i, share in index.find(shingles)]
                 yield pd.DataFrame(out, columns=["id", "item", "containment"])
 
         part = slim.mapInPandas(search, schema)

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 1_000_000
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows``, so that a worker holds few at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_bytes(text: str | Column = "text") -> Column:
     """UTF-8 bytes of a text; null is empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")

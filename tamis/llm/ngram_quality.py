@@ -37,40 +37,74 @@ def held_out(doc_id: Column, folds: int) -> Column:
 class Grams:
     """The n-grams of some texts: the distinct ones as rows of code points, ascending.
 
-    With ``inverse``, ``place`` has for every character the number of its n-gram among those.
+    Texts are taken in blocks of about ``block_chars``, so the arrays of a large bucket stay small.
     """
 
-    def __init__(self, texts: list[str], order: int, inverse: bool = False):
-        codes = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
-        # A text's own start and end marks would be taken for ours.
-        codes = [np.where((c == START) | (c == END), 32, c) for c in codes]
-        self.sizes = np.array([len(c) + 1 for c in codes], np.int64)
-        pad, end = np.full(order - 1, START, "<u4"), np.array([END], "<u4")
-        flat = np.concatenate([x for c in codes for x in (pad, c, end)]) if codes else np.zeros(0, "<u4")
-        there = np.bincount(flat, minlength=1) > 0 if len(flat) else np.zeros(1, bool)
+    def __init__(self, texts: list[str], order: int, block_chars: int = 1 << 20):
+        self.texts, self.order = texts, order
+        self.sizes = np.array([len(t) + 1 for t in texts], np.int64)
+        ends = np.cumsum(self.sizes)
+        cuts = np.unique(np.searchsorted(ends, np.arange(block_chars, int(ends[-1]), block_chars)) + 1) if len(texts) else np.zeros(0, int)
+        edges = [0, *(c for c in cuts.tolist() if c < len(texts)), len(texts)]
+        self.blocks = list(zip(edges[:-1], edges[1:]))
+        there = np.zeros(0x110000, bool)
+        for a, b in self.blocks:
+            there[self._codes(a, b)] = True
         self.alphabet = np.flatnonzero(there).astype("<u4")
-        dense = (np.cumsum(there) - 1)[flat]
-        self.order = order
-        target = np.flatnonzero(flat != START)
-        if len(self.alphabet) ** order < 1 << 63:
-            key = np.zeros(len(target), np.int64)
-            for j in range(order - 1, -1, -1):
-                key = key * len(self.alphabet) + dense[target - j]
-            self.key = key
-            if inverse:
-                self.distinct, self.place = np.unique(key, return_inverse=True)
-            else:
-                self.distinct = np.unique(key)
+        self.dense = np.cumsum(there, dtype=np.int32) - 1
+        self.single = len(self.alphabet) ** order < 1 << 63
+        if self.single:
+            found = [np.unique(self._keys(a, b)) for a, b in self.blocks]
+            self.distinct = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
             digits, rest = [], self.distinct.copy()
             for _ in range(order):
                 digits.append(self.alphabet[rest % len(self.alphabet)])
                 rest //= len(self.alphabet)
             self.rows = np.stack(digits[::-1], axis=1).astype("<u4") if len(self.distinct) else np.zeros((0, order), "<u4")
-        else:  # too many different characters for one number
-            rows = np.stack([flat[target - j] for j in range(order - 1, -1, -1)], axis=1).astype("<u4")
-            self.rows, self.key = np.unique(rows, axis=0, return_inverse=True)
-            self.place = self.key = self.key.ravel()
-            self.distinct = np.arange(len(self.rows))
+        else:  # too many different characters for one number: number the rows themselves
+            self.rows, number = np.unique(np.concatenate([self._rows(a, b) for a, b in self.blocks]), axis=0, return_inverse=True)
+            self.number, self.distinct = number.ravel(), np.arange(len(self.rows))
+
+    def _codes(self, a: int, b: int) -> np.ndarray:
+        """Texts a to b, each after ``order - 1`` start marks and before an end mark."""
+        # A text's own start and end marks would be taken for ours.
+        texts = (t.replace(chr(START), " ").replace(chr(END), " ") for t in self.texts[a:b])
+        joined = "".join(x for t in texts for x in (chr(START) * (self.order - 1), t, chr(END)))
+        return np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+
+    def _rows(self, a: int, b: int) -> np.ndarray:
+        flat = self._codes(a, b)
+        target = np.flatnonzero(flat != START)
+        return np.stack([flat[target - j] for j in range(self.order - 1, -1, -1)], axis=1).astype("<u4")
+
+    def _keys(self, a: int, b: int) -> np.ndarray:
+        """One number for the n-gram that ends at each character of texts a to b."""
+        if not self.single:
+            before = int(self.sizes[:a].sum())
+            return self.number[before : before + int(self.sizes[a:b].sum())]
+        flat = self._codes(a, b)
+        dense, target = self.dense[flat], np.flatnonzero(flat != START)
+        key = np.zeros(len(target), np.int64)
+        for j in range(self.order - 1, -1, -1):
+            key = key * len(self.alphabet) + dense[target - j]
+        return key
+
+    def counts(self, wanted: np.ndarray) -> np.ndarray:
+        """How often each distinct n-gram occurs in the wanted texts."""
+        out = np.zeros(len(self.distinct), np.int64)
+        for a, b in self.blocks:
+            found, often = np.unique(self._keys(a, b)[np.repeat(wanted[a:b], self.sizes[a:b])], return_counts=True)
+            out[np.searchsorted(self.distinct, found)] += often
+        return out
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Per text the sum of its n-grams' values."""
+        out = []
+        for a, b in self.blocks:
+            found, place = np.unique(self._keys(a, b), return_inverse=True)
+            own = values[np.searchsorted(self.distinct, found)][place]
+            out.append(np.add.reduceat(own, np.cumsum(self.sizes[a:b]) - self.sizes[a:b]))
+        return np.concatenate(out) if out else np.zeros(0)
 
 
 def pack_texts(docs: DataFrame) -> DataFrame:
@@ -200,10 +234,7 @@ def document_perplexities(
             return pd.DataFrame({"bucket": [], "shard": [], "grams": [], "counts": []})
         ids, _, texts = unpack_texts(rows)
         grams, good = Grams(texts, order), set(marked["id"])
-        known = np.repeat(np.fromiter((i in good for i in ids), bool, len(ids)), grams.sizes)
-        found, often = np.unique(grams.key[known], return_counts=True)
-        counts = np.zeros(len(grams.rows), "<u4")
-        counts[np.searchsorted(grams.distinct, found)] = often
+        counts = grams.counts(np.fromiter((i in good for i in ids), bool, len(ids))).astype("<u4")
         shard = shard_of(grams.rows, shards)
         out = [(key[0], s, pack_rows(grams.rows[shard == s]), zlib.compress(counts[shard == s].tobytes(), 1)) for s in np.unique(shard).tolist()]
         return pd.DataFrame(out, columns=["bucket", "shard", "grams", "counts"])
@@ -235,12 +266,12 @@ def document_perplexities(
         if not len(rows):
             return pd.DataFrame({"id": [], "lang": [], "units": [], "perplexity": []})
         ids, langs, texts = unpack_texts(rows)
-        grams = Grams(texts, order, inverse=True)
+        grams = Grams(texts, order)
         shard = shard_of(grams.rows, shards)
         logs = np.zeros(len(grams.rows))
         for s, data in zip(said["shard"], said["logs"]):
             logs[shard == s] = np.frombuffer(zlib.decompress(data), "<f4")
-        sums = np.add.reduceat(logs[grams.place], np.cumsum(grams.sizes) - grams.sizes)
+        sums = grams.sums(logs)
         return pd.DataFrame({"id": ids, "lang": langs, "units": grams.sizes, "perplexity": np.exp(-sums / grams.sizes)})
 
     id_type, lang_type = dict(slim.dtypes)["id"], dict(slim.dtypes)["lang"]

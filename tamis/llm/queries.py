@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tamis.llm.contamination import contaminated
+from tamis.llm.frames import small_batches
 from tamis.llm.id_coder import read_token_files, write_token_files
 from tamis.llm.near_duplicates import near_duplicate_classes
 from tamis.llm.nested_secrets import scan_secrets
@@ -28,6 +29,7 @@ RULES = [
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

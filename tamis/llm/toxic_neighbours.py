@@ -262,7 +262,7 @@ def score_toxicity(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pickle.loads(sent.value)
         known = model.index.terms
-        cache: dict[str, list[str]] = {}
+        cache: dict[str, tuple[str, ...]] = {}
         for batch in batches:
             out = []
             for text in batch["text"]:
@@ -270,10 +270,10 @@ def score_toxicity(
                 for word in WORD.findall(text.lower()):
                     hits = cache.get(word)
                     if hits is None:
-                        if len(cache) > 400_000:
+                        if len(cache) > 100_000:
                             cache.clear()
                         every = [word] + [word[:n] + "*" for n in stems if len(word) >= n]
-                        hits = cache[word] = [t for t in every if t in known]
+                        hits = cache[word] = tuple(t for t in every if t in known)
                     if hits:
                         counts.update(hits)
                 at, cosines = model.index.nearest(model.index.weights(counts))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tamis.llm.arrays import MULTIPLIER, mix
@@ -111,6 +112,7 @@ def pack_texts(docs: DataFrame) -> DataFrame:
     """``docs(bucket, id, lang, text)`` with the texts of a bucket compressed together, batch by batch."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        packer = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             out = []
             for bucket, rows in batch.groupby("bucket", sort=True):
@@ -118,7 +120,7 @@ def pack_texts(docs: DataFrame) -> DataFrame:
                 sizes = np.array([len(t) for t in texts], "<u8").tobytes()
                 ids = [None if i is None or i != i else i for i in rows["id"].astype(object)]
                 ids = [int(i) if isinstance(i, float) else i for i in ids] if whole else ids
-                out.append((bucket, ids, rows["lang"].tolist(), sizes, zlib.compress(b"".join(texts), 1)))
+                out.append((bucket, ids, rows["lang"].tolist(), sizes, packer.compress(b"".join(texts))))
             yield pd.DataFrame(out, columns=["bucket", "ids", "langs", "sizes", "texts"])
 
     types = dict(docs.dtypes)
@@ -129,10 +131,11 @@ def pack_texts(docs: DataFrame) -> DataFrame:
 def unpack_texts(rows: pd.DataFrame) -> tuple[list, list, list[str]]:
     """Ids, languages and texts of the packed rows of one bucket."""
     ids, langs, texts = [], [], []
+    unpacker = zstandard.ZstdDecompressor()
     for i, lang, sizes, data in zip(rows["ids"], rows["langs"], rows["sizes"], rows["texts"]):
         ids += list(i)
         langs += list(lang)
-        data = zlib.decompress(data)
+        data = unpacker.decompress(data)
         ends = np.cumsum(np.frombuffer(sizes, "<u8")).tolist()
         texts += [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([0, *ends], ends)]
     return ids, langs, texts

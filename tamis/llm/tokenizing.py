@@ -22,7 +22,7 @@ class Encoder:
     special tokens) are encoded whole, so the ids are always those of the whole text.
     """
 
-    def __init__(self, path: str, joiner: str | None = None, cache_pieces: int = 1_000_000):
+    def __init__(self, path: str, joiner: str | None = None, cache_pieces: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -26,7 +26,8 @@ class Settings:
 
     Below one node, segments become a wildcard if there are at least ``least_children`` of them
     and one in ``rows_per_child`` rows or more is new.  Neighbouring branches merge while their
-    shares of blocked urls differ by at most ``alike`` and by less than ``z`` standard errors.  A template's share counts
+    shares of blocked urls differ by at most ``alike`` and by less than ``z`` standard errors;
+    branches without a labelled url stay apart.  A template's share counts
     ``prior`` urls at its parent's share; from ``reject`` on the template is blocked.
     """
 
@@ -94,7 +95,8 @@ def template_tree(urls: DataFrame, settings: Settings = Settings()) -> DataFrame
         order = Window.partitionBy("host", "node").orderBy("share", "segment")
         literal = literal.withColumn("share", share).withColumn("error", error)
         gap = F.abs(F.col("share") - F.lag("share").over(order))
-        apart = (gap > settings.alike) | (gap >= settings.z * F.sqrt(F.col("error") + F.lag("error").over(order)))
+        unknown = (F.col("labelled") == 0) | (F.lag("labelled").over(order) == 0)
+        apart = unknown | (gap > settings.alike) | (gap >= settings.z * F.sqrt(F.col("error") + F.lag("error").over(order)))
         literal = literal.withColumn("cut", F.coalesce(apart, F.lit(True)).cast("int"))
         literal = literal.withColumn("branch", F.sum("cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         names = literal.groupBy("host", "node", "branch").agg(F.min("segment").alias("a"), F.max("segment").alias("b"))

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from tamis.llm import contamination, id_coder, near_duplicates, nested_secrets, ngram_quality, repeated_passages
 from tamis.llm import top_k, toxic_neighbours, two_fit_packing, url_templates
 from tamis.llm.tokenizing import Encoder
+from tamis.operators.training import best_fit_decreasing
 
 WORDS = [a + b for a in ("ka", "lo", "mi", "ne", "tu", "ra", "so") for b in ("ba", "de", "fi", "go", "hu", "la", "z")]
 
@@ -286,9 +287,7 @@ def test_best_two_fit():
         lengths = [draw.randint(1, 100) for _ in range(300)]
         bins = two_fit_packing.best_two_fit(lengths, 100)
         assert sorted(n for b in bins for n in b) == sorted(lengths) and all(sum(b) <= 100 for b in bins)
-        # No packing does with fewer sequences than the tokens fill, or than there are pieces of more than half a sequence.
-        least = max(-(-sum(lengths) // 100), sum(n > 50 for n in lengths))
-        assert len(bins) <= least * 1.05 + 1
+        assert len(bins) <= max(b for _, b, _ in best_fit_decreasing(lengths, 100)) + 2
     # 7 alone leaves 3; the pair 5 + 5 fills the bin that 7 opened with it.
     assert two_fit_packing.best_two_fit([7, 5, 5], 10) == [[5, 5], [7]]
 

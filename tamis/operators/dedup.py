@@ -19,7 +19,7 @@ from tamis.functions.text import PUNCTUATION_CLASS, strip, word_count
 from tamis.operators.quality import n_grams
 from tamis.session import cut_lineage
 
-PRIME = 2**31 - 1
+PRIME = 2**61 - 1
 
 
 @dataclass(frozen=True)
@@ -63,8 +63,9 @@ def exact_groups(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
 
 
 def content_key(*cols: Column) -> Column:
-    """Digest of several values with their lengths, so that neighbours cannot run together."""
-    parts = [p for c in cols for p in (F.length(c.cast("string")).cast("string"), c.cast("string"))]
+    """Digest of several values with their lengths, so that neighbours, nulls among them, cannot run together."""
+    # A null is "-", which no length begins with.
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in cols]
     return F.unhex(F.md5(F.concat_ws(":", *parts)))
 
 
@@ -105,7 +106,7 @@ def shingles(word_array: Column, n: int) -> Column:
 
 
 def base_hashes(df: DataFrame, id_col: str, config: MinHashConfig, text_col: str = "text") -> DataFrame:
-    """``id, hashes``: one 31-bit hash per distinct shingle, computed in the row."""
+    """``id, hashes``: one 60-bit hash per distinct shingle, computed in the row."""
     # The test stops at the first word character; asking for the array's size would
     # run the extraction once for the filter and once for the rows.
     words = df.where(F.col(text_col).rlike(PLAIN)).select(id_col, normalised_words(F.col(text_col)).alias("_w"))
@@ -113,17 +114,23 @@ def base_hashes(df: DataFrame, id_col: str, config: MinHashConfig, text_col: str
     return grams.select(id_col, F.transform("_g", lambda g: F.pmod(hash60(g), F.lit(PRIME))).alias("hashes"))
 
 
-def _minima(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, block: int = 4096) -> np.ndarray:
+def _minima(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, block: int = 1024) -> np.ndarray:
     """Row of ``min((a * h + b) mod PRIME)``, in blocks so that long texts stay small in memory."""
-    best = np.full(len(a), PRIME, dtype=np.int64)
+    prime, half, low31, low30 = np.uint64(PRIME), np.uint64(31), np.uint64(2**31 - 1), np.uint64(2**30 - 1)
+    a, b, hashes = (np.asarray(v).astype(np.uint64)[:, None] for v in (a, b, hashes))
+    a1, a0 = a >> half, a & low31
+    best = np.full(len(a), prime)
     for i in range(0, len(hashes), block):
-        x = a[:, None] * hashes[None, i : i + block] + b[:, None]
-        # Modulo a Mersenne prime by folding the high bits down twice.
-        x = (x & PRIME) + (x >> 31)
-        x = (x & PRIME) + (x >> 31)
-        x[x == PRIME] = 0
+        h = hashes[i : i + block].T
+        h1, h0 = h >> half, h & low31
+        # The product in halves of 31 bits; 2**61 is 1 modulo the prime, so high parts fold down.
+        middle = a1 * h0 + a0 * h1
+        x = np.uint64(2) * (a1 * h1) + (middle >> np.uint64(30)) + ((middle & low30) << half) + a0 * h0
+        x = (x & prime) + (x >> np.uint64(61)) + b
+        x = (x & prime) + (x >> np.uint64(61))
+        x[x == prime] = 0
         best = np.minimum(best, x.min(axis=1))
-    return best
+    return best.astype(np.int64)
 
 
 def signatures(df: DataFrame, id_col: str, config: MinHashConfig | None = None, text_col: str = "text") -> DataFrame:
@@ -161,7 +168,7 @@ def bucket_edges(bands: DataFrame, id_col: str) -> DataFrame:
     return linked.where(F.col(id_col) != F.col("dst")).select(F.col(id_col).alias("src"), "dst").distinct()
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``id, component`` for every id in ``edges(src, dst)``; the component is its smallest id.
 
     Alternates two steps until nothing moves: every node hands its larger neighbours
@@ -185,22 +192,18 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     def fingerprint(df: DataFrame) -> tuple:
         sums = df.agg(
-            F.count(F.lit(1)), F.sum(F.col("v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("u", "v")),
-            F.bit_xor(F.xxhash64("v", "u")),
+            F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u")),
+            F.bit_xor(F.xxhash64(F.lit(7), "u", "v")),
         )
         return tuple(sums.first())
 
     current = cut_lineage(orient(edges))
     state = fingerprint(current)
-    for _ in range(max_rounds):
-        if state[0] == 0:
-            break
+    while state[0]:
         current = cut_lineage(small_step(large_step(current)))
         before, state = state, fingerprint(current)
         if state == before:
             break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     # The edges are now a star per component: one row per non-minimal id.
     centres = current.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return current.select(F.col("u").alias("id"), F.col("v").alias("component")).union(centres)

@@ -177,7 +177,7 @@ def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str,
         "bullet_ratio": share(count_matches(text, r"(?md)^[^\S\n]*+[•\-]"), n_lines),
         "ellipsis_line_ratio": share(count_matches(text, r"(?md)(?:\.\.\.|…)[^\S\n]*$"), n_lines),
         "alpha_ratio": share(count_matches(text, r"\p{L}\S*"), n_words),
-        "stop_words": count_matches(text, rf"(?<!\S)(?:{stops})(?!\S)") if stops else F.lit(0).cast("long"),
+        "stop_words": F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<!\S)(?:{stops})(?!\S)"), F.lit(0)))).cast("long") if stops else F.lit(0).cast("long"),
     }
 
 

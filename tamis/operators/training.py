@@ -107,26 +107,31 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, in
 
 
 def pack(df: DataFrame, id_col: str, length_col: str, capacity: int = 4096, rows_per_shard: int = 100_000) -> DataFrame:
-    """``id, shard, bin, start, length``: pack documents into sequences of ``capacity`` tokens.
+    """``id, piece, from_token, shard, bin, start, length``: pack documents into sequences of ``capacity`` tokens.
 
-    Documents over the capacity are cut to it.  Only ids and lengths are shuffled,
-    into hash shards of about ``rows_per_shard`` rows that are packed independently;
-    the loss against one global packing is at most a part-filled bin per size class
-    and shard.
+    Documents over the capacity are cut into pieces of it, the last one shorter; ``from_token``
+    is where a piece begins in its document.  Only ids and lengths are shuffled, into hash
+    shards of about ``rows_per_shard`` documents that are packed independently; the loss against
+    one global packing is at most a part-filled bin per size class and shard.
     """
     n_shards = max(1, -(-df.count() // rows_per_shard))
-    slim = df.select(
-        id_col, F.least(F.col(length_col), F.lit(capacity)).cast("long").alias("length"),
-        F.pmod(hash60(F.col(id_col).cast("string")), F.lit(n_shards)).cast("long").alias("shard"),
+    total = F.col(length_col).cast("long")
+    pieces = df.select(
+        id_col, total.alias("total"), F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(total / capacity).cast("long"), F.lit(1)) - 1)).alias("piece"),
     )
-    schema = f"{id_col} {dict(df.dtypes)[id_col]}, shard bigint, bin bigint, start bigint, length bigint"
+    slim = pieces.select(
+        id_col, "piece", (F.col("piece") * capacity).alias("from_token"), F.least(F.col("total") - F.col("piece") * capacity, F.lit(capacity)).cast("long").alias("length"),
+        F.pmod(hash60(F.concat_ws("/", F.col(id_col).cast("string"), "piece")), F.lit(n_shards)).cast("long").alias("shard"),
+    )
+    columns = [id_col, "piece", "from_token", "shard", "bin", "start", "length"]
+    schema = f"{id_col} {dict(df.dtypes)[id_col]}, piece bigint, from_token bigint, shard bigint, bin bigint, start bigint, length bigint"
 
     def pack_shard(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(id_col, ignore_index=True)
+        rows = rows.sort_values([id_col, "piece"], ignore_index=True)
         placed = best_fit_decreasing(rows["length"].tolist(), capacity)
         items, bins, starts = zip(*placed)
-        out = rows.iloc[list(items)][[id_col, "shard", "length"]]
-        return out.assign(bin=list(bins), start=list(starts))[[id_col, "shard", "bin", "start", "length"]]
+        out = rows.iloc[list(items)][[id_col, "piece", "from_token", "shard", "length"]]
+        return out.assign(bin=list(bins), start=list(starts))[columns]
 
     return slim.groupBy("shard").applyInPandas(pack_shard, schema)
 

@@ -124,9 +124,9 @@ def exact_match(t):
 
 @query("evl02_loglikelihood", """
 SELECT label, count(*) AS n, round(avg(h), 6) AS acc, round(stddev_samp(h) / sqrt(count(*)), 6) AS acc_stderr FROM (
-  SELECT label, (list_position(embedding[1:4], list_max(embedding[1:4])) - 1 = vec_id % 4)::INT AS h FROM embeddings) GROUP BY label""")
+  SELECT label, (list_position(embedding, list_max(embedding)) - 1 = vec_id % 64)::INT AS h FROM embeddings) GROUP BY label""")
 def loglikelihood(t):
-    hits = t.embeddings.select("label", b.loglikelihood_hit(F.slice("embedding", 1, 4), F.col("vec_id") % 4).alias("hit"))
+    hits = t.embeddings.select("label", b.loglikelihood_hit(F.col("embedding"), F.col("vec_id") % 64).alias("hit"))
     return b.accuracy(hits, "hit", ["label"])
 
 
@@ -138,12 +138,12 @@ def accuracy(t):
 
 @query("evl04_few_shots", f"""
 WITH d AS (SELECT doc_id, lang, text, {UNIT.format(seed=42, key='doc_id')} < 0.5 AS validation FROM documents),
-s AS (SELECT lang AS task, string_agg(substring(text, 1, 40), concat(chr(10), chr(10)) ORDER BY doc_id) AS context FROM (
+s AS (SELECT lang AS task, string_agg(text, concat(chr(10), chr(10)) ORDER BY doc_id) AS context FROM (
   SELECT * FROM d WHERE NOT validation QUALIFY row_number() OVER (PARTITION BY lang ORDER BY doc_id) <= 5) GROUP BY lang)
 SELECT doc_id, concat(context, chr(10), chr(10), text) AS prompt FROM d JOIN s ON lang = task WHERE validation""")
 def few_shots(t):
     docs = with_split(t.documents.select("doc_id", F.col("lang").alias("task"), "text"), validation_share=0.5)
-    train = docs.where("split = 'train'").withColumn("text", F.substring("text", 1, 40))
+    train = docs.where("split = 'train'")
     context = b.few_shot_context(train, "task", "doc_id", "text", 5)
     return b.with_few_shots(docs.where("split = 'validation'"), context, "task", "text").select("doc_id", "prompt")
 
@@ -196,9 +196,9 @@ def rebuild_choices(t):
     return built.select("item_id", F.array_join("choices.text", "|").alias("texts"), F.array_join("choices.label", "|").alias("labels"), F.col("answerKey").alias("answer"), "relation")
 
 
-@query("flt28_exactly_four", "SELECT doc_id FROM documents WHERE len(string_split(lang || '-' || substring(text, 1, 12), 'e')) = 4")
+@query("flt28_exactly_four", "SELECT doc_id FROM documents WHERE len(string_split(lang || '-' || text, 'j')) = 4")
 def exactly_four(t):
-    made = t.documents.select("doc_id", F.split(F.concat("lang", F.lit("-"), F.substring("text", 1, 12)), "e", -1).alias("choices"))
+    made = t.documents.select("doc_id", F.split(F.concat("lang", F.lit("-"), "text"), "j", -1).alias("choices"))
     return b.exactly_four(made).select("doc_id")
 
 

@@ -14,7 +14,7 @@ def _minhash_sql() -> str:
     """CTEs ``sh(doc_id, h)`` (distinct shingle hashes) and ``bands(doc_id, band, sig)``."""
     n = CONFIG.n_gram
     gram = " || ' ' || ".join(["w[i]"] + [f"w[i + {k}]" for k in range(1, n)])
-    minima = [f"min(({a} * h + {b}) % {d.PRIME})" for a, b in CONFIG.coefficients()]
+    minima = [f"min(({a}::HUGEINT * h + {b}) % {d.PRIME})::BIGINT" for a, b in CONFIG.coefficients()]
     bands = ", ".join(
         "concat_ws(',', " + ", ".join(f"m{b * CONFIG.rows + r}" for r in range(CONFIG.rows)) + ")" for b in range(CONFIG.bands)
     )

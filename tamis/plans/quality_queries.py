@@ -45,7 +45,7 @@ MEASURE_SQL = {
     "bullet_ratio": rf"len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\s*[•\-]'))) / nullif({N_LINES}, 0)",
     "ellipsis_line_ratio": rf"len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(\.\.\.|…)\s*$'))) / nullif({N_LINES}, 0)",
     "alpha_ratio": rf"len(list_filter({W}, lambda w: regexp_matches(w, '\p{{L}}'))) / nullif(len({W}), 0)",
-    "stop_words": f"len(list_filter({W}, lambda w: w IN ('the', 'of', 'and', 'der', 'die', 'de', 'la', 'el')))",
+    "stop_words": f"len(list_distinct(list_filter({W}, lambda w: w IN ('the', 'of', 'and', 'der', 'die', 'de', 'la', 'el'))))",
 }
 STOP = ("the", "of", "and", "der", "die", "de", "la", "el")
 INTEGERS = {"n_words", "n_real_words", "solid_lines", "stop_words"}

@@ -108,9 +108,9 @@ def score_changes(t):
     return r.score_changes(runs(t), ["model_name", "bench"], "event_id", "value").select("event_id", "change")
 
 
-@query("srt02_newest_first", f"WITH {R} SELECT event_id FROM r ORDER BY ts DESC, event_id DESC LIMIT 50")
+@query("srt02_newest_first", f"WITH {R} SELECT event_id FROM r ORDER BY ts DESC, event_id DESC")
 def newest_first(t):
-    return r.newest_first(runs(t).select("event_id", "ts"), "ts", "event_id").limit(50).select("event_id")
+    return r.newest_first(runs(t).select("event_id", "ts"), "ts", "event_id").select("event_id")
 
 
 @query("set03_group_or_name", f"WITH {R} SELECT DISTINCT CASE WHEN model_name LIKE '%/%' THEN split_part(model_name, '/', 1) ELSE model_name END AS run FROM r")

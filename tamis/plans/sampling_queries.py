@@ -101,11 +101,11 @@ def pack(t):
 
 
 @query("trn03_pack_invariants", f"""
-SELECT count(*) AS documents, true AS fits, sum(least(len({TOKENS}) + 1, 4096))::BIGINT AS tokens FROM documents""")
+SELECT sum(ceil((len({TOKENS}) + 1) / 4096))::BIGINT AS pieces, true AS fits, sum(len({TOKENS}) + 1)::BIGINT AS tokens FROM documents""")
 def pack_invariants(t):
     packed = pack(t)
     bins = packed.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("t"), F.max(F.col("start") + F.col("length")).alias("end"))
-    return bins.agg(F.sum("n").alias("documents"), F.bool_and((F.col("t") <= 4096) & (F.col("end") == F.col("t"))).alias("fits"), F.sum("t").alias("tokens"))
+    return bins.agg(F.sum("n").alias("pieces"), F.bool_and((F.col("t") <= 4096) & (F.col("end") == F.col("t"))).alias("fits"), F.sum("t").alias("tokens"))
 
 
 @query("trn04_split_info", f"""

@@ -12,9 +12,9 @@ def parquet_scan(t):
     return rd.resolve_text(t.documents)
 
 
-@query("src11_pushed_scan", "SELECT text, n_chars FROM documents WHERE text IS NOT NULL AND n_chars > 500")
+@query("src11_pushed_scan", "SELECT text, n_chars FROM documents WHERE text IS NOT NULL")
 def pushed_scan(t):
-    return t.documents.where("text IS NOT NULL AND n_chars > 500").select("text", "n_chars")
+    return rd.read_counted_text(t.spark, f"{t.folder}/documents.parquet", "n_chars")
 
 
 @query("src08_text_column", r"SELECT 'pages' AS t, url AS text, len(regexp_extract_all(url, '\S+')) AS n_words FROM pages UNION ALL SELECT 'conversations', text, len(regexp_extract_all(text, '\S+')) FROM conversations")

@@ -129,9 +129,9 @@ def first_filled(df: DataFrame, candidates: list[str], min_length: int = 0) -> C
     return F.coalesce(*[F.when(F.length(c) > min_length, F.col(c)) for c in present])
 
 
-def read_counted_text(spark: SparkSession, path: str) -> DataFrame:
-    """``text, n_words`` of the rows with a text; both go down to the parquet scan."""
-    return spark.read.parquet(path).where("text IS NOT NULL").select("text", "n_words")
+def read_counted_text(spark: SparkSession, path: str, count_col: str = "n_words") -> DataFrame:
+    """``text`` and its stored count, of the rows with a text; both go down to the parquet scan."""
+    return spark.read.parquet(path).where("text IS NOT NULL").select("text", count_col)
 
 
 def read_wiki_dump(spark: SparkSession, path: str, min_length: int = 0) -> DataFrame:

@@ -99,3 +99,19 @@ def test_presets():
 def test_keep_first(spark):
     df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "k string, i int")
     assert sorted(tuple(r) for r in d.keep_first(df, ["k"], ["i"]).collect()) == [("a", 1), ("b", 3)]
+
+
+def test_short_texts_are_not_run_together(spark):
+    df = spark.createDataFrame([(i, f"item {i}") for i in (38962, 83874)], "doc_id long, text string")
+    assert d.near_duplicate_clusters(df, "doc_id").count() == 0
+
+
+def test_string_ids(spark):
+    df = spark.createDataFrame([("a", "one two three four five six"), ("b", "one two three four five six"), ("c", "other")], "doc_id string, text string")
+    got = {r["doc_id"]: r["component"] for r in d.near_duplicate_clusters(df, "doc_id").collect()}
+    assert got == {"a": "a", "b": "a"}
+
+
+def test_nulls_and_neighbours_have_their_own_keys(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "", "a"), (4, "a", None)], "i long, x string, y string")
+    assert sorted(r["i"] for r in d.drop_exact(df, "i", ["x", "y"]).collect()) == [1, 2, 3]

@@ -88,7 +88,9 @@ def test_best_fit(seed):
 def test_pack_covers_everything(spark):
     df = spark.createDataFrame([(i, (i * 37) % 6000) for i in range(500)], "doc_id long, n long")
     out = tr.pack(df, "doc_id", "n", 4096, rows_per_shard=100)
-    assert out.count() == 500 and out.select("shard").distinct().count() == 5
+    assert out.select("doc_id").distinct().count() == 500 and out.select("shard").distinct().count() == 5
+    whole = out.groupBy("doc_id").agg(F.sum("length").alias("t"), F.max(F.col("from_token") + F.col("length")).alias("end"))
+    assert whole.join(df, "doc_id").where("t != n OR end != n").count() == 0
     assert out.groupBy("shard", "bin").agg(F.sum("length").alias("t")).where("t > 4096").count() == 0
 
 

@@ -43,8 +43,10 @@ class Encoder:
         if not new:
             return
         # Many pieces go into one text, each followed by a character that no merge takes in.
-        plain = [w for w in new if MARK not in w and not w[-2:].isspace()]
-        odd = [w for w in new if MARK in w or w[-2:].isspace()]
+        # White space at the end, or an apostrophe at the start, would be read together with it.
+        fits = lambda w: MARK not in w and not w[-2:].isspace() and not (lead + w).startswith("'")
+        plain = [w for w in new if fits(w)]
+        odd = [w for w in new if not fits(w)]
         end = f" {MARK} " if self.joiner == "drop" else MARK
         chunks = [plain[i : i + 256] for i in range(0, len(plain), 256)]
         encode = lambda texts: [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

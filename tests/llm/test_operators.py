@@ -97,6 +97,31 @@ def test_chain_of_links_through_a_member(docs):
     assert got == brute_classes(texts)
 
 
+def test_links_among_texts_that_share_a_passage(docs):
+    # A passage of a third of every text fills buckets with texts that are far apart.
+    passage = prose(7, 30)
+    texts = [f"{prose(100 + i, 30)} {passage} {prose(300 + i, 30)}" for i in range(60)]
+    for i in range(0, 60, 4):
+        words = texts[i].split()
+        words[0] = "other"
+        words[80 - i] = f"other{i}"
+        texts.append(" ".join(words))
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(docs(texts)).collect()}
+    assert got == brute_classes(texts)
+
+
+def test_bits_of_near_texts_agree():
+    settings, draw = near_duplicates.Settings(), np.random.default_rng(11)
+    worst = 0
+    for _ in range(400):  # 180 of 220 elements in common
+        all_of = np.sort(draw.integers(1, 1 << 63, 220, dtype=np.uint64))
+        a, b = all_of[:200], all_of[20:]
+        signatures = near_duplicates.prob_min_hash([a, b], [np.ones(200), np.ones(200)], settings.registers)
+        x, y = near_duplicates.low_bits(signatures)
+        worst = max(worst, sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)))
+    assert 10 < worst <= settings.differing
+
+
 def test_registers_estimate_probability_jaccard():
     a, b = np.arange(1, 401, dtype=np.uint64), np.arange(101, 501, dtype=np.uint64)
     p, q = np.where(a < 200, 3, 1), np.where(b < 300, 3, 1)
@@ -162,12 +187,12 @@ def test_coder_learns():
     assert len(id_coder.write_segment(text, np.array([len(text)]))) < len(text) / 4
 
 
-ODD = ["", " ", "a  b", "a   b \n\n c\n d ", "x  y", "it's 'tis", "A\x00b \x00", "é ́a", "<|endoftext|> b", "\ttab  \t end ", "ΟΔΟΣ ΣΑΣ", "🙂 🙂a 12 345", "  lead"]
+ODD = ["", " ", "a  b", "a   b \n\n c\n d ", "x  y", "it's 'tis", "A\x00b \x00", "é ́a", "<|endoftext|> b", "\ttab  \t end ", "ΟΔΟΣ ΣΑΣ", "🙂 🙂a 12 345", "  lead", "'sun 're", "'t 'tis", "'dot"]
 
 
 @pytest.mark.parametrize("name, joiner", [("word_bpe_49k.json", "drop"), ("byte_bpe_50k.json", "lead"), ("byte_bpe_50k.json", None)])
 def test_pieces_give_the_ids_of_whole_texts(name, joiner):
-    texts = ODD + [prose(1, 300), *(" ".join(random.Random(i).choices(ODD, k=6)) for i in range(60))]
+    texts = ODD + ["'s at the start", "'ll", "''s", prose(1, 300), *(" ".join(random.Random(i).choices(ODD, k=6)) for i in range(60))]
     encoder, plain = Encoder(public_tokenizers.path(name), joiner, cache_pieces=50), Tokenizer.from_file(public_tokenizers.path(name))
     ids, counts = encoder.encode(texts)
     for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):

@@ -23,12 +23,14 @@ WORD = re.compile(r"[^\W\d_]+")
 class Settings:
     """``max_examples`` bounds the labelled rows that are learnt from, half of them toxic if there are enough.
 
-    Terms are words and their first ``stems`` letters; kept are at most ``max_terms`` whose
-    share of toxic examples is above the overall share, those with the greatest log-likelihood
-    ratio, which has to be ``least_ratio`` or more (30: one term in 10**7 by chance), and of whose
-    examples ``least_purity`` or more are toxic.  Copies of a text count once.
-    ``neighbours`` vote, ``block`` examples share a block of the index, and a document without
+    Terms are words and their first ``stems`` letters, all that the examples hold.  The idf of
+    at most ``max_terms`` is raised by 1 plus their log-likelihood ratio: those whose share of
+    toxic examples is above the overall share, with the greatest ratio, which has to be
+    ``least_ratio`` or more (30: one term in 10**7 by chance), and of whose examples
+    ``least_purity`` or more are toxic.  Copies of a text count once.
+    ``neighbours`` vote, ``block`` texts are compared at once, and a document without
     neighbours counts ``prior`` votes at the share of toxic examples that have none either.
+    The index holds the ``wide`` terms of most examples as a matrix, the others as lists.
     """
 
     max_examples: int = 8192
@@ -39,6 +41,7 @@ class Settings:
     block: int = 512
     prior: float = 1.0
     least_purity: float = 0.5
+    wide: int = 1024
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -57,64 +60,100 @@ def terms_of(text: str, stems: tuple[int, ...]) -> Counter:
     return out
 
 
+Vector = tuple[np.ndarray, np.ndarray]  # ascending terms, and the weight of each
+
+
 class Index:
-    """Examples by term, in blocks, each block with the greatest weight of every term in it."""
+    """Examples by term: all their terms, the most frequent as a matrix of term and example."""
 
     def __init__(self, terms: list[str], idf: np.ndarray, ids: list, rows: list[dict[int, float]], toxic: np.ndarray, settings: Settings):
+        vectors = [(np.fromiter(r, np.int64), np.fromiter(r.values(), float)) for r in rows]
+        self._fill(terms, idf, ids, vectors, toxic, settings)
+
+    @classmethod
+    def of_vectors(cls, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], toxic: np.ndarray, settings: Settings) -> Index:
+        index = cls.__new__(cls)
+        index._fill(terms, idf, ids, vectors, toxic, settings)
+        return index
+
+    def _fill(self, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], toxic: np.ndarray, settings: Settings) -> None:
         self.terms, self.idf, self.settings = {t: i for i, t in enumerate(terms)}, idf, settings
         self.ids, self.toxic = np.array(ids, object), toxic.astype(np.float64)
-        self.blocks = max(1, -(-len(rows) // settings.block))
-        self.bound = np.zeros((len(terms), self.blocks))
-        postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(self.blocks)]
-        for i, row in enumerate(rows):
-            block = i // settings.block
-            for term, weight in row.items():
-                postings[block].setdefault(term, []).append((i % settings.block, weight))
-                self.bound[term, block] = max(self.bound[term, block], weight)
-        self.postings = [
-            {t: (np.array([p[0] for p in ps]), np.array([p[1] for p in ps])) for t, ps in block.items()} for block in postings
-        ]
+        term = np.concatenate([t.astype(np.int32) for t, _ in vectors]) if vectors else np.zeros(0, np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+        order = np.argsort(term, kind="stable")
+        owner = np.repeat(np.arange(len(vectors), dtype=np.min_scalar_type(max(1, len(vectors)))), [len(t) for t, _ in vectors])
+        self.at = owner[order]
+        self.weight = (np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0))[order]
+        self.matrix: np.ndarray | None = None  # made where it is used
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
+        """The unit vector of a text over all terms of the examples."""
+        raw = (1 + np.log(counts)) * self.idf[terms]
+        return terms, raw / math.sqrt(raw @ raw) if len(raw) else raw
 
     def weights(self, counts: dict[str, int]) -> dict[int, float]:
-        """The unit vector of a text over the kept terms."""
-        raw = {self.terms[t]: (1 + math.log(n)) for t, n in counts.items() if t in self.terms}
-        raw = {t: w * self.idf[t] for t, w in raw.items()}
-        norm = math.sqrt(sum(w * w for w in raw.values()))
-        return {t: w / norm for t, w in sorted(raw.items())} if norm else {}
+        """The unit vector of a text, by term."""
+        known = {self.terms[t]: n for t, n in counts.items() if t in self.terms}
+        terms = np.array(sorted(known), np.int64)
+        return dict(zip(terms.tolist(), self.vector(terms, np.array([known[t] for t in terms.tolist()], float))[1].tolist()))
+
+    def _widen(self) -> None:
+        sizes = np.diff(self.starts)
+        often = np.argsort(-sizes, kind="stable")[: self.settings.wide]
+        self.column = np.full(len(sizes), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), len(self.ids)))
+        for i, t in enumerate(often.tolist()):
+            part = slice(self.starts[t], self.starts[t + 1])
+            self.matrix[i, self.at[part]] = self.weight[part]
+        rare = np.repeat(self.column < 0, sizes)
+        # What numpy indexes with, so that it is not converted again for every text.
+        self.rare_at, self.rare_weight = self.at[rare].astype(np.intp), self.weight[rare]
+        self.rare_starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
+        self.at = self.weight = None
+
+    def cosines(self, queries: list[Vector]) -> np.ndarray:
+        """The cosine of every query with every example."""
+        if self.matrix is None:
+            self._widen()
+        wide = np.zeros((len(queries), len(self.matrix)))
+        columns = [self.column[terms] for terms, _ in queries]
+        for row, at, (_, weights) in zip(wide, columns, queries):
+            row[at[at >= 0]] = weights[at >= 0]
+        out = wide @ self.matrix
+        for row, at, (terms, weights) in zip(out, columns, queries):
+            rare, weights = terms[at < 0], weights[at < 0]
+            first = self.rare_starts[rare]
+            sizes = self.rare_starts[rare + 1] - first
+            if total := int(sizes.sum()):
+                place = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
+                row += np.bincount(self.rare_at[place], self.rare_weight[place] * np.repeat(weights, sizes), len(row))
+        return out
+
+    def best(self, cosines: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines of the nearest examples; ties go to the earlier example."""
+        k = self.settings.neighbours
+        if skip >= 0:
+            cosines[skip] = 0.0
+        # Sums that differ in the last digits only are ties.
+        least = max(np.partition(cosines, len(cosines) - k)[len(cosines) - k], 0.0) if len(cosines) > k else 0.0
+        at = np.flatnonzero(cosines >= max(least - 1e-11, 1e-12))
+        scores = np.round(cosines[at], 12)
+        order = np.lexsort((at, -scores))[:k]
+        return at[order], scores[order]
 
     def nearest(self, query: dict[int, float], skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the nearest examples, exactly; ties go to the earlier example.
-
-        Blocks come in the order of their upper bounds; the search ends at the first whose bound
-        is below the worst of enough neighbours found.
-        """
-        k = self.settings.neighbours
+        """``best`` of one query, exactly."""
         if not query or not len(self.ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.fromiter(query, np.int64)
-        bounds = np.fromiter(query.values(), float) @ self.bound[terms]
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < scores[-1] - 1e-12):
-                break
-            sums = np.zeros(self.settings.block)
-            for t, w in query.items():
-                if t in self.postings[block]:
-                    at, weight = self.postings[block][t]
-                    sums[at] += w * weight
-            met = np.flatnonzero(sums > 0)
-            rows = met + block * self.settings.block
-            met, rows = met[rows != skip], rows[rows != skip]
-            best, scores = np.concatenate([best, rows]), np.concatenate([scores, sums[met]])
-            top = np.lexsort((best, -np.round(scores, 12)))[:k]
-            best, scores = best[top], scores[top]
-        return best, scores
+        return self.best(self.cosines([(np.fromiter(query, np.int64), np.fromiter(query.values(), float))])[0], skip)
 
 
 @dataclass
 class Model:
     index: Index
-    share_without: float  # toxic share of examples that have no kept term
+    share_without: float  # toxic share of examples that have no word
     slope: float
     offset: float
 
@@ -193,42 +232,63 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
     part = lambda x, p: F.when(x > 0, x * F.log(x / (F.col("n") * max(p, 1e-12)))).otherwise(0.0)
     ratio = 2 * (part(hot, share) + part(cold, 1 - share))
     pure = (hot > F.col("n") * share) & (hot >= F.col("n") * settings.least_purity)
-    chosen = counts.where(pure).withColumn("ratio", F.round(ratio, 9)).where(F.col("ratio") >= settings.least_ratio)
-    kept = chosen.orderBy(F.desc("ratio"), "term").limit(settings.max_terms).collect()
-    terms = [r["term"] for r in kept]
-    idf = np.array([math.log((1 + n) / (1 + r["n"])) + 1 for r in kept])
-    known = set(terms)
+    counts = cut_lineage(counts.withColumn("ratio", F.when(pure, F.round(ratio, 9)).otherwise(0.0)))
+    raised = counts.where(F.col("ratio") >= settings.least_ratio).orderBy(F.desc("ratio"), "term").limit(settings.max_terms).collect()
+    # Bounded by max_examples: the terms of so many texts.
+    table = counts.select("term", "n").toArrow()
+    order = np.argsort(np.array(table["term"].to_pylist(), object), kind="stable")
+    terms = table["term"].take(order).to_pylist()
+    idf = np.log((1 + n) / (1 + table["n"].to_numpy()[order])) + 1
+    del table, order
+    at_term = {t: i for i, t in enumerate(terms)}
+    for r in raised:
+        idf[at_term[r["term"]]] *= 1 + r["ratio"]
+    del at_term
+    words_sent = spark.sparkContext.broadcast(pickle.dumps(terms))
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = {t: i for i, t in enumerate(pickle.loads(words_sent.value))}
         for batch in batches:
-            found = [{t: c for t, c in terms_of(x, stems).items() if t in known} for x in batch["text"]]
+            found = [sorted((known[t], c) for t, c in terms_of(x, stems).items()) for x in batch["text"]]
             yield pd.DataFrame({
-                "id": batch["id"], "toxic": batch["toxic"], "weight": batch["weight"], "terms": [list(f) for f in found], "counts": [list(f.values()) for f in found],
+                "id": batch["id"], "toxic": batch["toxic"], "weight": batch["weight"],
+                "terms": [np.array([t for t, _ in f], "<i4").tobytes() for f in found], "counts": [np.array([c for _, c in f], "<i4").tobytes() for f in found],
             })
 
     id_type = dict(texts.dtypes)["id"]
-    # Bounded: at most max_examples rows of at most max_terms terms.
-    rows = examples.mapInPandas(vectors, f"id {id_type}, toxic int, weight double, terms array<string>, counts array<long>").collect()
+    rows_of = cut_lineage(examples.mapInPandas(vectors, f"id {id_type}, toxic int, weight double, terms binary, counts binary"))
+    # Bounded: at most max_examples rows, a few bytes for each of their terms.
+    rows = rows_of.toArrow().to_pylist()
     rows.sort(key=lambda r: (str(r["id"]), r["toxic"]))
     empty = [r for r in rows if not r["terms"]]
     full = [r for r in rows if r["terms"]]
     without = sum(r["weight"] * r["toxic"] for r in empty), sum(r["weight"] for r in empty)
-    index = Index(terms, idf, [], [], np.zeros(0), settings)
-    vectors_of = [index.weights(dict(zip(r["terms"], r["counts"]))) for r in full]
-    index = Index(terms, idf, [r["id"] for r in full], vectors_of, np.array([r["toxic"] for r in full]), settings)
+    scale = Index(terms, idf, [], [], np.zeros(0), settings)
+
+    def vector_of(index: Index, terms: bytes, counts: bytes) -> Vector:
+        return index.vector(np.frombuffer(terms, "<i4").astype(np.int64), np.frombuffer(counts, "<i4"))
+
+    vectors_of = [vector_of(scale, r.pop("terms"), r.pop("counts")) for r in full]
+    index = Index.of_vectors(terms, idf, [r["id"] for r in full], vectors_of, np.array([r["toxic"] for r in full]), settings)
+    del scale, vectors_of
     model = Model(index, (without[0] + 0.5 * share) / (without[1] + 0.5) if n else 0.0, 1.0, 0.0)
     if not n:
         return model
     # Calibrate on the examples' own votes, each without itself.
     # As bytes that carry the classes too, so that executors need not have the package.
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps((model, vectors_of)))
-    numbers = spark.range(len(full), numPartitions=max(1, min(64, len(full) // 256)))
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, vectors_of = pickle.loads(sent.value)
+        model = pickle.loads(sent.value)
+        place = {x: i for i, x in enumerate(model.index.ids)}
         for batch in batches:
-            yield pd.DataFrame({"at": batch["id"], "vote": [model.vote(*model.index.nearest(vectors_of[i], skip=i)) for i in batch["id"]]})
+            for at in range(0, len(batch), settings.block):
+                part = batch.iloc[at : at + settings.block]
+                cosines = model.index.cosines([vector_of(model.index, t, c) for t, c in zip(part["terms"], part["counts"])])
+                own = [place[x] for x in part["id"]]
+                yield pd.DataFrame({"at": own, "vote": [model.vote(*model.index.best(c, skip=i)) for i, c in zip(own, cosines)]})
 
+    numbers = rows_of.where("length(terms) > 0").select("id", "terms", "counts")
     votes = {r["at"]: r["vote"] for r in numbers.mapInPandas(own_votes, "at long, vote double").collect()}
     nothing = model.vote(np.zeros(0, np.int64), np.zeros(0))
     x = np.array([votes[i] for i in range(len(full))] + [nothing] * len(empty))
@@ -245,11 +305,11 @@ def score_toxicity(
 
     Learns from the labelled rows of ``df`` outside the held-out fold, by their texts only.  The
     score is the distance-weighted vote of the nearest examples, calibrated to a probability;
-    ``evidence`` names them with cosine and label.  The examples and terms kept are bounded by the
-    settings; every row is scored where it lies, over its whole text.
+    ``evidence`` names them with cosine and label.  The examples are bounded by the
+    settings; every row is scored where it lies, over its whole text and all terms of the examples.
 
-    Null texts are empty; texts without a kept term have no neighbours and get the share of toxic
-    examples among such.  Rows without label, or with one other than 0 or 1, are only scored.
+    Null texts are empty; texts without a word of the examples have no neighbours and get the
+    share of toxic examples without words.  Rows without label, or with one other than 0 or 1, are only scored.
     Where an id has several labels the greatest counts; where it has several texts, the first in
     order is the example.  Without any labelled row all scores are near 0.
     """
@@ -262,24 +322,31 @@ def score_toxicity(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pickle.loads(sent.value)
         known = model.index.terms
-        cache: dict[str, tuple[str, ...]] = {}
+        cache: dict[str, list[int]] = {}
+
+        def query(text: str) -> Vector:
+            found, counts = [], []
+            for word, n in Counter(WORD.findall(text.lower())).items():
+                hits = cache.get(word)
+                if hits is None:
+                    if len(cache) > 100_000:
+                        cache.clear()
+                    every = [word] + [word[:k] + "*" for k in stems if len(word) >= k]
+                    hits = cache[word] = [known[t] for t in every if t in known]
+                found += hits
+                counts += [n] * len(hits)
+            terms, place = np.unique(np.array(found, np.int64), return_inverse=True)
+            return model.index.vector(terms, np.bincount(place, counts, len(terms)))
+
         for batch in batches:
             out = []
-            for text in batch["text"]:
-                counts: Counter = Counter()
-                for word in WORD.findall(text.lower()):
-                    hits = cache.get(word)
-                    if hits is None:
-                        if len(cache) > 100_000:
-                            cache.clear()
-                        every = [word] + [word[:n] + "*" for n in stems if len(word) >= n]
-                        hits = cache[word] = tuple(t for t in every if t in known)
-                    if hits:
-                        counts.update(hits)
-                at, cosines = model.index.nearest(model.index.weights(counts))
-                vote = model.vote(at, cosines)
-                evidence = [f"{model.index.ids[i]}:{c:.4f}:{int(model.index.toxic[i])}" for i, c in zip(at.tolist(), cosines.tolist())]
-                out.append((model.score(vote), vote, evidence))
+            for start in range(0, len(batch), settings.block):
+                queries = [query(text) for text in batch["text"].iloc[start : start + settings.block]]
+                for near in model.index.cosines(queries):
+                    at, cosines = model.index.best(near)
+                    vote = model.vote(at, cosines)
+                    evidence = [f"{model.index.ids[i]}:{c:.4f}:{int(model.index.toxic[i])}" for i, c in zip(at.tolist(), cosines.tolist())]
+                    out.append((model.score(vote), vote, evidence))
             done = pd.DataFrame(out, columns=["score", "vote", "evidence"])
             done.insert(0, "id", batch["id"].to_numpy())
             yield done

@@ -365,6 +365,19 @@ def test_nearest_equals_all_cosines():
         assert at.tolist() == [i for i, _ in want] and cosines == pytest.approx([s for _, s in want])
 
 
+def test_toxicity_learns_from_every_labelled_text(docs, spark):
+    # No term is over-represented enough to be raised, and yet copies of labelled texts find them.
+    texts = [prose(i, 30) + f" only{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    df = docs(texts + texts)
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(60)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxic_neighbours.score_toxicity(df, labels).collect()}
+    for i in range(60):
+        if not got[i]["held_out"]:
+            assert f"{i}:1.0000:{int(i % 6 == 0)}" == got[60 + i]["evidence"][0]
+            assert len(got[60 + i]["evidence"]) == 16
+    assert len({r["score"] for r in got.values()}) > 30
+
+
 # --- quality
 
 def kneser_ney(train, texts, order):

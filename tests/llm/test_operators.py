@@ -97,6 +97,17 @@ def test_chain_of_links_through_a_member(docs):
     assert got == brute_classes(texts)
 
 
+def test_repeated_sections_are_near_by_sets(docs):
+    # The same set of shingles, but for a few, with other counts: 0.8 by sets, far below by counts.
+    texts = []
+    for i in range(12):
+        base = [f"w{i}x{k}" for k in range(300)]
+        at = 20 * i
+        texts += [" ".join(base), " ".join(base[: at + 34] + base[at : at + 34] * 9 + base[at + 34 :])]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicate_classes(docs(texts)).collect()}
+    assert got == brute_classes(texts) == {i: i - i % 2 for i in range(24)}
+
+
 def test_links_among_texts_that_share_a_passage(docs):
     # A passage of a third of every text fills buckets with texts that are far apart.
     passage = prose(7, 30)

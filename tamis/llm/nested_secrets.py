@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import bz2
-import gzip
 import lzma
 import re
 import zlib
@@ -24,8 +23,14 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 PIECE = re.compile(r"[A-Za-z0-9]{16,}={0,2}")
+# Lines of one code, the last of which may be shorter.
+WRAPPED = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}[\x20\t]*\r?\n[\x20\t]*)+[A-Za-z0-9+/_-]+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 # First bytes of compressed data.
-OPENERS = ((b"\x1f\x8b", gzip.decompress), (b"BZh", bz2.decompress), (b"\xfd7zXZ\x00", lzma.decompress), (b"\x78", zlib.decompress))
+OPENERS = (
+    (b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor),
+    (b"\xfd7zXZ\x00", lzma.LZMADecompressor), (b"\x78", zlib.decompressobj),
+)
 
 Span = tuple[str, int, int]
 
@@ -66,12 +71,19 @@ class Layer:
         return self.text, self.whole or (tuple(self.starts) if self.starts is not None else None)
 
 
-def _readable(data: bytes) -> str | None:
+def _texts(data: bytes) -> Iterator[str]:
+    """All that the bytes can be read as; what is no character is replaced, so nothing around it is lost."""
+    yield data.decode("utf-8", "replace")
+    if 0 in data:
+        for code in ("utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be"):
+            yield data.decode(code, "replace")
+
+
+def _clean(data: bytes) -> bool:
     try:
-        text = data.decode("utf-8")
+        return all(c.isprintable() or c in "\t\n\r" for c in data.decode("utf-8"))
     except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        return False
 
 
 def _unescaped(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
@@ -132,27 +144,77 @@ def _unicode(escape: str) -> list[tuple[str, int, int]] | None:
     return [(chr(code), 0, len(escape))]
 
 
-def _unpacked(run: str) -> Iterator[str]:
-    """Texts that a base64 run holds, plain or compressed."""
+def _bytes(run: str) -> bytes:
+    """What a base64 run stands for; a last character that fills no byte is left out."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-    except ValueError:
-        return
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _opened(data: bytes) -> bytes | None:
+    """The data decompressed, as far as it goes; None where it is not compressed."""
+    made = next((f for magic, f in OPENERS if data.startswith(magic)), None)
+    if made is None:
+        return None
+    out, magic = [], data[:2]
+    while data.startswith(magic):  # members can follow each other
+        opener = made()
+        # In small steps, so that what comes before a damaged place is kept.
+        for at in range(0, len(data), 64):
+            try:
+                out.append(opener.decompress(data[at : at + 64]))
+            except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
+                return b"".join(out) or None
+            if opener.eof:
+                data = opener.unused_data + data[at + 64 :]
+                break
+        else:
+            break
+    return b"".join(out) or None
+
+
+def _layers(data: bytes) -> Iterator[bytes]:
+    """The data and all that it unpacks to."""
     met: set[bytes] = set()  # data can unpack to itself
-    while data not in met:
+    while data is not None and data not in met:
         met.add(data)
-        opener = next((f for magic, f in OPENERS if data.startswith(magic)), None)
-        if opener is None:
-            break
-        try:
-            data = opener(data)
-        except (OSError, EOFError, ValueError, zlib.error, lzma.LZMAError):
-            break
-    if (text := _readable(data)) is not None:
-        yield text
+        yield data
+        data = _opened(data)
+
+
+def _codes(run: str) -> Iterator[tuple[int, int, bytes]]:
+    """``start, end, data`` of the codes that a run holds: a path or a name may run into a code.
+
+    A code can begin at the run's start and after every sign.  Those that begin at the same place
+    modulo 4 are ends of the same bytes, so one of them is decoded whole; another is given by
+    itself where it is compressed or is the first that is readable to its end.
+    """
+    starts = [0] + [m.end() for m in re.finditer(r"[+/_-]", run) if len(run) - m.end() >= 16]
+    for phase in range(4):
+        own = [s for s in starts if s % 4 == phase]
+        if not own:
+            continue
+        data, parts = _bytes(run[own[0] :]), [own[0]]
+        if not _clean(data):
+            for s in own[1:]:
+                if any(data.startswith(magic, (s - own[0]) // 4 * 3) for magic, _ in OPENERS) and _opened(data[(s - own[0]) // 4 * 3 :]):
+                    yield s, len(run), data[(s - own[0]) // 4 * 3 :]
+            # The latest bytes that are no text; what begins before them cannot be readable to the end.
+            bad = max((i for i, x in enumerate(data) if x < 32 and x not in (9, 10, 13)), default=-1)
+            parts += next(([s] for s in own[1:] if (at := (s - own[0]) // 4 * 3) > bad and _clean(data[at:])), [])
+        if len(parts) == 1:
+            yield own[0], len(run), data
+            continue
+        at = (parts[1] - own[0]) // 4 * 3
+        # A secret is ASCII: it goes over the border only if the byte before is.
+        if data[at - 1] < 128 and (data[at - 1] >= 32 or data[at - 1] in (0, 9, 10, 13)):
+            yield own[0], len(run), data
+        else:
+            yield own[0], parts[1], data[:at]
+        yield parts[1], len(run), data[at:]
+    if len(starts) > 1:
+        for p in PIECE.finditer(run):  # a name may follow the code as well
+            yield p.start(), p.end(), _bytes(p.group())
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
@@ -162,14 +224,15 @@ def _inner(layer: Layer) -> Iterator[Layer]:
         yield found
     if ("\\" in text or "&#" in text) and (found := _unescaped(layer, UNICODE, _unicode)):
         yield found
-    for m in BASE64.finditer(text):
-        runs = [(m.group(), m.start(), m.end())]
-        if re.search(r"[+/_-]", m.group()):
-            # A path or a name may run into the code: its parts are tried as well.
-            runs += [(p.group(), m.start() + p.start(), m.start() + p.end()) for p in PIECE.finditer(m.group())]
-        for run, a, b in runs:
-            for inner in _unpacked(run):
-                yield Layer(inner, whole=layer.span(a, b))
+    runs = [(m.group(), list(range(m.start(), m.end()))) for m in BASE64.finditer(text)]
+    for m in WRAPPED.finditer(text) if "\n" in text else ():
+        at = [i for line in LINE.finditer(m.group()) for i in range(m.start() + line.start(), m.start() + line.end())]
+        runs.append(("".join([text[i] for i in at]), at))
+    for run, at in runs:
+        for a, b, data in _codes(run):
+            for unpacked in _layers(data):
+                for inner in _texts(unpacked):
+                    yield Layer(inner, whole=layer.span(at[a], at[b - 1] + 1))
 
 
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:

@@ -1,6 +1,7 @@
 """Every operator against brute force, and on nulls, empty and long texts, ties, repeats and empty tables."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import math
@@ -254,6 +255,30 @@ def test_nested_layers(code):
     assert nested_secrets.redact(text, spans).startswith("é before, [assign]")
 
 
+@pytest.mark.parametrize("before, after", [("", "\u00a0"), ("", "\u200b"), ("\ufeff", ""), ("page\f", ""), ("", " \x00\x01")])
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, bz2.compress])
+def test_unusual_characters_hide_nothing(before, after, pack):
+    hidden = base64.b64encode(pack((before + PLAIN + after).encode())).decode()
+    assert [s[0] for s in nested_secrets.find_spans(f"see {hidden} there")[1]] == ["assign"]
+
+
+def test_other_encodings_are_read():
+    for data in (PLAIN.encode("utf-16"), PLAIN.encode("utf-16-be"), b"\xff\xfe\xfd " + PLAIN.encode(), gzip.compress(PLAIN.encode())[:-6]):
+        assert nested_secrets.find_spans("x " + base64.b64encode(data).decode())[1]
+
+
+def test_codes_after_paths_and_over_lines():
+    for code in (gzip.compress(PLAIN.encode(), mtime=0), zlib.compress(PLAIN.encode()), PLAIN.encode()):
+        hidden = base64.b64encode(code).decode()
+        for path in ("https://h.example/b/", "https://h.example/some/", "data_", "key-name/"):
+            text = path + hidden
+            assert ("assign", len(path), len(text)) in nested_secrets.find_spans(text)[1] or nested_secrets.find_spans(text)[1][0][2] == len(text)
+    long = base64.encodebytes((prose(1, 40) + " " + PLAIN + " " + prose(2, 40)).encode() + gzip.compress(b"x")).decode().strip()
+    cut = base64.encodebytes(gzip.compress((prose(3, 60) + PLAIN).encode())).decode().strip()
+    for hidden in (long, cut):
+        assert ("assign", 5, 5 + len(hidden)) in nested_secrets.find_spans(f"code\n{hidden}\n\nend")[1]
+
+
 def test_loops_end_and_base_stays():
     text = "%25" * 50 + " " + PLAIN + " " + base64.b64encode(b"nothing to see here").decode()
     base, spans = nested_secrets.find_spans(text)

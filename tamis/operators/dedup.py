@@ -221,9 +221,11 @@ def near_duplicate_clusters(
     copies = cut_lineage(exact_groups(df, id_col, [text_col]))
     distinct_ids = copies.where(F.col(id_col) == F.col("kept_id")).select(id_col)
     sigs = cut_lineage(signatures(df.join(distinct_ids, id_col, "left_semi"), id_col, config, text_col))
-    edges = bucket_edges(band_keys(sigs, id_col, config), id_col)
-    if min_jaccard is not None:
-        edges = verified_edges(edges, df, id_col, min_jaccard, config, text_col).select("src", "dst")
+    bands = band_keys(sigs, id_col, config)
+    if min_jaccard is None:
+        edges = bucket_edges(bands, id_col)
+    else:
+        edges = verified_bucket_edges(bands, df, id_col, min_jaccard, config, text_col)
     copy_edges = copies.where(F.col(id_col) != F.col("kept_id")).select(F.col(id_col).alias("src"), F.col("kept_id").alias("dst"))
     found = connected_components(edges.union(copy_edges))
     return found.select(F.col("id").alias(id_col), "component")
@@ -247,6 +249,41 @@ def verified_edges(
     return both.select("src", "dst", jaccard.alias("jaccard")).where(F.col("jaccard") >= threshold)
 
 
+def verified_bucket_edges(
+    bands: DataFrame, df: DataFrame, id_col: str, threshold: float, config: MinHashConfig | None = None, text_col: str = "text"
+) -> DataFrame:
+    """``src, dst``: verified edges that tie whatever a chain of links inside the buckets ties.
+
+    The smallest id of a bucket is its first head.  While a bucket holds several components, members
+    outside its largest become heads in turn, ever more at once, and are compared with the members of
+    other components, until each is in the largest or has been a head.
+    """
+    members = cut_lineage(bands.select(F.struct("band", "key").alias("bucket"), F.col(id_col).alias("id")))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
+    members = cut_lineage(members.join(shared, "bucket"))
+    tested = cut_lineage(bucket_edges(bands, id_col).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct())
+    links = cut_lineage(verified_edges(tested, df, id_col, threshold, config, text_col).select("src", "dst"))
+    served, heads_at_once = members.select("bucket", "id").limit(0), 1
+    while True:
+        found = connected_components(links)
+        label = cut_lineage(members.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component")))
+        sizes = label.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        split = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+        inside = cut_lineage(label.join(split.select("bucket", F.col("top.component").alias("largest")), "bucket"))
+        waiting = inside.where("component != largest").join(served, ["bucket", "id"], "left_anti")
+        place = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        heads = cut_lineage(waiting.withColumn("place", place).where(F.col("place") <= heads_at_once).select("bucket", "id", "component"))
+        if heads.isEmpty():
+            return links
+        left = heads.select("bucket", F.col("id").alias("head"), F.col("component").alias("own"))
+        pairs = inside.join(left, "bucket").where("component != own").select(F.least("id", "head").alias("src"), F.greatest("id", "head").alias("dst"))
+        pairs = cut_lineage(pairs.distinct().join(tested, ["src", "dst"], "left_anti"))
+        more = verified_edges(pairs, df, id_col, threshold, config, text_col).select("src", "dst")
+        links, tested = cut_lineage(links.union(more)), cut_lineage(tested.union(pairs))
+        served = cut_lineage(served.union(heads.select("bucket", "id")))
+        heads_at_once *= 8
+
+
 def split_duplicates(df: DataFrame, clusters: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
     """Kept documents (one per cluster) and the removed ones."""
     removed_ids = clusters.where(F.col(id_col) != F.col("component")).select(id_col)

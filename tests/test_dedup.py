@@ -2,6 +2,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tamis.operators import dedup as d
 
 
@@ -115,3 +117,22 @@ def test_string_ids(spark):
 def test_nulls_and_neighbours_have_their_own_keys(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, "a"), (3, "", "a"), (4, "a", None)], "i long, x string, y string")
     assert sorted(r["i"] for r in d.drop_exact(df, "i", ["x", "y"]).collect()) == [1, 2, 3]
+
+
+def test_verified_clusters_do_not_hang_on_the_smallest_id(spark):
+    # 1 is under the threshold to 2 and 3, which are near each other; 4 and 5 are tied by a chain that leaves out 1.
+    words = [f"w{i}" for i in range(200)]
+    change = lambda at: " ".join("x" + w if i in at else w for i, w in enumerate(words))
+    texts = [change({20, 60, 100}), change({30, 70}), change({30, 70, 120}), change({199}), change({198, 199})]
+    df = spark.createDataFrame([(i + 1, t) for i, t in enumerate(texts)], "id long, text string")
+    config = d.MinHashConfig()
+    bands = df.select("id", F.lit(0).alias("band"), F.lit("k").cast("binary").alias("key"))  # all in one bucket
+    ids = df.select("id")
+    every = ids.select(F.col("id").alias("src")).join(ids.select(F.col("id").alias("dst")), F.expr("src < dst"))
+    jaccard = {(r["src"], r["dst"]): r["jaccard"] for r in d.verified_edges(every, df, "id", 0.0, config).collect()}
+    assert jaccard[2, 3] > 0.85 > max(v for (a, _), v in jaccard.items() if a == 1 and _ != 4 and _ != 5)
+    wanted = {(r["id"], r["component"]) for r in d.connected_components(d.verified_edges(every, df, "id", 0.88, config).select("src", "dst")).collect()}
+    star = d.verified_edges(d.bucket_edges(bands, "id"), df, "id", 0.88, config)
+    got = {(r["id"], r["component"]) for r in d.connected_components(d.verified_bucket_edges(bands, df, "id", 0.88, config)).collect()}
+    assert not star.where("src IN (2, 3)").count() and {(2, 2), (3, 2)} <= got and got == wanted
+    assert {(2, 2), (3, 2)} <= {tuple(r) for r in d.near_duplicate_clusters(df, "id", config, min_jaccard=0.88).collect()}

@@ -94,6 +94,13 @@ def latest_matrix(t):
     return r.score_matrix(latest, "bench", "model_name", "value", ["base3", "base6", "base9"])
 
 
+@query("agg19_latest_scores", f"""
+WITH {R} SELECT bench, model_name, value FROM r QUALIFY row_number() OVER (PARTITION BY bench, model_name ORDER BY ts DESC, event_id DESC) = 1""")
+def latest_scores(t):
+    """The whole latest matrix, every model of the table, in long form."""
+    return r.latest_per_model(runs(t), ["bench", "model_name"], tie="event_id").select("bench", "model_name", "value")
+
+
 @query("agg18_topic_means", f"""
 WITH {R} SELECT model_name, CASE WHEN count(DISTINCT bench) FILTER (bench IN ('click', 'view', 'error') AND value > 60) = 3 THEN round(avg(value) FILTER (bench IN ('click', 'view', 'error') AND value > 60), 6) END AS hebrew,
   CASE WHEN count(DISTINCT bench) FILTER (bench IN ('purchase', 'signup') AND value > 60) = 2 THEN round(avg(value) FILTER (bench IN ('purchase', 'signup') AND value > 60), 6) END AS english FROM r GROUP BY model_name""")

@@ -253,3 +253,16 @@ def histogram(df: DataFrame, value: str, low: float, high: float, bins: int, key
     # The right edge belongs to the last bin.
     number = F.least(F.width_bucket(F.col(value).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(bins)), F.lit(bins))
     return inside.groupBy(*(keys or []), number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_whole(df: DataFrame, value: str, ranges: dict[str, tuple[float, float, int]], keys: list[str] | None = None) -> DataFrame:
+    """Counts per ``<range> <bin>`` of ascending ranges, and of what lies under, between and over them; they add up to all rows.
+
+    A missing value counts as ``missing``.
+    """
+    v = F.col(value).cast("double")
+    name = F.when(v.isNull(), "missing").when(v < min(low for low, _, _ in ranges.values()), "under")
+    for range_name, (low, high, bins) in ranges.items():
+        number = F.least(F.width_bucket(v, F.lit(float(low)), F.lit(float(high)), F.lit(bins)), F.lit(bins))
+        name = name.when(v < low, "between").when(v <= high, F.concat_ws(" ", F.lit(range_name), number.cast("string")))
+    return df.groupBy(*(keys or []), name.otherwise("over").alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -144,6 +144,13 @@ def histogram(t):
     return lb.histogram(scores(t), "score", -0.5, 8.5, 9, ["model"])
 
 
+@query("agg27_histogram_whole", f"""
+WITH {LONG} SELECT model, CASE WHEN score < -0.5 THEN 'under' WHEN score <= 8.5 THEN concat('low ', least(floor(score + 0.5) + 1, 9)::BIGINT)
+  WHEN score < 24.5 THEN 'between' WHEN score <= 30.5 THEN concat('high ', least(floor(score - 24.5) + 1, 6)::BIGINT) ELSE 'over' END AS bin, count(*) AS n FROM s GROUP BY ALL""")
+def histogram_whole(t):
+    return lb.histogram_whole(scores(t), "score", {"low": (-0.5, 8.5, 9), "high": (24.5, 30.5, 6)}, ["model"])
+
+
 @query("agg24_confusion_matrix", """
 SELECT a.v AS quality, b.v AS toxic, count(doc_id) AS n FROM (VALUES (0), (1)) a(v), (VALUES (0), (1)) b(v) LEFT JOIN labels ON quality = a.v AND toxic = b.v GROUP BY 1, 2""")
 def confusion_matrix(t):

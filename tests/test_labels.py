@@ -68,3 +68,9 @@ def test_gold_index(spark):
     df = spark.createDataFrame([(0,), (3,), (4,), (-1,), (None,)], "i int")
     choices = F.array(*[F.lit(x) for x in "abcd"])
     assert [r[0] for r in df.select(p.valid_gold_index(F.col("i"), choices)).collect()] == [0, 3, 0, 0, 0]
+
+
+def test_whole_histogram_adds_up(spark):
+    df = spark.createDataFrame([(float(x),) for x in (-1, 0, 8, 8.5, 10, 25, 30.5, 50)] + [(None,)], "score double")
+    got = {r["bin"]: r["n"] for r in lb.histogram_whole(df, "score", {"low": (-0.5, 8.5, 9), "high": (24.5, 30.5, 6)}).collect()}
+    assert got == {"under": 1, "low 1": 1, "low 9": 2, "between": 1, "high 1": 1, "high 6": 1, "over": 1, "missing": 1}

@@ -180,12 +180,12 @@ def reason_summary(annotated: DataFrame, by_group: bool = False) -> DataFrame:
 
 
 def removed_examples(annotated: DataFrame, per_reason: int = 30, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
-    """A stable sample of removed documents by reason, with preview and spreadsheet-safe text."""
+    """A stable sample of removed documents by reason, with a spreadsheet-safe preview and the whole text."""
     removed = annotated.where(F.col("filter_reason").isNotNull())
     picked = sample_per_group(removed, ["filter_reason"], id_col, per_reason, seed, rank_col="example")
     return picked.select(
         "filter_reason", F.col("example").cast("long").alias("example"), id_col, "filter_group", "n_words",
-        sheet_safe(preview(F.col("text"))).alias("text_preview"), sheet_safe(F.col("text")).alias("full_text"),
+        sheet_safe(preview(F.col("text"))).alias("text_preview"), F.col("text").alias("full_text"),
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions import cleaning as cl
 from tamis.functions.rules import apply_rules
-from tamis.functions.text import byte_count, strip, word_count
+from tamis.functions.text import byte_count, sheet_safe, strip, word_count
 from tamis.operators import cleaning as cleaning_op, quality as q, reports as r, rows
 from tamis.plans.cleaning_queries import CLEAN_STEPS
 from tamis.plans.derive import N_WORDS, STRIP, rx
@@ -148,6 +148,12 @@ def examples_preview(t):
 
 @query("smp03_full_examples", f"{EXAMPLES} SELECT filter_reason, example, doc_id, filter_group, n_words, substring(text, 1, 32767) AS full_text FROM e")
 def full_examples(t):
+    # As a sheet would hold it.
+    return r.report_tables(annotated(t))["full_examples"].withColumn("full_text", sheet_safe(F.col("full_text")))
+
+
+@query("smp03_whole_examples", f"{EXAMPLES} SELECT filter_reason, example, doc_id, filter_group, n_words, text AS full_text FROM e")
+def whole_examples(t):
     return r.report_tables(annotated(t))["full_examples"]
 
 

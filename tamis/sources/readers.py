@@ -55,7 +55,10 @@ def read_text_csv(spark: SparkSession, path: str, header: bool | str = False) ->
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """Read a file by its inner extension, else by the look of its first line."""
+    """Read a file by its inner extension, else as JSON if its first line looks so, else as plain text.
+
+    A comma does not make a CSV: such a file is one by its extension, or by ``read_text_csv``.
+    """
     inner = path.removesuffix(".gz").lower()
     if inner.endswith(".parquet"):
         return spark.read.parquet(path)
@@ -66,8 +69,6 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     head = first_line(spark, path).strip()
     if head.startswith("{"):
         return spark.read.json(path)
-    if "," in head:
-        return read_text_csv(spark, path, header="auto")
     return spark.read.text(path).withColumnRenamed("value", "text")
 
 

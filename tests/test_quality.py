@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tamis.operators import quality as q
+from tamis.operators import quality as q, reports
 
 
 def reasons(spark, rows, thresholds=None, overrides=None):
@@ -106,3 +106,9 @@ def test_kept_and_removed_cover_everything(spark):
     kept, removed = out.where("filter_reason IS NULL").count(), out.where("filter_reason IS NOT NULL").count()
     assert kept + removed == docs.count() and removed > 0
     assert out.where("(filter_reason IS NULL) <> (filter_group IS NULL)").count() == 0
+
+
+def test_full_examples_are_whole(spark):
+    row = (1, "s", "x" * 40000 + " end", "reason", "group", 2)
+    df = spark.createDataFrame([row], "doc_id long, source string, text string, filter_reason string, filter_group string, n_words long")
+    assert reports.report_tables(df)["full_examples"].first()["full_text"] == row[2]

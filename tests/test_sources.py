@@ -36,6 +36,11 @@ def test_read_any(spark, tmp_path, name, body, expected):
     assert [r["text"] for r in rd.read_any(spark, str(tmp_path / name)).collect()] == expected
 
 
+def test_read_any_keeps_commas_of_plain_text(spark, tmp_path):
+    (tmp_path / "plain.txt").write_text("Hello, world, and more\nsecond\n")
+    assert [r["text"] for r in rd.read_any(spark, str(tmp_path / "plain.txt")).collect()] == ["Hello, world, and more", "second"]
+
+
 def test_document_tree_and_sources(spark, tmp_path):
     for source in ("alpha", "beta"):
         (tmp_path / source / "deep").mkdir(parents=True)

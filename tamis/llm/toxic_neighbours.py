@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -71,9 +72,13 @@ class Index:
         self._fill(terms, idf, ids, vectors, toxic, settings)
 
     @classmethod
-    def of_vectors(cls, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], toxic: np.ndarray, settings: Settings) -> Index:
+    def of_counts(cls, terms: list[str], idf: np.ndarray, ids: list, counted: list[Vector], toxic: np.ndarray, settings: Settings) -> Index:
+        """From terms and their counts.  Weights are made where they are used: counts are small to send."""
         index = cls.__new__(cls)
-        index._fill(terms, idf, ids, vectors, toxic, settings)
+        index._fill(terms, idf, ids, counted, toxic, settings)
+        index.count, index.weight = index.weight.astype(np.min_scalar_type(int(index.weight.max(initial=1)))), None
+        raw = ((1 + np.log(n)) * idf[t] for t, n in counted)
+        index.norm = np.array([math.sqrt(r @ r) for r in raw])
         return index
 
     def _fill(self, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], toxic: np.ndarray, settings: Settings) -> None:
@@ -84,7 +89,7 @@ class Index:
         order = np.argsort(term, kind="stable")
         owner = np.repeat(np.arange(len(vectors), dtype=np.min_scalar_type(max(1, len(vectors)))), [len(t) for t, _ in vectors])
         self.at = owner[order]
-        self.weight = (np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0))[order]
+        self.weight: np.ndarray | None = (np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0))[order]
         self.matrix: np.ndarray | None = None  # made where it is used
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
@@ -100,6 +105,9 @@ class Index:
 
     def _widen(self) -> None:
         sizes = np.diff(self.starts)
+        if self.weight is None:
+            self.weight = (1 + np.log(self.count.astype(float))) * np.repeat(self.idf, sizes) / self.norm[self.at]
+            self.count = None
         often = np.argsort(-sizes, kind="stable")[: self.settings.wide]
         self.column = np.full(len(sizes), -1, np.int32)
         self.column[often] = np.arange(len(often))
@@ -168,6 +176,10 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-60.0, min(60.0, self.slope * _logit(vote) + self.offset))))
 
 
+def packed(model: Model) -> bytes:
+    return zlib.compress(cloudpickle.dumps(model), 1)
+
+
 def _logit(p: float) -> float:
     p = min(max(p, 1e-4), 1 - 1e-4)
     return math.log(p / (1 - p))
@@ -244,10 +256,10 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
     for r in raised:
         idf[at_term[r["term"]]] *= 1 + r["ratio"]
     del at_term
-    words_sent = spark.sparkContext.broadcast(pickle.dumps(terms))
+    words_sent = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(terms), 1))
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = {t: i for i, t in enumerate(pickle.loads(words_sent.value))}
+        known = {t: i for i, t in enumerate(pickle.loads(zlib.decompress(words_sent.value)))}
         for batch in batches:
             found = [sorted((known[t], c) for t, c in terms_of(x, stems).items()) for x in batch["text"]]
             yield pd.DataFrame({
@@ -259,27 +271,27 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
     rows_of = cut_lineage(examples.mapInPandas(vectors, f"id {id_type}, toxic int, weight double, terms binary, counts binary"))
     # Bounded: at most max_examples rows, a few bytes for each of their terms.
     rows = rows_of.toArrow().to_pylist()
+    words_sent.destroy()
     rows.sort(key=lambda r: (str(r["id"]), r["toxic"]))
     empty = [r for r in rows if not r["terms"]]
     full = [r for r in rows if r["terms"]]
     without = sum(r["weight"] * r["toxic"] for r in empty), sum(r["weight"] for r in empty)
-    scale = Index(terms, idf, [], [], np.zeros(0), settings)
 
     def vector_of(index: Index, terms: bytes, counts: bytes) -> Vector:
         return index.vector(np.frombuffer(terms, "<i4").astype(np.int64), np.frombuffer(counts, "<i4"))
 
-    vectors_of = [vector_of(scale, r.pop("terms"), r.pop("counts")) for r in full]
-    index = Index.of_vectors(terms, idf, [r["id"] for r in full], vectors_of, np.array([r["toxic"] for r in full]), settings)
-    del scale, vectors_of
+    counted = [(np.frombuffer(r.pop("terms"), "<i4"), np.frombuffer(r.pop("counts"), "<i4")) for r in full]
+    index = Index.of_counts(terms, idf, [r["id"] for r in full], counted, np.array([r["toxic"] for r in full]), settings)
+    del counted, terms
     model = Model(index, (without[0] + 0.5 * share) / (without[1] + 0.5) if n else 0.0, 1.0, 0.0)
     if not n:
         return model
     # Calibrate on the examples' own votes, each without itself.
     # As bytes that carry the classes too, so that executors need not have the package.
-    sent = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    sent = spark.sparkContext.broadcast(packed(model))
 
     def own_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = pickle.loads(sent.value)
+        model = pickle.loads(zlib.decompress(sent.value))
         place = {x: i for i, x in enumerate(model.index.ids)}
         for batch in batches:
             for at in range(0, len(batch), settings.block):
@@ -290,6 +302,7 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
 
     numbers = rows_of.where("length(terms) > 0").select("id", "terms", "counts")
     votes = {r["at"]: r["vote"] for r in numbers.mapInPandas(own_votes, "at long, vote double").collect()}
+    sent.destroy()
     nothing = model.vote(np.zeros(0, np.int64), np.zeros(0))
     x = np.array([votes[i] for i in range(len(full))] + [nothing] * len(empty))
     y = np.array([r["toxic"] for r in full + empty], float)
@@ -316,11 +329,11 @@ def score_toxicity(
     slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic"))
     model = fit(slim.where("id IS NOT NULL"), marks.where(~held_out(F.col("id"), folds)), settings)
-    sent = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    sent = df.sparkSession.sparkContext.broadcast(packed(model))
     stems = settings.stems
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = pickle.loads(sent.value)
+        model = pickle.loads(zlib.decompress(sent.value))
         known = model.index.terms
         cache: dict[str, list[int]] = {}
 

@@ -45,8 +45,9 @@ class Settings:
 BLANKS = (0x20, 0x09)
 STOPS = (*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D)
 
-FOLD = np.array([c + 32 if 0x41 <= c <= 0x5A else c for c in range(256)], np.uint8)
-CLASS = np.array([2 if c in STOPS else 1 if c in BLANKS else 0 for c in range(256)], np.uint8)
+# For bytes.translate: lower case, and the class of a byte (0 in words, 1 blank, 2 stop).
+FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
+CLASS = bytes(2 if c in STOPS else 1 if c in BLANKS else 0 for c in range(256))
 MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 UNSET = 255
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -57,8 +58,8 @@ class Words:
 
     def __init__(self, texts: list[bytes], seeds: list[int]):
         # A stop ends every text; eight bytes more let every load stay inside.
-        self.data = FOLD[np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8)]
-        kind = CLASS[self.data[:-8]]
+        self.raw = (b"\n".join(texts) + b"\n" + bytes(8)).translate(FOLD)
+        self.data, kind = np.frombuffer(self.raw, np.uint8), np.frombuffer(self.raw[:-8].translate(CLASS), np.uint8)
         inside = np.zeros(len(kind) + 1, bool)
         np.equal(kind, 0, out=inside[1:])
         edge = np.flatnonzero(inside[1:] != inside[:-1])
@@ -241,7 +242,7 @@ def phrase_names(docs: DataFrame, first: np.ndarray, settings: Settings) -> tupl
                 words = Words(texts, own)
                 for text, n in enumerate(np.bincount(words.text, minlength=len(texts)).tolist()):
                     total[langs[text]] = total.get(langs[text], 0) + n
-                phrases, raw = Phrases(words, reached, UNSET - 1), words.data.tobytes()
+                phrases, raw = Phrases(words, reached, UNSET - 1), words.raw
                 for k, at, a, _ in phrases:
                     if k > settings.longest:
                         break

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tamis.llm.piece_encoder import PieceEncoder
+from tamis.llm.piece_encoder import PieceEncoder, kept_encoder
 from tamis.session import cut_lineage
 
 
@@ -36,27 +36,26 @@ class Settings:
 
 
 HARD = np.uint16(1 << 15)
+UNIT = 512
 
 
 def candidates(n: int, ends: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Places after which a document of ``n`` ids may be cut, its end last, and which of them lie inside a sentence."""
-    ends = np.unique(np.append(ends[(ends > 0) & (ends < n)], n))
+    ends = np.append(ends[(ends > 0) & (ends < n)], n)
     gaps = np.diff(ends, prepend=0)
-    long = np.flatnonzero(gaps > settings.long_sentence)
-    inner = [np.arange(ends[i] - gaps[i] + settings.step, ends[i], settings.step) for i in long]
-    places = np.concatenate([ends, *inner])
+    inner = np.where(gaps > settings.long_sentence, (gaps - 1) // settings.step, 0)
+    if not inner.any():
+        return ends, np.zeros(len(ends), bool)
+    nth = np.arange(1, inner.sum() + 1) - np.repeat(np.cumsum(inner) - inner, inner)
+    places = np.concatenate([ends, np.repeat(ends - gaps, inner) + settings.step * nth])
     order = np.argsort(places, kind="stable")
-    return places[order], (order >= len(ends))
+    return places[order], order >= len(ends)
 
 
 def prefix_checksums(data: memoryview, places: np.ndarray) -> np.ndarray:
     """crc32 of the first ids up to each place; ``data`` holds ids of four bytes."""
-    out, crc, at = [], 0, 0
-    for place in places.tolist():
-        crc = zlib.crc32(data[4 * at : 4 * place], crc)
-        out.append(crc)
-        at = place
-    return np.array(out, "<u4")
+    crc32, crc, upto = zlib.crc32, 0, (4 * places).tolist()
+    return np.array([crc := crc32(data[a:b], crc) for a, b in zip([0, *upto], upto)], "<u4")
 
 
 class Shift:
@@ -98,13 +97,12 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[
 
     ``places`` ascend from 0 by steps of at most ``capacity``; ``penalties`` are what a cut there
     costs.  A window costs its padding up to ``capacity``, or none if its length is a power of two.
-    Equal costs go to fewer windows.
+    A window itself costs a ``UNIT``-th of an id, so that equal costs go to fewer windows.
 
     The padding of the window (i, c] splits into a part of i and a part of c, so the best i among
     those within ``capacity`` is the head of a queue whose values ascend; lengths that are powers of
     two are looked up beside it.
     """
-    scale = 1 << 20  # so that one window more never outweighs a padding id
     into, out = [], []
     power = 1
     while power < capacity:
@@ -116,24 +114,30 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[
     into, out = np.concatenate(into), np.concatenate(out)
     order = np.argsort(into, kind="stable")
     exact_from, upto = out[order].tolist(), np.searchsorted(into[order], np.arange(len(places)), "right").tolist()
-    place, penalty = places.tolist(), (penalties * scale + 1).tolist()
-    cost, back = [0] * len(place), [0] * len(place)
-    values, numbers, head = [], [], 0
+    place, penalty = places.tolist(), (penalties * UNIT + 1).tolist()
+    gain, room = (places * UNIT).tolist(), ((capacity - places) * UNIT).tolist()
+    cost, back = [0], [0]
+    values, numbers, head, seen = [], [], 0, 0
+    value = 0
     for c in range(1, len(place)):
-        value = cost[c - 1] + scale * place[c - 1]
         while len(values) > head and values[-1] >= value:
             values.pop()
             numbers.pop()
         values.append(value)
         numbers.append(c - 1)
-        here = place[c]
-        while here - place[numbers[head]] > capacity:
+        least = place[c] - capacity
+        while place[numbers[head]] < least:
             head += 1
-        best, source = values[head] + scale * (capacity - here), numbers[head]
-        for i in exact_from[upto[c - 1] : upto[c]]:
-            if cost[i] < best:
-                best, source = cost[i], i
-        cost[c], back[c] = best + penalty[c], source
+        best, source = values[head] + room[c], numbers[head]
+        if upto[c] > seen:
+            for i in exact_from[seen : upto[c]]:
+                if cost[i] < best:
+                    best, source = cost[i], i
+            seen = upto[c]
+        best += penalty[c]
+        cost.append(best)
+        back.append(source)
+        value = best + gain[c]
     cuts, c = [], len(place) - 1
     while c > 0:
         cuts.append(c)
@@ -207,15 +211,17 @@ def measure(df: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: i
     tail = [] if end_id is None else [end_id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        encoder = kept_encoder(tokenizer)
         for batch in batches:
             rows: list[tuple[int, bytes, bytes]] = []
             waiting: list[str] = []
+            held = 0
             for text in batch.column("text"):
                 waiting.append(text.as_py())
-                if sum(map(len, waiting[-64:])) > 1 << 19 or len(waiting) >= 512:
+                held += len(waiting[-1])
+                if held > 1 << 20:
                     rows += measured(encoder, waiting)
-                    waiting = []
+                    waiting, held = [], 0
             rows += measured(encoder, waiting)
             columns = [batch.column("doc"), batch.column("row"), pa.array([r[0] for r in rows], pa.int64())]
             columns += [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2)]

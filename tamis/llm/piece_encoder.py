@@ -25,7 +25,8 @@ SIGN, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 SENTENCE_END = re.compile(r"[.!?。！？][\"')\]]?\s+|[。！？]|\n+")
 
 
-def _tables() -> tuple[np.ndarray, np.ndarray]:
+def _tables() -> tuple[bytes, bytes]:
+    """Class and lower case of every Latin-1 code point, for ``bytes.translate``."""
     kind, lower = np.zeros(256, np.uint8), np.arange(256, dtype=np.uint8)
     for c in range(256):
         if c in SPACES:
@@ -36,13 +37,13 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
             kind[c] = LETTER
         if 0x41 <= c <= 0x5A or (0xC0 <= c <= 0xDE and c != 0xD7):
             lower[c] = c + 32
-    return kind, lower
+    return kind.tobytes(), lower.tobytes()
 
 
 KIND, LOWER = _tables()
 ENDS = np.isin(np.arange(256), list(b".!?"))
 CLOSES = np.isin(np.arange(256), list(b"\"')]"))
-BREAKS = np.isin(np.arange(256), [0x0A])
+LINE_BREAK = 0x0A
 MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
@@ -56,7 +57,7 @@ class Encoded:
 class PieceEncoder:
     """``held`` bounds the known pieces; beyond it they are forgotten and learnt anew."""
 
-    def __init__(self, path: str, held: int = 500_000, table_bits: int = 21):
+    def __init__(self, path: str, held: int = 800_000, table_bits: int = 21):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -139,8 +140,8 @@ class PieceEncoder:
         if len(self.known) > self.held:
             self.forget()
         # A blank between texts keeps their pieces apart; sixteen more let every load stay inside.
-        data = LOWER[np.frombuffer(b"\n".join(texts) + b"\n" + bytes(16), np.uint8)]
-        kind = KIND[data[:-16]]
+        raw = (b"\n".join(texts) + b"\n" + bytes(16)).translate(LOWER)
+        data, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw[:-16].translate(KIND), np.uint8)
         first, end = self._pieces(data, kind)
         length = end - first
         loads = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
@@ -151,7 +152,6 @@ class PieceEncoder:
         sure &= (self.low[at] == low) & (self.high[at] == high) & (self.length[at] == length)
         lost = np.flatnonzero(~sure)
         if len(lost):
-            raw = data.tobytes()
             keys = [raw[a:b] for a, b in zip(first[lost].tolist(), end[lost].tolist())]
             new = {k: i for i, k in enumerate(keys) if k not in self.known}
             if new:
@@ -165,9 +165,9 @@ class PieceEncoder:
         # A piece ends a sentence before white space if it closes with a full stop, or before a line break.
         last = data[end - 1]
         stops = ENDS[last] | (CLOSES[last] & (length > 1) & ENDS[data[np.maximum(end - 2, 0)]])
-        lines = np.concatenate([[0], np.cumsum(BREAKS[data[:-16]])])
-        follow = np.append(first[1:], len(kind)) if len(first) else first
-        stops = (stops & (kind[np.minimum(end, len(kind) - 1)] == SPACE)) | (lines[follow] > lines[end])
+        stops &= kind[np.minimum(end, len(kind) - 1)] == SPACE
+        before = np.searchsorted(first, np.flatnonzero(data[:-16] == LINE_BREAK)) - 1
+        stops[before[before >= 0]] = True
         begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
         upto = np.concatenate([[0], after])[np.searchsorted(first, begins)]
         return Encoded(ids, np.diff(upto), after[stops])
@@ -204,3 +204,14 @@ class PieceEncoder:
         return Encoded(
             np.concatenate([parts[i][0] for i in range(len(texts))]), counts, np.concatenate([parts[i][1] + before[i] for i in range(len(texts))]),
         )
+
+
+_KEPT: dict[str, PieceEncoder] = {}
+
+
+def kept_encoder(path: str) -> PieceEncoder:
+    """The worker's encoder for a file, which keeps its pieces between tasks; one file at a time."""
+    if path not in _KEPT:
+        _KEPT.clear()
+        _KEPT[path] = PieceEncoder(path)
+    return _KEPT[path]

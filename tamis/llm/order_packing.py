@@ -113,31 +113,36 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[
         power *= 2
     into, out = np.concatenate(into), np.concatenate(out)
     order = np.argsort(into, kind="stable")
-    exact_from, upto = out[order].tolist(), np.searchsorted(into[order], np.arange(len(places)), "right").tolist()
+    targets, sources = into[order].tolist() + [-1], out[order].tolist()
     place, penalty = places.tolist(), (penalties * UNIT + 1).tolist()
     gain, room = (places * UNIT).tolist(), ((capacity - places) * UNIT).tolist()
     cost, back = [0], [0]
-    values, numbers, head, seen = [], [], 0, 0
-    value = 0
-    for c in range(1, len(place)):
-        while len(values) > head and values[-1] >= value:
-            values.pop()
-            numbers.pop()
-        values.append(value)
-        numbers.append(c - 1)
-        least = place[c] - capacity
-        while place[numbers[head]] < least:
+    # The queue: values ascend, and so do the numbers of their places; it begins at ``head``.
+    values, numbers, head = [0], [0], 0
+    oldest, nth, target = 0, 0, targets[0]
+    for c, (here, free, extra, ahead) in enumerate(zip(place[1:], room[1:], penalty[1:], gain[1:]), 1):
+        while oldest < here - capacity:
             head += 1
-        best, source = values[head] + room[c], numbers[head]
-        if upto[c] > seen:
-            for i in exact_from[seen : upto[c]]:
-                if cost[i] < best:
-                    best, source = cost[i], i
-            seen = upto[c]
-        best += penalty[c]
+            oldest = place[numbers[head]]
+        best, source = values[head] + free, numbers[head]
+        while target == c:
+            i = sources[nth]
+            if cost[i] < best:
+                best, source = cost[i], i
+            nth += 1
+            target = targets[nth]
+        best += extra
         cost.append(best)
         back.append(source)
-        value = best + gain[c]
+        value = best + ahead
+        if values[-1] >= value:
+            while len(values) > head and values[-1] >= value:
+                values.pop()
+                numbers.pop()
+            if len(values) == head:
+                oldest = here
+        values.append(value)
+        numbers.append(c)
     cuts, c = [], len(place) - 1
     while c > 0:
         cuts.append(c)

@@ -44,6 +44,9 @@ KIND, LOWER = _tables()
 ENDS = np.isin(np.arange(256), list(b".!?"))
 CLOSES = np.isin(np.arange(256), list(b"\"')]"))
 LINE_BREAK = 0x0A
+# Byte-level tokenizers show a byte that is no printable character as one of the characters from 256 on.
+_PLAIN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 
@@ -59,18 +62,14 @@ class PieceEncoder:
 
     def __init__(self, path: str, held: int = 800_000, table_bits: int = 21):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         shape = json.loads(self.whole.to_str())
         normal = [n.get("type") for n in (shape["normalizer"] or {}).get("normalizers", [])]
         first = ((shape["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
         self.by_pieces = normal == ["NFC", "Replace", "Lowercase"] and first.get("pattern") == {"Regex": PATTERN}
-        self.words = Tokenizer.from_file(path)
-        if self.by_pieces:
-            # Pieces arrive lower-cased and with blanks between them.
-            self.words.normalizer = None
-            self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.merges = self.whole.model
         self.held, self.shift = held, np.uint64(64 - table_bits)
         self.forget()
 
@@ -88,10 +87,10 @@ class PieceEncoder:
 
     def _learn(self, pieces: list[bytes], low: np.ndarray, high: np.ndarray) -> None:
         """Encode new, distinct pieces and enter them into the tables."""
-        chunks = [pieces[i : i + 256] for i in range(0, len(pieces), 256)]
-        encoded = self.words.encode_batch([" ".join([p.decode("latin-1") for p in chunk]) for chunk in chunks], add_special_tokens=False)
-        ids = np.fromiter((i for e in encoded for i in e.ids), np.uint32)
-        sizes = np.concatenate([np.bincount(np.array(e.word_ids, np.int64), minlength=len(c)) for e, c in zip(encoded, chunks)])
+        tokenize = self.merges.tokenize
+        found = [[t.id for t in tokenize(p.decode("latin-1").encode().decode("latin-1").translate(SHOWN))] for p in pieces]
+        ids = np.fromiter((i for own in found for i in own), np.uint32)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
         at, n = len(self.known), len(pieces)
         while at + n > len(self.low):
             for name in ("low", "high", "length", "size", "start"):

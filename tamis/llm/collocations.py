@@ -145,56 +145,89 @@ def texts_of(batch: pa.RecordBatch, seeds: dict[str, int], size: int = 1 << 20)
         yield texts, langs, [seeds[x] for x in langs]
 
 
-COUNTS = "a long, b long, k int, since int, n long"
+# ``b`` holds 32 bits of hash, above them the step since which the phrase is active (8 bits), above them its length.
+COUNTS = "a long, b long, n long"
 
 
 def count_step(shard: DataFrame, first, step: int, settings: Settings) -> DataFrame:
-    """``a, b, k, since, n``: occurrences in a shard of the phrases active in this step, summed within tasks."""
+    """``a, b, n``: occurrences in a shard of the phrases active in this step, summed within tasks.
+
+    In the first circle the words of a language are counted too, as a phrase of length 0.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = np.frombuffer(first.value, np.uint8)
         held: list[tuple[np.ndarray, ...]] = []
-        size, seeds = 0, {}
+        size, seeds, total = 0, {}, {}
         for batch in batches:
             for texts, _, own in texts_of(batch, seeds):
-                phrases = Phrases(Words(texts, own), reached, step)
+                words = Words(texts, own)
+                for seed, n in zip(own, np.bincount(words.text, minlength=len(texts)).tolist()):
+                    total[seed] = total.get(seed, 0) + n
+                phrases = Phrases(words, reached, step)
                 for k, at, a, since in phrases:
                     if k > settings.longest:
                         break
                     active = np.flatnonzero(since.astype(np.int64) + settings.shards > step)
                     if len(active):
-                        held.append((a[active], phrases.checks(k, at[active]).astype(np.uint32), np.full(len(active), k, np.uint8), since[active]))
+                        held.append((a[active], phrases.checks(k, at[active]) | since[active].astype(np.uint64) << np.uint64(32) | np.uint64(k << 40)))
                         size += len(active)
                 if size >= settings.held_keys:
                     yield from sums(held)
                     held, size = [], 0
         if held:
             yield from sums(held)
+        if total and step < settings.shards:
+            yield from rows(np.array(list(total), np.uint64), np.zeros(len(total), np.uint64), np.array(list(total.values()), np.int64))
 
-    def sums(held: list[tuple[np.ndarray, ...]], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
-        a, b, k, since = (np.concatenate(x) for x in zip(*held))
+    def sums(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        a, b = (np.concatenate(x) for x in zip(*held))
         order = np.argsort(a)
         a, b = a[order], b[order]
         # Should two phrases share 64 bits, the change of b parts them; a key may then have several rows.
         start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-        n, own = np.diff(np.append(start, len(a))), order[start]
-        columns = [a[start].view(np.int64), b[start].astype(np.int64), k[own].astype(np.int32), since[own].astype(np.int32), n]
-        for i in range(0, len(start), rows):
-            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + rows]) for c in columns], ["a", "b", "k", "since", "n"])
+        yield from rows(a[start], b[start], np.diff(np.append(start, len(a))))
+
+    def rows(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int = 50_000) -> Iterator[pa.RecordBatch]:
+        columns = [a.view(np.int64), b.view(np.int64), n]
+        for i in range(0, len(n), size):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size]) for c in columns], ["a", "b", "n"])
 
     return shard.mapInArrow(count, COUNTS)
 
 
+def fill_cells(first: np.ndarray, keys: DataFrame, value: int) -> bool:
+    """Enter ``value`` into the free cells of ``keys`` (``a``); whether there were keys.
+
+    What reaches the driver are bits, 4 KB for every 32,768 cells of the map.
+    """
+    bits = (len(first) - 1).bit_length()
+    cell = F.shiftrightunsigned("a", 64 - bits) + 1
+    cells = keys.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
+    some = False
+    for row in cells.toLocalIterator():
+        part = first[(row["bucket"] - 1) << 15 : row["bucket"] << 15]
+        fresh = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)[: len(part)]
+        part[fresh & (part == UNSET)] = value
+        some = True
+    return some
+
+
+SHARDS = "lang string, text binary, shard int"
+
+
 def frequent_phrases(docs: DataFrame, folder: str, settings: Settings) -> tuple[DataFrame, np.ndarray]:
     """``a, b, k, n`` of every phrase that occurs often enough, exact, and the map of reached phrases.
 
-    ``docs`` are ``lang, text`` (bytes); ``folder`` gets the shards and the counts of every step.
+    Rows of length 0 are languages and their words.  ``docs`` are ``lang, text`` (bytes); ``folder``
+    gets the shards and the counts of every step.
     """
     spark = docs.sparkSession
+    length, since = F.shiftright("b", 40), F.shiftright("b", 32).bitwiseAND(255)
     seen = Observation()
     dealt = docs.withColumn("shard", (F.monotonically_increasing_id() % settings.shards).cast("int"))
     dealt.observe(seen, F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).write.partitionBy("shard").parquet(f"{folder}/shards")
-    shards = spark.read.schema("lang string, text binary, shard int").parquet(f"{folder}/shards")
+    shards = spark.read.schema(SHARDS).parquet(f"{folder}/shards")
     bits = min(settings.most_bits, max(16, (seen.get["bytes"] // settings.bytes_per_cell).bit_length()))
     first = np.full(1 << bits, UNSET, np.uint8)
     counted = COUNTS + ", reached int"
@@ -205,70 +238,81 @@ def frequent_phrases(docs: DataFrame, folder: str, settings: Settings) -> tuple[
         found = found.withColumn("reached", F.lit(None).cast("int"))
         if before is not None:
             found = before.unionByName(found)
-        total = found.groupBy("a", "b").agg(F.min("k").alias("k"), F.min("since").alias("since"), F.sum("n").alias("n"), F.min("reached").alias("reached"))
-        total = total.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= settings.least, step + 1)))
-        going_on = F.col("since") + settings.shards - 1 > step
+        total = found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("reached").alias("reached"))
+        total = total.withColumn("reached", F.coalesce("reached", F.when((F.col("n") >= settings.least) & (length > 0), step + 1)))
+        going_on = since + settings.shards - 1 > step
         total.where(going_on | (F.col("n") >= settings.least)).write.parquet(f"{folder}/steps/step={step}")
         sent.destroy()
         now = spark.read.schema(counted).parquet(f"{folder}/steps/step={step}")
-        # Cells of phrases reached in this step, as bits: 4 KB for every 32,768 cells of the map.
-        cell = F.shiftrightunsigned("a", 64 - bits) + 1
-        cells = now.where(F.col("reached") == step + 1).groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"), F.max(F.col("k") < settings.longest).alias("open"),
-        )
-        for row in cells.toLocalIterator():
-            part = first[(row["bucket"] - 1) << 15 : row["bucket"] << 15]
-            fresh = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)[: len(part)]
-            part[fresh & (part == UNSET)] = step + 1
-            if row["open"]:
-                last = step + 1
+        fresh = now.where(F.col("reached") == step + 1)
+        if fill_cells(first, fresh.where(length < settings.longest), step + 1):
+            last = step + 1
+        fill_cells(first, fresh.where(length == settings.longest), step + 1)
         before = now.where(going_on)
         step += 1
     steps = spark.read.schema(counted + ", step int").parquet(f"{folder}/steps")
-    done = (F.col("since") + settings.shards - 1 == F.col("step")) & (F.col("n") >= settings.least)
-    return steps.where(done).select("a", "b", "k", "n"), first
+    done = (since + settings.shards - 1 == F.col("step")) & (F.col("n") >= settings.least)
+    return steps.where(done).select("a", F.col("b").bitwiseAND(0xFFFFFFFF).alias("b"), length.cast("int").alias("k"), "n"), first
+
+
+NAMES = "a long, b long, lang string, language long, phrase string"
 
 
-def phrase_names(docs: DataFrame, first: np.ndarray, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """``a, b, lang, phrase`` of phrases that may be frequent, and ``lang, n`` with all words of a language."""
-    sent = docs.sparkSession.sparkContext.broadcast(first.tobytes())
+def phrase_names(shard: DataFrame, first: np.ndarray, wanted: np.ndarray, settings: Settings) -> DataFrame:
+    """``a, b, lang, language, phrase``: the words of the phrases of a shard that may be wanted.
+
+    Every task keeps a table of what it has named, one phrase a slot; a phrase named twice does no harm.
+    """
+    sent = shard.sparkSession.sparkContext.broadcast((first.tobytes(), wanted.tobytes()))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = np.frombuffer(sent.value, np.uint8)
-        known, fresh, seeds, total = np.zeros(0, np.uint64), [], {}, {}
+        reached, asked = (np.frombuffer(x, np.uint8) for x in sent.value)
+        shift = np.uint64(64 - 21)
+        # At first no slot holds a key that would fall into it.
+        named, seeds = ~(np.arange(1 << 21, dtype=np.uint64) << shift), {}
         for batch in batches:
             out: list[tuple] = []
             for texts, langs, own in texts_of(batch, seeds):
                 words = Words(texts, own)
-                for text, n in enumerate(np.bincount(words.text, minlength=len(texts)).tolist()):
-                    total[langs[text]] = total.get(langs[text], 0) + n
-                phrases, raw = Phrases(words, reached, UNSET - 1), words.raw
+                phrases = Phrases(words, reached, UNSET - 1)
                 for k, at, a, _ in phrases:
                     if k > settings.longest:
                         break
-                    may = np.flatnonzero(reached[a >> phrases.shift] != UNSET)
-                    distinct, place = np.unique(a[may], return_index=True)
-                    slot = np.minimum(np.searchsorted(known, distinct), max(0, len(known) - 1))
-                    new = known[slot] != distinct if len(known) else np.ones(len(distinct), bool)
-                    at, a = at[may[place[new]]], distinct[new]
-                    fresh.append(a)
-                    for p, key, check in zip(at.tolist(), a.view(np.int64).tolist(), phrases.checks(k, at).tolist()):
-                        phrase = b" ".join(raw[words.first[i] : words.end[i]] for i in range(p, p + k)).decode()
-                        out.append((key, check, langs[words.text[p]], phrase, None))
-                known = np.union1d(known, np.concatenate(fresh)) if fresh else known
-                fresh = []
-                if len(known) > settings.held_keys:
-                    known = known[:0]  # bounded; a phrase named twice does no harm
-            yield from rows(out)
-        yield from rows([(None, None, lang, None, n) for lang, n in total.items()])
-
-    def rows(out: list[tuple], size: int = 50_000) -> Iterator[pa.RecordBatch]:
-        kinds = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
-        for i in range(0, len(out), size):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[i : i + size]), kinds)], schema=kinds)
-
-    named = cut_lineage(docs.mapInArrow(name, "a long, b long, lang string, phrase string, n long"))
-    return named.where("phrase IS NOT NULL").select("a", "b", "lang", "phrase"), named.where("n IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+                    may = np.flatnonzero((asked[a >> phrases.shift] != UNSET) & (named[a >> shift] != a))
+                    keys, place = np.unique(a[may], return_index=True)
+                    named[keys >> shift] = keys
+                    at = at[may[place]]
+                    for p, key, check in zip(at.tolist(), keys.view(np.int64).tolist(), phrases.checks(k, at).tolist()):
+                        phrase = b" ".join([words.raw[words.first[i] : words.end[i]] for i in range(p, p + k)]).decode()
+                        text = words.text[p]
+                        out.append((key, check, langs[text], own[text] - (own[text] >> 63 << 64), phrase))
+            for i in range(0, len(out), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out[i : i + 50_000]), kinds)], [c.split()[0] for c in NAMES.split(", ")])
+
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+    return shard.mapInArrow(name, NAMES)
+
+
+def with_names(found: DataFrame, first: np.ndarray, folder: str, settings: Settings) -> DataFrame:
+    """``lang, language, phrase, k, n`` of the phrases in ``found``.
+
+    A frequent phrase stands in nearly every shard, so the first one names nearly all; the others
+    are read only for what is left.
+    """
+    spark = found.sparkSession
+    names = spark.read.schema(NAMES).parquet
+    wanted, left, paths = first, found, []
+    for shard in range(settings.shards):
+        texts = spark.read.schema(SHARDS).parquet(f"{folder}/shards").where(F.col("shard") == shard).select("lang", "text")
+        named = phrase_names(texts, first, wanted, settings).join(left.select("a", "b"), ["a", "b"], "left_semi")
+        best = F.min(F.struct("lang", "language", "phrase")).alias("best")
+        paths.append(f"{folder}/names/{shard}")
+        named.groupBy("a", "b").agg(best).select("a", "b", "best.*").write.parquet(paths[-1])
+        left = cut_lineage(left.join(names(paths[-1]), ["a", "b"], "left_anti"))
+        wanted = np.full(len(first), UNSET, np.uint8)
+        if not fill_cells(wanted, left, 0):
+            break
+    return found.join(names(*paths), ["a", "b"]).select("lang", "language", "phrase", "k", "n")
 
 
 def first_per_group(df: DataFrame, groups: list[str], order: list, n: int, wide: int = 20) -> DataFrame:
@@ -336,9 +380,8 @@ def mine_collocations(df: DataFrame, folder: str, text_col: str = "text", lang_c
     """
     docs = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), text_bytes(text_col).alias("text"))
     found, first = frequent_phrases(docs, folder, settings)
-    shards = docs.sparkSession.read.schema("lang string, text binary, shard int").parquet(f"{folder}/shards").select("lang", "text")
-    names, totals = phrase_names(shards, first, settings)
-    phrases = found.join(names, ["a", "b"]).groupBy("a", "b").agg(F.min(F.struct("lang", "phrase")).alias("name"), F.first("k").alias("k"), F.first("n").alias("n"))
-    phrases = cut_lineage(phrases.select("name.lang", "name.phrase", "k", "n"))
+    found = cut_lineage(found)
+    phrases = cut_lineage(with_names(found.where("k > 0"), first, folder, settings))
+    totals = found.where("k = 0").select(F.col("a").alias("language"), "n").join(phrases.select("language", "lang").distinct(), "language").select("lang", "n")
     ranked = first_per_group(cut_lineage(scored(phrases, settings)), ["lang"], [F.desc("score"), F.desc("a"), "phrase"], settings.best)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -89,9 +89,15 @@ def test_longer_phrases_start_before_shorter_ones_are_done(spark, folder):
     rows = [("en", "one two three four. " * 3) for _ in range(80)]
     docs = table(spark, rows, 8).select("lang", text_bytes("text").alias("text"))
     found, _ = frequent_phrases(docs, place, settings)
-    assert {(r["k"], r["n"]) for r in found.collect()} == {(k, 240) for k in (1, 2, 3, 4)} and found.count() == 10
-    since = {r["k"]: r["since"] for r in spark.read.parquet(place + "/steps").groupBy("k").agg(F.min("since").alias("since")).collect()}
-    assert since == {1: 0, 2: 1, 3: 2, 4: 3}
+    assert {(r["k"], r["n"]) for r in found.collect()} == {(0, 960), *((k, 240) for k in (1, 2, 3, 4))} and found.count() == 11
+    steps = spark.read.parquet(place + "/steps").select((F.col("b") / 2**40).cast("int").alias("k"), F.shiftright("b", 32).bitwiseAND(255).alias("since"))
+    assert {r["k"]: r["since"] for r in steps.groupBy("k").agg(F.min("since").alias("since")).collect()} == {0: 0, 1: 0, 2: 1, 3: 2, 4: 3}
+
+
+def test_a_phrase_of_one_shard_is_named(spark, folder):
+    rows = [("en", "common words here")] * 60 + [("en", "odd one out " * 40)]
+    got = result(mine_collocations(table(spark, rows, 1), folder(), settings=Settings(shards=4)))
+    assert {r[2] for r in got} >= {"common words here"} and got == brute(rows, Settings())
 
 
 def test_hashes_tell_words_apart():

@@ -197,19 +197,21 @@ def count_step(shard: DataFrame, first, step: int, settings: Settings) -> DataFr
 
 
 def fill_cells(first: np.ndarray, keys: DataFrame, value: int) -> bool:
-    """Enter ``value`` into the free cells of ``keys`` (``a``); whether there were keys.
+    """Enter ``value`` into the free cells of ``keys`` (``a, open``); whether any key was open.
 
-    What reaches the driver are bits, 4 KB for every 32,768 cells of the map.
+    What reaches the driver are bits, 4 KB for every 32,768 cells of the map: 8 MB at most.
     """
     bits = (len(first) - 1).bit_length()
     cell = F.shiftrightunsigned("a", 64 - bits) + 1
-    cells = keys.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
+    cells = keys.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"), F.max("open").alias("open"),
+    )
     some = False
-    for row in cells.toLocalIterator():
+    for row in cells.collect():
         part = first[(row["bucket"] - 1) << 15 : row["bucket"] << 15]
         fresh = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)[: len(part)]
         part[fresh & (part == UNSET)] = value
-        some = True
+        some |= row["open"]
     return some
 
 
@@ -244,10 +246,8 @@ def frequent_phrases(docs: DataFrame, folder: str, settings: Settings) -> tuple[
         total.where(going_on | (F.col("n") >= settings.least)).write.parquet(f"{folder}/steps/step={step}")
         sent.destroy()
         now = spark.read.schema(counted).parquet(f"{folder}/steps/step={step}")
-        fresh = now.where(F.col("reached") == step + 1)
-        if fill_cells(first, fresh.where(length < settings.longest), step + 1):
+        if fill_cells(first, now.where(F.col("reached") == step + 1).select("a", (length < settings.longest).alias("open")), step + 1):
             last = step + 1
-        fill_cells(first, fresh.where(length == settings.longest), step + 1)
         before = now.where(going_on)
         step += 1
     steps = spark.read.schema(counted + ", step int").parquet(f"{folder}/steps")
@@ -310,7 +310,7 @@ def with_names(found: DataFrame, first: np.ndarray, folder: str, settings: Setti
         named.groupBy("a", "b").agg(best).select("a", "b", "best.*").write.parquet(paths[-1])
         left = cut_lineage(left.join(names(paths[-1]), ["a", "b"], "left_anti"))
         wanted = np.full(len(first), UNSET, np.uint8)
-        if not fill_cells(wanted, left, 0):
+        if not fill_cells(wanted, left.select("a", F.lit(True).alias("open")), 0):
             break
     return found.join(names(*paths), ["a", "b"]).select("lang", "language", "phrase", "k", "n")
 

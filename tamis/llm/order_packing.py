@@ -114,13 +114,18 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, capacity: int) -> list[
     into, out = np.concatenate(into), np.concatenate(out)
     order = np.argsort(into, kind="stable")
     targets, sources = into[order].tolist() + [-1], out[order].tolist()
-    place, penalty = places.tolist(), (penalties * UNIT + 1).tolist()
-    gain, room = (places * UNIT).tolist(), ((capacity - places) * UNIT).tolist()
+    place = places.tolist()
     cost, back = [0], [0]
     # The queue: values ascend, and so do the numbers of their places; it begins at ``head``.
     values, numbers, head = [0], [0], 0
     oldest, nth, target = 0, 0, targets[0]
-    for c, (here, free, extra, ahead) in enumerate(zip(place[1:], room[1:], penalty[1:], gain[1:]), 1):
+    def steps(block: int = 4096) -> Iterator[tuple[int, int, int, int]]:
+        """Per place: itself, the padding up to it, the cost of a cut there, and its part in the queue's value."""
+        for i in range(1, len(places), block):
+            here = places[i : i + block]
+            yield from zip(here.tolist(), ((capacity - here) * UNIT).tolist(), (penalties[i : i + block] * UNIT + 1).tolist(), (here * UNIT).tolist())
+
+    for c, (here, free, extra, ahead) in enumerate(steps(), 1):
         while oldest < here - capacity:
             head += 1
             oldest = place[numbers[head]]

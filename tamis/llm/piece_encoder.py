@@ -77,8 +77,8 @@ class PieceEncoder:
         self.known: dict[bytes, int] = {}
         self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int32)
         size = 1 << 16
-        self.low, self.high = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-        self.length, self.size, self.start = (np.zeros(size, np.int64) for _ in range(3))
+        # A row per piece: its first sixteen bytes, length and number of ids, where those begin.
+        self.rows = np.zeros((size, 4), np.uint64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -92,20 +92,17 @@ class PieceEncoder:
         ids = np.fromiter((i for own in found for i in own), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         at, n = len(self.known), len(pieces)
-        while at + n > len(self.low):
-            for name in ("low", "high", "length", "size", "start"):
-                old = getattr(self, name)
-                setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
+        while at + n > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.low[at : at + n], self.high[at : at + n] = low, high
-        self.length[at : at + n] = [len(p) for p in pieces]
-        self.size[at : at + n] = sizes
-        self.start[at : at + n] = self.used + np.cumsum(sizes) - sizes
+        length = np.fromiter(map(len, pieces), np.int64, n)
+        for i, column in enumerate((low, high, length << 32 | sizes, self.used + np.cumsum(sizes) - sizes)):
+            self.rows[at : at + n, i] = column
         self.flat[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
         self.known.update(zip(pieces, range(at, at + n)))
-        short = np.flatnonzero(self.length[at : at + n] <= 16)
+        short = np.flatnonzero(length <= 16)
         slots = self._slot(low[short], high[short])
         free = self.slots[slots] < 0
         self.slots[slots[free]] = at + short[free]
@@ -146,9 +143,9 @@ class PieceEncoder:
         loads = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
         low = loads[first] & MASKS[np.minimum(length, 8)]
         high = loads[first + 8] & MASKS[np.clip(length - 8, 0, 8)]
-        at = self.slots[self._slot(low, high)].astype(np.int64)
-        sure = (at >= 0) & (length <= 16)
-        sure &= (self.low[at] == low) & (self.high[at] == high) & (self.length[at] == length)
+        at = self.slots[self._slot(low, high)]
+        rows = self.rows[at]
+        sure = (at >= 0) & (length <= 16) & (rows[:, 0] == low) & (rows[:, 1] == high) & (rows[:, 2] >> np.uint64(32) == length.astype(np.uint64))
         lost = np.flatnonzero(~sure)
         if len(lost):
             keys = [raw[a:b] for a, b in zip(first[lost].tolist(), end[lost].tolist())]
@@ -156,11 +153,11 @@ class PieceEncoder:
             if new:
                 which = lost[list(new.values())]
                 self._learn(list(new), low[which], high[which])
-            at[lost] = [self.known[k] for k in keys]
-        size = self.size[at]
+            rows[lost] = self.rows[[self.known[k] for k in keys]]
+        size = (rows[:, 2] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         after = np.cumsum(size)
         total = int(after[-1]) if len(after) else 0
-        ids = self.flat[np.repeat(self.start[at] - (after - size), size) + np.arange(total)]
+        ids = self.flat[np.repeat(rows[:, 3].astype(np.int64) - (after - size), size) + np.arange(total)]
         # A piece ends a sentence before white space if it closes with a full stop, or before a line break.
         last = data[end - 1]
         stops = ENDS[last] | (CLOSES[last] & (length > 1) & ENDS[data[np.maximum(end - 2, 0)]])

@@ -9,6 +9,7 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -81,43 +82,113 @@ def flatten_for_training(c: Column) -> Column:
     return strip(F.regexp_replace(unescaped, r"\s+", " "))
 
 
+def edit_distance(a: Column, b: Column, bounds: tuple[int, ...] = (32, 512, 8192)) -> Column:
+    """Levenshtein distance; bands of growing width are tried first, so alike texts of any length are cheap."""
+    tries = [F.nullif(F.levenshtein(a, b, t), F.lit(-1)) for t in bounds]
+    return F.coalesce(*tries, F.levenshtein(a, b))
+
+
 def edit_distance_ratio(a: Column, b: Column) -> Column:
     """Levenshtein distance over the longer length; 0 for two empties, 1 for one empty."""
     longest = F.greatest(F.length(a), F.length(b))
     return (
         F.when(longest == 0, F.lit(0.0))
         .when((F.length(a) == 0) | (F.length(b) == 0), F.lit(1.0))
-        .otherwise(F.levenshtein(a, b) / longest)
+        .otherwise(edit_distance(a, b) / longest)
     )
 
 
-def _edit_script_counts(a: str, b: str) -> tuple[int, int]:
-    """Deletions and insertions on a minimal edit path (substitution preferred on ties)."""
-    import numpy as np
+def edit_script_counts(a: str, b: str, few: int = 64) -> tuple[int, int]:
+    """Deletions and insertions of a shortest edit script that substitutes as often as a shortest one can.
 
-    x = np.frombuffer(a.encode("utf-32-le"), dtype=np.int32)
-    y = np.frombuffer(b.encode("utf-32-le"), dtype=np.int32)
+    What the texts share at both ends is taken off.  Up to ``few`` edits the furthest places that can
+    be reached are followed; beyond, rows of a band around the diagonal are computed, and the band
+    grows until the distance fits.  Memory is that of the texts and a band.
+    """
+    x, y = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.int32) for t in (a, b))
+    for _ in range(2):  # the start, then, turned round, the end
+        n = min(len(x), len(y))
+        differ = np.flatnonzero(x[:n] != y[:n])
+        same = int(differ[0]) if len(differ) else n
+        x, y = x[same:][::-1], y[same:][::-1]
     n, m = len(x), len(y)
-    if n == 0 or m == 0:
+    if not n or not m:
         return n, m
-    # Row-wise DP: a key packs (cost, -substitutions), so its minimum is a cheapest
-    # script with the most substitutions; deletions - insertions = n - m fixes the rest.
-    # The left neighbour recurrence min(k[j], k[j-1] + step) is a running minimum of
-    # k[j] - j*step.
+    x, y = np.ascontiguousarray(x), np.ascontiguousarray(y)
+    indels = _indels_by_reach(x, y, few)
+    width = max(16, 2 * few)
+    while indels is None:
+        indels = _indels_in_band(x, y, min(width, max(n, m)))
+        width *= 4
+    deletions = (indels + n - m) // 2
+    return deletions, indels - deletions
+
+
+def _indels_by_reach(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
+    """Insertions and deletions of a shortest script with the fewest of them, if it has at most ``most`` edits.
+
+    For every number of edits and of insertions or deletions among them: the furthest place on each
+    diagonal.  One edit more comes from the same diagonal (substitution) or from a neighbour.
+    """
+    n, m = len(x), len(y)
+    target = m - n
+    if abs(target) > most:
+        return None
+    left, right = memoryview(x), memoryview(y)
+
+    def along(i: int, k: int) -> int:
+        """The end of equal characters from place ``i`` of diagonal ``k``."""
+        end, step = min(n, m - k), 32
+        while i < end and left[i] == right[i + k]:
+            stop = min(i + step, end)
+            differ = x[i:stop] != y[i + k : stop + k]
+            if differ.any():
+                return i + int(differ.argmax())
+            i, step = stop, step * 4
+        return i
+
+    before: list[dict[int, int]] = [{0: along(0, 0)}]
+    for edits in range(most + 1):
+        if edits:
+            now: list[dict[int, int]] = []
+            for indels in range(edits + 1):
+                same = before[indels] if indels < edits else {}
+                near = before[indels - 1] if indels else {}
+                reach: dict[int, int] = {}
+                for k in range(max(-indels, -n), min(indels, m) + 1):
+                    i = max(same.get(k, -2) + 1, near.get(k - 1, -1), near.get(k + 1, -2) + 1)
+                    if i >= 0:
+                        reach[k] = along(min(i, n, m - k), k)
+                now.append(reach)
+            before = now
+        for indels in range(abs(target), len(before)):
+            if before[indels].get(target, -1) >= n:
+                return indels
+    return None
+
+
+def _indels_in_band(x: np.ndarray, y: np.ndarray, width: int) -> int | None:
+    """The same from the rows of a band of ``width`` diagonals to either side, if the distance is at most that."""
+    n, m = len(x), len(y)
+    if abs(m - n) > width:
+        return None
+    # A key packs (cost, -substitutions), so its minimum is a shortest script with the most
+    # substitutions.  min(k[j], k[j - 1] + step) is a running minimum of k[j] - j * step.
     step = n + m + 1
-    sub = step - 1
-    ramp = np.arange(m + 1, dtype=np.int64) * step
-    row = ramp.copy()
-    for i in range(n):
-        up = row + step
-        up[1:] = np.minimum(up[1:], row[:-1] + np.where(y == x[i], 0, sub))
-        row = np.minimum.accumulate(up - ramp) + ramp
-    key = int(row[m])
+    ramp = np.arange(2 * width + 1, dtype=np.int64) * step
+    far = np.int64(step) * (4 * step)
+    padded = np.concatenate([np.full(width, -1, np.int32), y, np.full(n + width + 1, -1, np.int32)])
+    row = ramp - width * step
+    row[:width] = far
+    for i in range(1, n + 1):
+        new = row + np.where(padded[i - 1 : i + 2 * width] == x[i - 1], 0, step - 1)
+        np.minimum(new[:-1], row[1:] + step, out=new[:-1])
+        if i <= width:
+            new[: width - i] = far
+        row = np.minimum.accumulate(new - ramp) + ramp
+    key = int(row[m - n + width])
     cost = -(-key // step)
-    substitutions = cost * step - key
-    indels = cost - substitutions
-    deletions = (indels + (n - m)) // 2
-    return deletions, indels - deletions
+    return cost - (cost * step - key) if cost <= width or width >= max(n, m) else None
 
 
 _EDIT_SHARES = T.StructType(
@@ -134,7 +205,7 @@ def edit_shares(a: pd.Series, b: pd.Series) -> pd.DataFrame:
             rows.append((None, None))
             continue
         longest = max(len(left), len(right))
-        d, i = _edit_script_counts(left, right)
+        d, i = edit_script_counts(left, right)
         rows.append((d / longest, i / longest) if longest else (0.0, 0.0))
     return pd.DataFrame(rows, columns=["deletions", "insertions"], dtype="float64")
 

@@ -51,15 +51,35 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def exact_groups(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
+SALTS = 256
+
+
+def group_minima(df: DataFrame, keys: list[str], value: str, name: str = "least", salts: int = SALTS) -> DataFrame:
+    """``keys, _salt, <name>, _n``: smallest value and size of each group, once for every salt that occurs in it.
+
+    Two levels: minima per (key, salt), then over the at most ``salts`` minima of a key.  Joined back by
+    key and salt, the rows of one key meet in up to ``salts`` tasks, however many they are.
+    """
+    parts = df.groupBy(*keys, salt_of(value, salts)).agg(F.min(value).alias("_least"), F.count(F.lit(1)).alias("_rows"))
+    w = Window.partitionBy(*keys)
+    return parts.select(*keys, "_salt", F.min("_least").over(w).alias(name), F.sum("_rows").over(w).alias("_n"))
+
+
+def salt_of(value: str, salts: int = SALTS) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(salts)).cast("int").alias("_salt")
+
+
+def exact_groups(df: DataFrame, id_col: str, cols: list[str], salts: int = SALTS) -> DataFrame:
     """``id, kept_id``: every row with the smallest id among rows equal on ``cols``.
 
-    Only ids and 128-bit digests are shuffled, and the smallest id per digest is
-    pre-aggregated in each task, so a text copied a billion times costs one row per task.
+    Only ids and 128-bit digests are shuffled, and the smallest id per digest is pre-aggregated in
+    each task.  Digests that occur once need no way back; the rows of the others are joined by
+    digest and salt, so that a text which most rows share is not one task's work.
     """
     hashed = df.select(id_col, content_key(*[F.col(c) for c in cols]).alias("_key"))
-    kept = hashed.groupBy("_key").agg(F.min(id_col).alias("kept_id"))
-    return hashed.join(kept, "_key").select(id_col, "kept_id")
+    shared = group_minima(hashed, ["_key"], id_col, "kept_id", salts).where("_n > 1").drop("_n")
+    joined = hashed.withColumn("_salt", salt_of(id_col, salts)).join(shared, ["_key", "_salt"], "left")
+    return joined.select(id_col, F.coalesce("kept_id", id_col).alias("kept_id"))
 
 
 def content_key(*cols: Column) -> Column:
@@ -156,39 +176,40 @@ def band_keys(sigs: DataFrame, id_col: str, config: MinHashConfig | None = None)
     return sigs.select(id_col, F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
-def bucket_edges(bands: DataFrame, id_col: str) -> DataFrame:
+def bucket_edges(bands: DataFrame, id_col: str, salts: int = SALTS) -> DataFrame:
     """``src, dst``: each member of a shared bucket points to the bucket's smallest id.
 
-    The smallest id and the size are pre-aggregated per task.  Only shared buckets
-    are joined back; a bucket that holds a large part of all rows lands on one side
-    of that join only, which the skew join splits.
+    Smallest id and size are found in two levels and come back by bucket and salt, so the members of
+    a bucket that holds most rows are spread over ``salts`` tasks.
     """
-    heads = bands.groupBy("band", "key").agg(F.min(id_col).alias("dst"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    linked = bands.join(heads.select("band", "key", "dst"), ["band", "key"])
+    heads = group_minima(bands, ["band", "key"], id_col, "dst", salts).where("_n > 1").drop("_n")
+    linked = bands.withColumn("_salt", salt_of(id_col, salts)).join(heads, ["band", "key", "_salt"])
     return linked.where(F.col(id_col) != F.col("dst")).select(F.col(id_col).alias("src"), "dst").distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, salts: int = SALTS) -> DataFrame:
     """``id, component`` for every id in ``edges(src, dst)``; the component is its smallest id.
 
     Alternates two steps until nothing moves: every node hands its larger neighbours
     its smallest neighbour, then the same for the smaller ones.  Rounds grow with the
-    logarithm of the longest chain.  Minima are pre-aggregated; each round is written
+    logarithm of the longest chain.  The smallest neighbour of a node with very many is
+    found and handed out by salts, so no node is one task's work.  Each round is written
     to the checkpoint folder, so lineage stays short and a lost executor re-reads it.
     """
     def orient(df: DataFrame) -> DataFrame:
         return df.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u != v").distinct()
 
+    def with_least(df: DataFrame) -> DataFrame:
+        low = group_minima(df, ["u"], "v", "m", salts).drop("_n")
+        return df.withColumn("_salt", salt_of("v", salts)).join(low, ["u", "_salt"])
+
     def large_step(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        moved = both.where("v > u").join(low, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
-        return orient(moved)
+        return orient(with_least(both).where("v > u").select(F.col("v").alias("src"), F.least("m", "u").alias("dst")))
 
     def small_step(e: DataFrame) -> DataFrame:
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        moved = e.join(low, "u").select(F.col("v").alias("src"), F.col("m").alias("dst"))
-        return orient(moved.union(low.select(F.col("u").alias("src"), F.col("m").alias("dst"))))
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("src"), F.col("m").alias("dst"))
+        return orient(with_least(e).select(F.col("v").alias("src"), F.col("m").alias("dst")).union(low))
 
     def fingerprint(df: DataFrame) -> tuple:
         sums = df.agg(

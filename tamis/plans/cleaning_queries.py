@@ -267,7 +267,21 @@ def edit_distance(t):
     return rows.select("item_id", F.round(tx.edit_distance_ratio(F.col("a"), F.col("b")), 6).alias("distance"))
 
 
-@query("fun04_edit_shares", None)
+# A row of the distance table per step of the recursion; a key packs (cost, -substitutions), and the
+# minimum over what stands further left is a running one once the ramp is taken off.
+@query("fun04_edit_shares", """
+WITH RECURSIVE t AS (SELECT item_id, text AS a, replace(replace(text, 'e', ''), 'th', 'THX') AS b FROM benchmark),
+s AS (SELECT *, length(a) AS n, length(b) AS m, length(a) + length(b) + 1 AS step FROM t WHERE a IS NOT NULL),
+cells AS (
+  SELECT item_id, 0 AS i, j, j * step AS v FROM (SELECT *, unnest(range(0, m + 1)) AS j FROM s)
+  UNION ALL
+  SELECT item_id, i, j, min(up - j * step) OVER (PARTITION BY item_id ORDER BY j) + j * step FROM (
+    SELECT c.item_id, c.i + 1 AS i, c.j, step, least(c.v + step,
+      lag(c.v) OVER (PARTITION BY c.item_id ORDER BY c.j) + CASE WHEN substr(a, c.i + 1, 1) = substr(b, c.j, 1) THEN 0 ELSE step - 1 END) AS up
+    FROM cells c JOIN s ON c.item_id = s.item_id WHERE c.i < n)),
+ends AS (SELECT s.item_id, n, m, (v + step - 1) // step AS cost, ((v + step - 1) // step) * step - v AS subs FROM cells c JOIN s ON c.item_id = s.item_id AND i = n AND j = m)
+SELECT item_id, (cost - subs + n - m) // 2 / greatest(n, m) AS deletions, (cost - subs - n + m) // 2 / greatest(n, m) AS insertions FROM ends WHERE greatest(n, m) > 0
+UNION ALL SELECT item_id, 0.0, 0.0 FROM ends WHERE greatest(n, m) = 0""")
 def edit_shares(t):
     rows = spread(t.benchmark, "item_id").select("item_id", F.col("text").alias("a"), F.expr("replace(replace(text, 'e', ''), 'th', 'THX')").alias("b"))
     return rows.select("item_id", tx.edit_shares("a", "b").alias("s")).select("item_id", "s.deletions", "s.insertions")

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from tamis.functions.text import PUNCTUATION_CLASS, word_count
 from tamis.operators import dedup as d
 from tamis.plans.registry import query
+from tamis.session import run_folder
+from tamis.streaming.exact import track_copies, tracked
+from tamis.streaming.ingest import read_new_files
 
 CONFIG = d.MinHashConfig()
 LINES = r"""list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(regexp_replace(x, '^\s+', ''), '\s+$', '')), lambda x: x <> '')"""
@@ -50,6 +53,17 @@ def exact_rows(t):
     return d.dedup_lines_and_rows(t.docs.select("doc_id", "text"), "doc_id").select("doc_id", "n_words")
 
 
+@query("str02_incremental_exact", "SELECT min(doc_id) AS kept_id, count(*) AS copies FROM documents GROUP BY text, lang")
+def incremental_exact(t):
+    """The table in three increments, the last ids first; every increment is a run of its own."""
+    folder, docs = run_folder(t.spark, "increments"), t.documents.select("doc_id", "text", "lang")
+    for part in range(3):
+        docs.where(F.pmod(-F.col("doc_id"), F.lit(3)) == part).write.mode("append").parquet(f"{folder}/arrived")
+        stream = read_new_files(t.spark, f"{folder}/arrived", docs.schema, "parquet")
+        track_copies(stream, "doc_id", ["text", "lang"], f"{folder}/copies", f"{folder}/progress").awaitTermination()
+    return tracked(t.spark, f"{folder}/copies")
+
+
 @query("dup02_line_counts", f"""
 SELECT sum(len(l))::BIGINT AS total_lines, sum(len(l) - len(list_distinct(l)))::BIGINT AS repeated_lines,
   count(*) FILTER (len(l) <> len(list_distinct(l))) AS rows_modified FROM (SELECT {LINES} AS l FROM documents)""")

@@ -227,6 +227,14 @@ def size_chunks(t):
     return rows.size_chunks(rows_in, "doc_id", F.col("n") + 50, 20000, ["source"]).select("doc_id", "source", "chunk")
 
 
+@query("snk02_size_chunks_by_name", """
+SELECT name, floor((sum(strlen(text) + 50) OVER (PARTITION BY source ORDER BY name) - (strlen(text) + 50)) / 20000)::BIGINT AS chunk
+FROM (SELECT concat(lang, '/', doc_id) AS name, source, text FROM documents)""")
+def size_chunks_by_name(t):
+    named = t.docs.select(F.concat("lang", F.lit("/"), F.col("doc_id").cast("string")).alias("name"), "source", byte_count(F.col("text")).alias("n"))
+    return rows.size_chunks(named, "name", F.col("n") + 50, 20000, ["source"]).select("name", "chunk")
+
+
 @query("win05_running_bytes", "SELECT doc_id, sum(strlen(text)) OVER (ORDER BY doc_id)::BIGINT AS bytes_so_far FROM documents")
 def running_bytes(t):
     sized = t.docs.select("doc_id", byte_count(F.col("text")).alias("n"))

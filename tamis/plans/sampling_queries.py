@@ -130,6 +130,20 @@ def positions(t):
     return rows.positions(t.orders.select("o_orderkey"), "o_orderkey", 50, 215)
 
 
+@query("win07_positions_by_name", """
+SELECT name FROM (SELECT concat(source, '/', doc_id) AS name, row_number() OVER (ORDER BY concat(source, '/', doc_id)) - 1 AS i FROM documents) WHERE i >= 70 AND i < 190""")
+def positions_by_name(t):
+    names = t.documents.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string")).alias("name"))
+    return rows.positions(names, "name", 70, 190)
+
+
+@query("win01_numbers_by_date", """
+SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS n FROM orders""")
+def numbers_by_date(t):
+    df = t.orders.select("o_orderkey", "o_orderpriority", "o_orderdate")
+    return rows.row_numbers(df, ["o_orderdate", "o_orderkey"], "n", ["o_orderpriority"]).select("o_orderkey", "n")
+
+
 @query("win07_tail", "SELECT o_orderkey FROM orders ORDER BY o_orderkey DESC LIMIT 50")
 def tail(t):
     return rows.tail(t.orders.select("o_orderkey"), "o_orderkey", 50)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -39,6 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which driver and executors all reach."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder, so a lost executor costs one re-read."""
     ensure_checkpoint_dir(df.sparkSession)

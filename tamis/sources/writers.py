@@ -23,8 +23,8 @@ def write_articles(df: DataFrame, path: str, records_per_file: int = 50_000) ->
     df.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).json(path)
 
 
-def write_size_chunks(df: DataFrame, path: str, key: str, limit: int = 100 * 1024 * 1024) -> None:
-    """JSON lines in chunks of about ``limit`` bytes per source (row text plus 50).
+def write_size_chunks(df: DataFrame, path: str, key: str | list[str], limit: int = 100 * 1024 * 1024) -> None:
+    """JSON lines in chunks of about ``limit`` bytes per source (row text plus 50), in the order of ``key`` of any type.
 
     A chunk is one shuffle group, and no group exceeds the limit by more than a row.
     """

@@ -97,3 +97,56 @@ def test_pack_covers_everything(spark):
 def test_require_text(spark):
     with pytest.raises(ValueError):
         tr.require_text(spark.range(1))
+
+
+def numbered(data, groups=None):
+    seen, out = {}, {}
+    for row in data:
+        g = row[groups] if groups is not None else None
+        seen[g] = seen.get(g, 0) + 1
+        out[row[0]] = seen[g]
+    return out
+
+
+def test_numbers_by_text_date_and_several_columns(spark):
+    rng = random.Random(8)
+    data = [(f"{rng.choice('abä')}{i:04}", rng.choice(["hot", "hot", "hot", None, "x"]), f"2020-01-{1 + i % 9:02}", i % 4) for i in range(700)]
+    df = spark.createDataFrame(data, "id string, g string, day string, part int").withColumn("day", F.to_date("day")).repartition(5)
+    by_id = sorted(data, key=lambda x: x[0].encode())
+    assert {x["id"]: x["n"] for x in r.row_numbers(df, "id", "n", buckets=40).collect()} == numbered(by_id)
+    assert {x["id"]: x["n"] for x in r.row_numbers(df, "id", "n", ["g"], 7).collect()} == numbered(by_id, 1)
+    by_day = sorted(data, key=lambda x: (x[2], x[3], x[0].encode()))
+    assert {x["id"]: x["n"] for x in r.row_numbers(df, ["day", "part", "id"], "n", ["g"], 30).collect()} == numbered(by_day, 1)
+
+
+def test_ties_and_null_keys_are_numbered_once_each(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else "same" if i % 3 else f"k{i}") for i in range(900)], "id int, k string")
+    got = r.row_numbers(df, "k", "n", buckets=50).collect()
+    assert sorted(x["n"] for x in got) == list(range(1, 901))
+    in_order = [x["k"] for x in sorted(got, key=lambda x: x["n"])]
+    assert in_order == sorted(in_order, key=lambda k: (k is not None, k or ""))
+
+
+def test_ranges_are_even_and_as_many_as_asked_for(spark):
+    df = spark.range(20_000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    cuts = r.cut_points(df, "k", 20)
+    assert len(cuts) == 19
+    sizes = [x["count"] for x in df.groupBy(r._range_of(df, "k", cuts).alias("r")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 2000
+    assert len(r.cut_points(df, "k")) == 15 and r.cut_points(df.limit(0), "k") == []
+
+
+@pytest.mark.parametrize("start, stop", [(0, 5), (123, 456), (990, 2000), (0, 1000), (400, 400), (1000, 1010)])
+def test_slices_by_text(spark, start, stop):
+    names = sorted(f"n{i * 7919 % 1000}" for i in range(998))
+    df = spark.createDataFrame([(n,) for n in [None, None, *names]], "name string").repartition(3)
+    got = sorted((x["name"] for x in r.positions(df, "name", start, stop, 25).collect()), key=lambda n: (n is not None, n or ""))
+    assert got == [None, None, *names][start:stop]
+
+
+def test_a_slice_numbers_only_the_ranges_it_touches(spark, capsys):
+    df = spark.range(50_000).select(F.format_string("%08d", F.col("id")).alias("k"))
+    r.positions(df, "k", 20_000, 20_100, 100).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Window" in plan and "k" in plan
+    assert r.positions(df, "k", 20_000, 20_100, 100).count() == 100

@@ -52,10 +52,10 @@ def candidates(n: int, ends: np.ndarray, settings: Settings) -> tuple[np.ndarray
     return places[order], order >= len(ends)
 
 
-def prefix_checksums(data: memoryview, places: np.ndarray) -> np.ndarray:
-    """crc32 of the first ids up to each place; ``data`` holds ids of four bytes."""
+def prefix_checksums(data: memoryview, places: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """crc32 of the ids of four bytes up to each place, from the place before one that is ``first``."""
     crc32, crc, upto = zlib.crc32, 0, (4 * places).tolist()
-    return np.array([crc := crc32(data[a:b], crc) for a, b in zip([0, *upto], upto)], "<u4")
+    return np.array([crc := crc32(data[a:b], 0 if new else crc) for a, b, new in zip([0, *upto], upto, first.tolist())], "<u4")
 
 
 class Shift:
@@ -240,18 +240,25 @@ def measure(df: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: i
     def measured(encoder: PieceEncoder, texts: list[str]) -> list[tuple[int, bytes, bytes]]:
         if not texts:
             return []
-        done, out = encoder.encode(texts), []
-        upto = np.cumsum(done.counts)
-        cut = np.searchsorted(done.ends, upto, "right")
-        for a, b, p, q in zip(upto - done.counts, upto, [0, *cut[:-1]], cut):
-            ids = np.append(done.ids[a:b], tail).astype("<u4")
-            if not len(ids):
-                out.append((0, b"", b""))
-                continue
-            places, inner = candidates(len(ids), done.ends[p:q] - a, settings)
-            gaps = np.diff(places, prepend=0).astype(np.uint16) | np.where(inner, HARD, np.uint16(0))
-            out.append((len(ids), gaps.astype("<u2").tobytes(), prefix_checksums(memoryview(ids).cast("B"), places).tobytes()))
-        return out
+        done = encoder.encode(texts)
+        # All texts at once, each with its end id: a document's end is a place to cut like the others.
+        size = done.counts + len(tail)
+        stop, upto = np.cumsum(size), np.cumsum(done.counts)
+        ids = np.full(stop[-1], tail[0] if tail else 0, "<u4")
+        text = np.ones(len(ids), bool)
+        text[stop[: len(size) * len(tail)] - 1] = False
+        ids[text] = done.ids
+        document = np.searchsorted(upto, done.ends)
+        ends = np.union1d((done.ends + document * len(tail))[done.ends < upto[document]], stop[size > 0])
+        places, inner = candidates(len(ids), ends, settings)
+        if not len(ids):
+            return [(0, b"", b"")] * len(texts)
+        gaps = (np.diff(places, prepend=0).astype(np.uint16) | np.where(inner, HARD, np.uint16(0))).astype("<u2")
+        cut = np.searchsorted(places, stop, "right")
+        first = np.zeros(len(places) + 1, bool)
+        first[cut - np.diff(cut, prepend=0)] = True
+        crcs = prefix_checksums(memoryview(ids).cast("B"), places, first[:-1])
+        return [(n, gaps[p:q].tobytes(), crcs[p:q].tobytes()) for n, p, q in zip(size.tolist(), [0, *cut[:-1].tolist()], cut.tolist())]
 
     kind = dict(slim.dtypes)["doc"]
     return slim.mapInArrow(run, f"doc {kind}, row long, n long, gaps binary, crcs binary")

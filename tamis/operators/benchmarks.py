@@ -9,13 +9,16 @@ from tamis.operators.rows import row_numbers
 
 
 def match_by_prompt(gold: DataFrame, original: DataFrame, prompt_col: str) -> DataFrame:
-    """Gold rows with the fields of the original item whose rendered prompt is the same.
+    """Gold rows with the fields of the one original item whose rendered prompt is the same.
 
-    Joined on a digest of the prompt, checked on the prompt itself; order plays no part.
+    Prompts that several originals share match none of them, so a gold row never multiplies; they are
+    what ``match_report`` lists.  Joined on a digest of the prompt, checked on the prompt itself; order
+    plays no part.  Originals of one prompt meet as a count per task.
     """
     left = gold.withColumn("_k", F.md5(prompt_col))
-    right = original.withColumn("_k", F.md5(prompt_col)).withColumnRenamed(prompt_col, "_prompt")
-    return left.join(right, "_k").where(F.col(prompt_col) == F.col("_prompt")).drop("_k", "_prompt")
+    fields = F.struct(*[F.col(c).alias("_prompt" if c == prompt_col else c) for c in original.columns])
+    single = original.groupBy(F.md5(prompt_col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"), F.first(fields).alias("_o")).where("_n = 1")
+    return left.join(single.select("_k", "_o.*"), "_k").where(F.col(prompt_col) == F.col("_prompt")).drop("_k", "_prompt")
 
 
 def match_report(gold: DataFrame, original: DataFrame, prompt_col: str, id_col: str) -> DataFrame:

@@ -257,6 +257,60 @@ def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[
     return [*tops.values(), *dups.values()]
 
 
+def n_gram_numbers(ids: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
+    """For each size one number per place, equal where the n-grams that begin there are equal.
+
+    Numbers of runs of 1, 2, 4, ... words come from pairs of half their length; an n-gram is two runs
+    that overlap.  No hashing, so equal numbers mean equal words.
+    """
+    halves, out = {1: ids}, {}
+    for n in sorted(set(sizes)):
+        if n > len(ids):
+            out[n] = ids[:0]
+            continue
+        size = 1 << (n.bit_length() - 1)
+        while size not in halves:
+            last = max(halves)
+            halves[2 * last] = _pair_numbers(halves[last][: len(ids) - 2 * last + 1], halves[last][last:])
+        out[n] = halves[size] if n == size else _pair_numbers(halves[size][: len(ids) - n + 1], halves[size][n - size :])
+    return out
+
+
+def _pair_numbers(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1].astype(np.int64)
+
+
+def repeated_n_gram_chars(text: str, sizes: list[int]) -> list[int]:
+    """Per size: characters of the words that lie in an n-gram which occurs earlier in the text too.
+
+    Every later occurrence counts, whatever stands before it, and every word once: a statement about
+    the text alone, where ``n_gram_chars`` depends on the order in which hits are jumped over.
+    """
+    found = _WORD.findall(text)
+    seen: dict[str, int] = {}
+    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
+    lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    numbers, out = n_gram_numbers(ids, sizes), []
+    for n in sizes:
+        later = np.ones(len(numbers[n]), bool)
+        later[np.unique(numbers[n], return_index=True)[1]] = False
+        steps = np.zeros(len(found) + 1, np.int64)
+        steps[: len(later)] += later
+        steps[n : n + len(later)] -= later
+        out.append(int(lengths[np.cumsum(steps[:-1]) > 0].sum()))
+    return out
+
+
+def repeated_n_gram_scan(sizes: list[int]):
+    """Arrow UDF ``text -> array`` of ``repeated_n_gram_chars``; null stays null."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def scan(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda v: None if v is None else repeated_n_gram_chars(v, sizes))
+
+    return scan
+
+
 def n_gram_scan(top_sizes: list[int], dup_sizes: list[int]):
     """Arrow UDF ``text -> array``: the top sizes first, then the dup sizes; null stays null."""
 

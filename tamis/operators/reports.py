@@ -201,19 +201,58 @@ def reason_evidence(annotated: DataFrame, per_reason: int = 20, seed: int = 42,
     return picked.select("source", "filter_reason", id_col).join(shares, ["source", "filter_reason"])
 
 
-def report_tables(annotated: DataFrame, per_reason: int = 30, id_col: str = "doc_id") -> dict[str, DataFrame]:
-    """The five tables of the filter report."""
-    examples = removed_examples(annotated, per_reason, id_col=id_col)
-    summary = reason_summary(annotated)
+def report_tables(
+    annotated: DataFrame, per_reason: int = 30, id_col: str = "doc_id", texts: DataFrame | None = None, carry: tuple[str, ...] = ("file_path", "metadata"), seed: int = 42,
+) -> dict[str, DataFrame]:
+    """The five tables of the filter report, from one pass of the gates.
+
+    The verdicts of removed documents, without texts, are written down once; counts and the choice of
+    examples work on them.  Only the texts of chosen ids are fetched, from ``texts`` (by default
+    ``annotated``), with the columns of ``carry`` that it has.
+    """
+    removed = annotated.where(F.col("filter_reason").isNotNull())
+    verdicts = cut_lineage(removed.select(id_col, "filter_group", "filter_reason", "n_words"))
+    sums = cut_lineage(verdicts.groupBy("filter_group", "filter_reason").agg(F.count(F.lit(1)).alias("documents"), F.sum("n_words").alias("total_words")))
+    picked = sample_per_group(verdicts, ["filter_reason"], id_col, per_reason, seed, rank_col="example")
+    picked = cut_lineage(picked.withColumn("example", F.col("example").cast("long")))
+    source = removed if texts is None else texts
+    extra = [c for c in carry if c in source.columns]
+    # At most per_reason rows for each of the gates, so the ids are few whatever the corpus holds.
+    examples = source.select(id_col, "text", *extra).join(F.broadcast(picked), id_col)
+    columns = ["filter_reason", "example", id_col, "filter_group", "n_words", *extra]
+    average = F.round(F.col("total_words") / F.col("documents"), 2).alias("average_words")
+    reasons = sums.groupBy("filter_reason").agg(F.sum("documents").alias("documents"), F.sum("total_words").alias("total_words"))
+    whole = Window.partitionBy()  # one row per reason
+    share = lambda c: F.round(F.col(c) / F.sum(c).over(whole) * 100, 2)
     return {
-        "overall_summary": summary,
-        "group_statistics": reason_summary(annotated, by_group=True),
-        "examples_preview": examples.drop("full_text"),
-        "full_examples": examples.drop("text_preview"),
-        "filter_counts": summary.select("filter_reason", "documents").orderBy(F.desc("documents"), "filter_reason"),
+        "overall_summary": reasons.select(
+            "filter_reason", "documents", "total_words", average, share("documents").alias("documents_percent"), share("total_words").alias("words_percent"),
+        ),
+        "group_statistics": sums.select(
+            "filter_group", "filter_reason", "documents", "total_words", average, F.sum("documents").over(Window.partitionBy("filter_group")).alias("group_documents"),
+        ),
+        "examples_preview": examples.select(*columns, sheet_safe(preview(F.col("text"))).alias("text_preview")),
+        "full_examples": examples.select(*columns, F.col("text").alias("full_text")),
+        "filter_counts": reasons.select("filter_reason", "documents").orderBy(F.desc("documents"), "filter_reason"),
     }
 
 
+def before_after(docs: DataFrame, clusters: DataFrame, length: Column, id_col: str = "doc_id", group: str = "source", unit: str = "words") -> DataFrame:
+    """By group: documents and ``unit``s before and after near copies go, and the share that went.
+
+    ``clusters`` are ``id, component``; ``length`` counts words or, with a column of
+    ``training.token_counts``, tokens.
+    """
+    gone = clusters.where(F.col(id_col) != F.col("component")).select(id_col, F.lit(True).alias("_gone"))
+    counted = docs.select(id_col, group, length.alias("_size")).join(gone, id_col, "left")
+    kept = F.col("_gone").isNull()
+    return counted.groupBy(group).agg(
+        F.count(F.lit(1)).alias("docs_before"), F.count_if(kept).alias("docs_after"), F.sum("_size").alias(f"{unit}_before"),
+        F.coalesce(F.sum(F.when(kept, F.col("_size"))), F.lit(0)).alias(f"{unit}_after"),
+        F.round(1 - F.count_if(kept) / F.count(F.lit(1)), 6).alias("duplicate_ratio"),
+    )
+
+
 def multiplicity(df: DataFrame, cols: list[str]) -> DataFrame:
     """How many values occur once, twice, ..."""
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("times"))

@@ -148,10 +148,30 @@ def tail(df: DataFrame, key: Keys, n: int) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in _columns(key)]).limit(n)
 
 
-def first_n(df: DataFrame, groups: list[str], order: list, n: int) -> DataFrame:
-    """Up to n rows per group; each task keeps n per group ahead of the exchange."""
-    w = Window.partitionBy(*groups).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+# Up to this many rows of a group Spark turns a rank filter into a limit inside every task.
+WINDOW_LIMIT = 1000
+
+
+def first_n(df: DataFrame, groups: list[str], order: list, n: int, rank: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Up to n rows per group in the given order, with their place as ``rank`` if named.
+
+    Few rows: each task keeps n per group ahead of the exchange.  More, by columns in ascending
+    order: the order key is cut into ranges, counts per (group, range) tell which ranges hold the
+    first n, the rest goes before anything moves, and rows are ranked inside their range only.
+    """
+    name = rank or "_n"
+    if n <= WINDOW_LIMIT or not all(isinstance(c, str) for c in order):
+        w = Window.partitionBy(*groups).orderBy(*order)
+        picked = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
+        return picked if rank else picked.drop(name)
+    placed = df.withColumn("_range", _range_of(df, order, cut_points(df, order, buckets)))
+    by = [*groups, "_range"]
+    counts = placed.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.select(*by, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")).where(F.col("_before") < n)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) + F.col("_before")
+    picked = _joined_back(placed, by, needed).withColumn(name, place.cast("int")).where(F.col(name) <= n).drop("_range", "_before")
+    return picked if rank else picked.drop(name)
 
 
 def exclude(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:

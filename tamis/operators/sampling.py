@@ -9,19 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tamis.functions.hashing import hash60, stable_rank_key, unit_interval
-from tamis.operators.rows import row_numbers
+from tamis.operators.rows import first_n, row_numbers
 
 
 def sample_per_group(
     df: DataFrame, groups: list[str], id_col: str, n: int, seed: int = 42, rank_col: str | None = None
 ) -> DataFrame:
-    """Up to n rows per group in hash order.
-
-    The rank filter becomes a per-task limit, so at most n rows of a group leave a task.
-    """
-    w = Window.partitionBy(*groups).orderBy(stable_rank_key(seed, id_col), id_col)
-    ranked = df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n)
-    return ranked.withColumnRenamed("_n", rank_col) if rank_col else ranked.drop("_n")
+    """Up to n rows per group in hash order; no task ranks a whole group, however large n is (see ``rows.first_n``)."""
+    keyed = df.withColumn("_key", stable_rank_key(seed, id_col))
+    return first_n(keyed, groups, ["_key", id_col], n, rank_col).drop("_key")
 
 
 def sample_rows(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:

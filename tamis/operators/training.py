@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_left, insort
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tamis.functions.hashing import hash60
 from tamis.functions.text import word_count
@@ -61,6 +64,63 @@ def tokens(c: Column, max_length: int = 4096) -> Column:
     return F.slice(F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0)), 1, max_length)
 
 
+_LOADED: dict[str, Callable[[list[str]], list[list[int]]]] = {}
+
+
+def load_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
+    """Texts to ids by a tokenizer file: JSON of the tokenizers library, or a sentencepiece model."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    if path.endswith(".model"):
+        from sentencepiece import SentencePieceProcessor
+
+        return SentencePieceProcessor(model_file=path).encode
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    return lambda texts: [e.ids for e in found.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _tokenized(
+    df: DataFrame, path: str, load: Callable[[str], Callable[[list[str]], list[list[int]]]], text_col: str, name: str, kind: str, make: Callable, text_chars: int,
+) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if path not in _LOADED:  # once per worker, not per task
+            _LOADED.clear()
+            _LOADED[path] = load(path)
+        encode = _LOADED[path]
+        for batch in batches:
+            texts = batch.column(text_col)
+            first, size = 0, 0
+            for i in range(len(texts)):
+                size += len(texts[i].as_py() or "")
+                # So many characters at once that ids of long texts never pile up.
+                if size >= text_chars or i == len(texts) - 1:
+                    part = batch.slice(first, i + 1 - first)
+                    given = part.column(text_col).to_pylist()
+                    ids = iter(encode([t for t in given if t is not None]))
+                    made = pa.array([None if t is None else make(next(ids)) for t in given], pa.int64() if kind == "long" else pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, name])
+                    first, size = i + 1, 0
+
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType() if kind == "long" else T.ArrayType(T.IntegerType()))])
+    return df.mapInArrow(run, schema)
+
+
+def token_ids(df: DataFrame, path: str, text_col: str = "text", name: str = "token_ids", load=load_encoder, text_chars: int = 1 << 20) -> DataFrame:
+    """Add the ids of whole texts by a tokenizer file; null stays null.
+
+    ``load`` turns the path into a function from texts to ids and is called once per worker, so any
+    tokenizer serves that the workers can load.  Texts are encoded where they lie; columns pass as
+    Arrow, so ids of documents keep their type.
+    """
+    return _tokenized(df, path, load, text_col, name, "ids", lambda ids: ids, text_chars)
+
+
+def token_counts(df: DataFrame, path: str, text_col: str = "text", name: str = "n_tokens", load=load_encoder, text_chars: int = 1 << 20) -> DataFrame:
+    """Add the number of ids of whole texts; see ``token_ids``.  Ids themselves never leave the worker."""
+    return _tokenized(df, path, load, text_col, name, "long", len, text_chars)
+
+
 def with_split(df: DataFrame, id_col: str = "doc_id", validation_share: float = 0.1, seed: int = 42) -> DataFrame:
     return df.withColumn("split", split_flag(id_col, validation_share, seed))
 
@@ -138,5 +198,5 @@ def pack(df: DataFrame, id_col: str, length_col: str, capacity: int = 4096, rows
 
 __all__ = [
     "best_fit_decreasing", "document_lengths", "first_texts", "mixture", "mixture_manifest", "pack", "require_text",
-    "row_numbers", "source_rank", "split_info", "tokens", "with_split", "word_gate",
+    "row_numbers", "source_rank", "split_info", "token_counts", "token_ids", "tokens", "with_split", "word_gate",
 ]

@@ -1,9 +1,11 @@
 """De-duplication queries."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from tamis.functions.text import PUNCTUATION_CLASS, word_count
-from tamis.operators import dedup as d
+from tamis.operators import dedup as d, training as tr
+from tamis.operators.reports import before_after as before_after_report
 from tamis.plans.registry import query
 from tamis.session import run_folder
 from tamis.streaming.exact import track_copies, tracked
@@ -116,15 +118,15 @@ SELECT source, count(*) AS docs_before, count(*) FILTER (kept) AS docs_after, su
   coalesce(sum(n) FILTER (kept), 0)::BIGINT AS words_after, round(1 - count(*) FILTER (kept) / count(*), 6) AS duplicate_ratio FROM k GROUP BY source""")
 def before_after(t):
     docs = t.docs.select("doc_id", "source", "text")
-    clusters = d.near_duplicate_clusters(docs, "doc_id", CONFIG)
-    gone = clusters.where(F.col("doc_id") != F.col("component")).select("doc_id", F.lit(True).alias("gone"))
-    counted = docs.select("doc_id", "source", word_count(F.col("text")).alias("n")).join(gone, "doc_id", "left")
-    kept = F.col("gone").isNull()
-    return counted.groupBy("source").agg(
-        F.count(F.lit(1)).alias("docs_before"), F.count_if(kept).alias("docs_after"), F.sum("n").alias("words_before"),
-        F.coalesce(F.sum(F.when(kept, F.col("n"))), F.lit(0)).alias("words_after"),
-        F.round(1 - F.count_if(kept) / F.count(F.lit(1)), 6).alias("duplicate_ratio"),
-    )
+    return before_after_report(docs, d.near_duplicate_clusters(docs, "doc_id", CONFIG), word_count(F.col("text")))
+
+
+@query("dup08_token_counts", None)
+def before_after_tokens(t):
+    """The same in tokens of a public tokenizer file; the tests compare with the library."""
+    docs = t.docs.select("doc_id", "source", "text")
+    counted = tr.token_counts(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "source", "n_tokens")
+    return before_after_report(counted, d.near_duplicate_clusters(docs, "doc_id", CONFIG), F.col("n_tokens"), unit="tokens")
 
 
 @query("dup09_unique_items", "SELECT min(item_id) AS item_id, text FROM benchmark GROUP BY text")
@@ -139,3 +141,15 @@ SELECT src, dst, round(shared / (ka.k + kb.k - shared), 6) AS jaccard FROM s JOI
 WHERE shared / (ka.k + kb.k - shared) >= 0.8""")
 def verified_edges(t):
     return d.verified_edges(_edges(t), t.docs, "doc_id", 0.8, CONFIG).select("src", "dst", F.round("jaccard", 6).alias("jaccard"))
+
+
+@query("dup11_verified_clusters", f"""
+WITH RECURSIVE {MINHASH},
+pairs AS MATERIALIZED (SELECT DISTINCT a.doc_id AS src, b.doc_id AS dst FROM bands a JOIN bands b ON a.band = b.band AND a.sig = b.sig AND a.doc_id > b.doc_id),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT src, dst, count(*) AS c FROM pairs JOIN sh x ON x.doc_id = src JOIN sh y ON y.doc_id = dst AND x.h = y.h GROUP BY src, dst),
+edges AS MATERIALIZED (SELECT src, dst FROM shared JOIN sizes p ON p.doc_id = src JOIN sizes q ON q.doc_id = dst WHERE c / (p.n + q.n - c) >= 0.85),
+{COMPONENTS} SELECT doc_id, component FROM comp""")
+def verified_clusters(t):
+    """All pairs of a bucket count, not only those with its smallest id."""
+    return d.near_duplicate_clusters(t.docs.select("doc_id", "text"), "doc_id", CONFIG, min_jaccard=0.85)

@@ -113,11 +113,46 @@ def top_n_grams_scan(t):
     return scanned.select("doc_id", *[F.col("g")[i].alias(f"top_{n}") for i, n in enumerate((2, 3, 4))])
 
 
-@query("flt04_repeated_n_grams", None)
+SIZES = [5, 6, 7, 8, 9, 10]
+GRAMS = r"""w AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS ws FROM documents),
+grams AS (SELECT doc_id, n, i, array_to_string(ws[i : i + n - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM w, range(5, 11) t(n) WHERE len(ws) >= n))"""
+
+
+def _by_size(name: str, value: str) -> str:
+    return ", ".join(f"coalesce(max({value}) FILTER (n = {n}), 0)::BIGINT AS {name}_{n}" for n in SIZES)
+
+
+# A step of the recursion takes the next place whose n-gram occurs before it.  It is a hit if the scan
+# has not jumped past it and some earlier occurrence was not jumped over.
+@query("flt04_repeated_n_grams", f"""
+WITH RECURSIVE {GRAMS},
+several AS MATERIALIZED (SELECT doc_id, n, i, gram FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, n, gram) > 1),
+places AS (SELECT doc_id, n, i, length(gram) - (n - 1) AS len, list(i) OVER (PARTITION BY doc_id, n, gram ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM several),
+again AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id, n ORDER BY i) AS k FROM places WHERE len(earlier) > 0),
+walk AS (
+  SELECT DISTINCT doc_id, n, 0::BIGINT AS k, 0::BIGINT AS free, 0::BIGINT AS chars, []::BIGINT[] AS hits FROM again
+  UNION ALL
+  SELECT doc_id, n, k, CASE WHEN hit THEN i + n ELSE free END, chars + CASE WHEN hit THEN len ELSE 0 END, CASE WHEN hit THEN list_append(hits, i) ELSE hits END FROM (
+    SELECT a.doc_id, a.n, a.k, a.i, a.len, free, chars, hits,
+      a.i >= free AND len(list_filter(earlier, lambda q: len(list_filter(hits, lambda h: q > h AND q < h + a.n)) = 0)) > 0 AS hit
+    FROM walk JOIN again a ON walk.doc_id = a.doc_id AND walk.n = a.n AND a.k = walk.k + 1))
+SELECT d.doc_id, {_by_size("dup", "chars")} FROM documents d LEFT JOIN walk USING (doc_id) GROUP BY d.doc_id""")
 def repeated_n_grams(t):
-    sizes = [5, 6, 7, 8, 9, 10]
-    scanned = t.docs.select("doc_id", q.n_gram_scan([], sizes)("text").alias("d"))
-    return scanned.select("doc_id", *[F.col("d")[i].alias(f"dup_{n}") for i, n in enumerate(sizes)])
+    scanned = t.docs.select("doc_id", q.n_gram_scan([], SIZES)("text").alias("d"))
+    return scanned.select("doc_id", *[F.col("d")[i].alias(f"dup_{n}") for i, n in enumerate(SIZES)])
+
+
+@query("flt04_words_in_repeats", f"""
+WITH {GRAMS},
+later AS (SELECT doc_id, n, i FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, n, gram ORDER BY i) AS k FROM grams) WHERE k > 1),
+covered AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS j FROM later),
+lengths AS (SELECT doc_id, generate_subscripts(ws, 1) AS j, length(unnest(ws)) AS len FROM w),
+sums AS (SELECT doc_id, n, sum(len) AS chars FROM covered JOIN lengths USING (doc_id, j) GROUP BY ALL)
+SELECT d.doc_id, {_by_size("rep", "chars")} FROM documents d LEFT JOIN sums USING (doc_id) GROUP BY d.doc_id""")
+def words_in_repeats(t):
+    scanned = t.docs.select("doc_id", q.repeated_n_gram_scan(SIZES)("text").alias("d"))
+    return scanned.select("doc_id", *[F.col("d")[i].alias(f"rep_{n}") for i, n in enumerate(SIZES)])
 
 
 # Limits used by the reports: the default profile without the order-dependent n-gram

@@ -133,7 +133,7 @@ def reason_summary(t):
 WITH {ANNOTATED}, c AS (SELECT filter_group, filter_reason, count(*) AS n, sum(n_words) AS w FROM annotated WHERE filter_reason IS NOT NULL GROUP BY ALL)
 SELECT filter_group, filter_reason, n AS documents, w::BIGINT AS total_words, round((w / n)::DOUBLE, 2) AS average_words, sum(n) OVER (PARTITION BY filter_group)::BIGINT AS group_documents FROM c""")
 def group_statistics(t):
-    return r.report_tables(annotated(t))["group_statistics"]
+    return r.report_tables(annotated(t), texts=t.documents)["group_statistics"]
 
 
 EXAMPLES = f"""WITH {ANNOTATED}, e AS (SELECT *, row_number() OVER (PARTITION BY filter_reason ORDER BY md5(concat_ws('|', '42', doc_id)), doc_id) AS example
@@ -143,28 +143,37 @@ EXAMPLES = f"""WITH {ANNOTATED}, e AS (SELECT *, row_number() OVER (PARTITION BY
 @query("snk06_examples_preview", f"""{EXAMPLES}
 SELECT filter_reason, example, doc_id, filter_group, n_words, CASE WHEN length(text) > 200 THEN concat(substring(text, 1, 200), '...') ELSE text END AS text_preview FROM e""")
 def examples_preview(t):
-    return r.report_tables(annotated(t))["examples_preview"]
+    return r.report_tables(annotated(t), texts=t.documents)["examples_preview"]
 
 
 @query("smp03_full_examples", f"{EXAMPLES} SELECT filter_reason, example, doc_id, filter_group, n_words, substring(text, 1, 32767) AS full_text FROM e")
 def full_examples(t):
     # As a sheet would hold it.
-    return r.report_tables(annotated(t))["full_examples"].withColumn("full_text", sheet_safe(F.col("full_text")))
+    return r.report_tables(annotated(t), texts=t.documents)["full_examples"].withColumn("full_text", sheet_safe(F.col("full_text")))
 
 
 @query("smp03_whole_examples", f"{EXAMPLES} SELECT filter_reason, example, doc_id, filter_group, n_words, text AS full_text FROM e")
 def whole_examples(t):
-    return r.report_tables(annotated(t))["full_examples"]
+    return r.report_tables(annotated(t), texts=t.documents)["full_examples"]
+
+
+@query("snk06_examples_with_place", f"""{EXAMPLES}
+SELECT filter_reason, example, doc_id, filter_group, n_words, {FILE_KEY} AS file_path, map {{'lang': lang}}['lang'] AS lang, text AS full_text FROM e""")
+def examples_with_place(t):
+    # Both engines make up the file of a document; its language stands for the metadata.
+    texts = t.documents.withColumn("file_path", F.concat("source", F.lit("/"), (F.col("doc_id") % 7).cast("string"))).withColumn("metadata", F.create_map(F.lit("lang"), "lang"))
+    found = r.report_tables(annotated(t), texts=texts)["full_examples"]
+    return found.withColumn("lang", F.col("metadata")["lang"]).drop("metadata")
 
 
 @query("srt01_filter_counts", f"WITH {ANNOTATED} SELECT filter_reason, count(*) AS documents FROM annotated WHERE filter_reason IS NOT NULL GROUP BY 1")
 def filter_counts(t):
-    return r.report_tables(annotated(t))["filter_counts"]
+    return r.report_tables(annotated(t), texts=t.documents)["filter_counts"]
 
 
 @query("srt01_top_reasons", f"WITH {ANNOTATED} SELECT filter_reason, count(*) AS documents FROM annotated WHERE filter_reason IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
 def top_reasons(t):
-    return r.report_tables(annotated(t))["filter_counts"].limit(5)
+    return r.report_tables(annotated(t), texts=t.documents)["filter_counts"].limit(5)
 
 
 @query("jon11_reason_evidence", f"""

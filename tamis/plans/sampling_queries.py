@@ -1,5 +1,6 @@
 """Sampling, splitting, mixing, packing and positional queries."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from tamis.functions.text import word_count
@@ -94,6 +95,20 @@ def tokens(t):
     return tr.require_text(t.docs).select("doc_id", F.array_join(tr.tokens(F.col("text"), 512), "|").alias("tokens"))
 
 
+@query("trn02_token_ids", None)
+def token_ids(t):
+    """Whole texts by a public tokenizer file; SQL has no tokenizer, the tests compare with the library."""
+    made = tr.token_ids(tr.require_text(t.documents).select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return made.select("doc_id", F.size("token_ids").alias("n_tokens"), F.crc32(F.array_join("token_ids", ",").cast("binary")).alias("ids_crc32"))
+
+
+@query("smp01_many_per_source", """
+SELECT doc_id, source FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY md5(concat_ws('|', '42', doc_id)), doc_id) <= 1500""")
+def many_per_language(t):
+    """More rows than a task-local limit serves."""
+    return s.sample_per_group(t.documents.select("doc_id", "source", "lang"), ["lang"], "doc_id", 1500).select("doc_id", "source")
+
+
 @query("trn03_pack", None)
 def pack(t):
     lengths = tr.document_lengths(t.docs.select("doc_id", "text")).select("doc_id", "n_tokens")

@@ -88,7 +88,8 @@ class PieceEncoder:
     def _learn(self, pieces: list[bytes], low: np.ndarray, high: np.ndarray) -> None:
         """Encode new, distinct pieces and enter them into the tables."""
         tokenize = self.merges.tokenize
-        found = [[t.id for t in tokenize(p.decode("latin-1").encode().decode("latin-1").translate(SHOWN))] for p in pieces]
+        shown = [p.decode() if p.isalnum() else p.decode("latin-1").encode().decode("latin-1").translate(SHOWN) for p in pieces]  # ASCII shows as itself
+        found = [[t.id for t in tokenize(p)] for p in shown]
         ids = np.fromiter((i for own in found for i in own), np.uint32)
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         at, n = len(self.known), len(pieces)
@@ -157,7 +158,7 @@ class PieceEncoder:
         size = (rows[:, 2] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         after = np.cumsum(size)
         total = int(after[-1]) if len(after) else 0
-        ids = self.flat[np.repeat(rows[:, 3].astype(np.int64) - (after - size), size) + np.arange(total)]
+        ids = self.flat[np.repeat((rows[:, 3].astype(np.int64) - (after - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)]
         # A piece ends a sentence before white space if it closes with a full stop, or before a line break.
         last = data[end - 1]
         stops = ENDS[last] | (CLOSES[last] & (length > 1) & ENDS[data[np.maximum(end - 2, 0)]])

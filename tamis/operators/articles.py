@@ -9,6 +9,7 @@ from tamis.functions.cleaning import ocr_elements_to_text
 from tamis.functions.rules import Rule, apply_rules, rewrite_column
 from tamis.functions.text import byte_count, flatten_for_training, matches_title, preview, title_line, word_count
 from tamis.operators.cleaning import rule_examples
+from tamis.operators.rows import running_total
 from tamis.session import pin
 
 
@@ -104,6 +105,21 @@ def assemble_chunks(df: DataFrame, file: str, order: str, text: str, separator:
     return df.groupBy(file).agg(F.array_join(F.transform(ordered, lambda s: s["t"]), separator).alias("text"))
 
 
+def assemble_pieces(df: DataFrame, file: str, order: str | list[str], text: str, separator: str = "", piece_chars: int = 1 << 26) -> DataFrame:
+    """``file, piece, text``: the chunks of each file in order, joined into pieces of about ``piece_chars``.
+
+    A file of any size is cut where its running length passes a multiple of the limit, so neither a row
+    nor a task has to hold it; pieces in order, with the separator between them, are the whole file.
+    No piece exceeds the limit by more than a chunk.  Null texts are left out.
+    """
+    keys = [order] if isinstance(order, str) else list(order)
+    size = F.length(text).cast("long") + len(separator)
+    placed = running_total(df.where(F.col(text).isNotNull()).select(file, *keys, text), keys, size, "_end", [file])
+    numbered = placed.withColumn("piece", F.floor((F.col("_end") - size) / F.lit(piece_chars)).cast("long"))
+    ordered = F.array_sort(F.collect_list(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(text).alias("t"))))
+    return numbered.groupBy(file, "piece").agg(F.array_join(F.transform(ordered, lambda s: s["t"]), separator).alias("text"))
+
+
 def ocr_documents(df: DataFrame) -> DataFrame:
     """Whole documents from OCR responses ``request, response`` (JSON); unreadable chunks are skipped."""
     uri, text = response_parts(F.col("request"), F.col("response"))

@@ -8,8 +8,10 @@ from tamis.functions.text import byte_count, sheet_safe, strip, word_count
 from tamis.operators import cleaning as cleaning_op, quality as q, reports as r, rows
 from tamis.plans.cleaning_queries import CLEAN_STEPS
 from tamis.plans.derive import N_WORDS, STRIP, rx
-from tamis.plans.quality_queries import ANNOTATED, MEASURE_SQL, OVERRIDES, annotated
+from tamis.plans.jobs import Job, run_jobs
+from tamis.plans.quality_queries import ANNOTATED, MEASURE_SQL, OVERRIDES, PROFILE, annotated
 from tamis.plans.registry import query
+from tamis.session import run_folder
 
 RULES = [cl.WEB_RULES_BY_NAME[n] for n in ("newline_run", "ip_address", "email")]
 CLEANED = rx("text", *CLEAN_STEPS, *STRIP)
@@ -229,6 +231,19 @@ def share_of_total(t):
     return counts.select("source", F.round(F.col("token_count") / F.sum("token_count").over(Window.partitionBy()), 6).alias("share"))
 
 
+@query("udf05_job_counts", f"""
+WITH {ANNOTATED}, distinct_texts AS (SELECT text, any_value(n_words) AS n FROM annotated GROUP BY text, lang)
+SELECT 'gates' AS job, count(*) AS documents, 0::BIGINT AS copies, count(filter_reason) AS removed, count(*) - count(filter_reason) AS kept,
+  coalesce(sum(n_words) FILTER (filter_reason IS NULL), 0)::BIGINT AS words_kept FROM annotated
+UNION ALL SELECT 'copies', (SELECT count(*) FROM documents), (SELECT count(*) FROM documents) - count(*), 0, count(*), sum(n)::BIGINT FROM distinct_texts""")
+def job_counts(t):
+    path, out = f"{t.folder}/documents.parquet", run_folder(t.spark, "jobs")
+    return run_jobs(t.spark, [
+        Job("gates", path, gates=PROFILE, overrides=OVERRIDES, sinks={"filtered": f"{out}/filtered", "report": f"{out}/report"}),
+        Job("copies", path, exact=("text", "lang"), sinks={"by_source": f"{out}/sources"}),
+    ])
+
+
 @query("snk02_size_chunks", """
 SELECT doc_id, source, floor((sum(strlen(text) + 50) OVER (PARTITION BY source ORDER BY doc_id) - (strlen(text) + 50)) / 20000)::BIGINT AS chunk FROM documents""")
 def size_chunks(t):

@@ -179,6 +179,13 @@ def assemble_chunks(t):
     return a.assemble_chunks(t.conversations, "conv_id", "turn", "text")
 
 
+@query("srt04_ordered_pieces", """
+SELECT conv_id, piece, string_agg(text, '' ORDER BY turn) AS text FROM (
+  SELECT *, ((sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) - length(text)) // 200)::BIGINT AS piece FROM conversations WHERE text IS NOT NULL) GROUP BY conv_id, piece""")
+def ordered_pieces(t):
+    return a.assemble_pieces(t.conversations, "conv_id", "turn", "text", piece_chars=200)
+
+
 ELEMENTS = "CASE WHEN conv_id % 5 = 4 THEN 'not json' ELSE concat('[{\"type\": \"Text\", \"content\": \"', role, '\"}, {\"type\": \"Table\", \"content\": \"| ', turn, ' |\"}]') END"
 
 

@@ -237,7 +237,7 @@ def report_tables(
     }
 
 
-def before_after(docs: DataFrame, clusters: DataFrame, length: Column, id_col: str = "doc_id", group: str = "source", unit: str = "words") -> DataFrame:
+def before_after_duplicates(docs: DataFrame, clusters: DataFrame, length: Column, id_col: str = "doc_id", group: str = "source", unit: str = "words") -> DataFrame:
     """By group: documents and ``unit``s before and after near copies go, and the share that went.
 
     ``clusters`` are ``id, component``; ``length`` counts words or, with a column of

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions.text import PUNCTUATION_CLASS, word_count
 from tamis.operators import dedup as d, training as tr
-from tamis.operators.reports import before_after as before_after_report
+from tamis.operators.reports import before_after_duplicates
 from tamis.plans.registry import query
 from tamis.session import run_folder
 from tamis.streaming.exact import track_copies, tracked
@@ -118,7 +118,7 @@ SELECT source, count(*) AS docs_before, count(*) FILTER (kept) AS docs_after, su
   coalesce(sum(n) FILTER (kept), 0)::BIGINT AS words_after, round(1 - count(*) FILTER (kept) / count(*), 6) AS duplicate_ratio FROM k GROUP BY source""")
 def before_after(t):
     docs = t.docs.select("doc_id", "source", "text")
-    return before_after_report(docs, d.near_duplicate_clusters(docs, "doc_id", CONFIG), word_count(F.col("text")))
+    return before_after_duplicates(docs, d.near_duplicate_clusters(docs, "doc_id", CONFIG), word_count(F.col("text")))
 
 
 @query("dup08_token_counts", None)
@@ -126,7 +126,7 @@ def before_after_tokens(t):
     """The same in tokens of a public tokenizer file; the tests compare with the library."""
     docs = t.docs.select("doc_id", "source", "text")
     counted = tr.token_counts(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "source", "n_tokens")
-    return before_after_report(counted, d.near_duplicate_clusters(docs, "doc_id", CONFIG), F.col("n_tokens"), unit="tokens")
+    return before_after_duplicates(counted, d.near_duplicate_clusters(docs, "doc_id", CONFIG), F.col("n_tokens"), unit="tokens")
 
 
 @query("dup09_unique_items", "SELECT min(item_id) AS item_id, text FROM benchmark GROUP BY text")

@@ -19,6 +19,11 @@ def text_bytes(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
 
 
+def written_id(id_col: str) -> Column:
+    """The id as text, the way it goes through Python: beside a null, whole numbers would become doubles there."""
+    return F.col(id_col).cast("string")
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, column: str, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Rows of ``df`` whose ``column`` is among ``ids`` (distinct, of one column of that name).
 

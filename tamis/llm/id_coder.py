@@ -8,9 +8,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tamis.llm.frames import text_bytes
+from tamis.llm.frames import text_bytes, written_id
 from tamis.llm.tokenizing import Encoder, shared_encoder
 
 MAGIC = b"CMR1"
@@ -321,9 +321,9 @@ def write_token_files(
     slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = slim.repartitionByRange(n, "id").sortWithinPartitions("id", "text")
-    ordered = ordered.withColumn("part", F.spark_partition_id())
+    ordered = ordered.select(written_id("id").alias("id"), "text", F.spark_partition_id().alias("part"))
     make = tokenizer if callable(tokenizer) else lambda: shared_encoder(tokenizer, joiner)
-    id_type = dict(slim.dtypes)["id"]
+    id_type = slim.schema["id"].dataType
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, segment, part = make(), 0, 0
@@ -357,8 +357,9 @@ def write_token_files(
         if lengths:
             yield flush()
 
-    schema = f"part int, segment int, ids long, documents array<{id_type}>, data binary"
-    ordered.mapInPandas(encode, schema).write.mode("overwrite").parquet(folder)
+    schema = "part int, segment int, ids long, documents array<string>, data binary"
+    files = ordered.mapInPandas(encode, schema).withColumn("documents", F.col("documents").cast(T.ArrayType(id_type)))
+    files.write.mode("overwrite").parquet(folder)
 
 
 def read_token_files(df: DataFrame) -> DataFrame:
@@ -373,8 +374,8 @@ def read_token_files(df: DataFrame) -> DataFrame:
     segments = df.select("part", "segment", "ids")
     inner = F.sum("ids").over(Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     starts = segments.select("part", "segment", F.coalesce(inner, F.lit(0)).alias("inner_start")).join(parts, "part")
-    placed = df.join(starts, ["part", "segment"])
-    id_type = dict(df.dtypes)["documents"].removeprefix("array<").removesuffix(">")
+    placed = df.withColumn("documents", F.col("documents").cast("array<string>")).join(starts, ["part", "segment"])
+    id_type = df.schema["documents"].dataType.elementType
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -389,4 +390,4 @@ def read_token_files(df: DataFrame) -> DataFrame:
                         "tokens": [ids[y - x : y].astype("<u4").tobytes() for x, y in zip(n, e)],
                     })
 
-    return placed.mapInPandas(decode, f"id {id_type}, start long, tokens binary")
+    return placed.mapInPandas(decode, "id string, start long, tokens binary").withColumn("id", F.col("id").cast(id_type))

@@ -12,6 +12,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tamis.llm.frames import written_id
+
 # The kinds in order, their patterns, and the least length of what counts.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
@@ -291,9 +293,10 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             done.insert(0, "id", batch["id"].to_numpy())
             yield done
 
-    slim = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"id {dict(slim.dtypes)['id']}, n_assign long, n_access long, n_hex long, base_spans string, spans string, redacted string"
-    return slim.mapInPandas(scan, schema).withColumnRenamed("id", id_col)
+    slim = df.select(written_id(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    schema = "id string, n_assign long, n_access long, n_hex long, base_spans string, spans string, redacted string"
+    found = slim.mapInPandas(scan, schema)
+    return found.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
 def redacted(text: Column) -> Column:

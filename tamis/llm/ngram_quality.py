@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tamis.llm.arrays import MULTIPLIER, mix
-from tamis.llm.frames import bucketed
+from tamis.llm.frames import bucketed, written_id
 from tamis.session import cut_lineage
 
 START, END = 2, 3  # code points that stand before and after every text
@@ -119,12 +119,10 @@ def pack_texts(docs: DataFrame) -> DataFrame:
                 texts = [t.encode("utf-8", "surrogatepass") for t in rows["text"]]
                 sizes = np.array([len(t) for t in texts], "<u8").tobytes()
                 ids = [None if i is None or i != i else i for i in rows["id"].astype(object)]
-                ids = [int(i) if isinstance(i, float) else i for i in ids] if whole else ids
                 out.append((bucket, ids, rows["lang"].tolist(), sizes, packer.compress(b"".join(texts))))
             yield pd.DataFrame(out, columns=["bucket", "ids", "langs", "sizes", "texts"])
 
     types = dict(docs.dtypes)
-    whole = types["id"] in ("tinyint", "smallint", "int", "bigint")  # pandas makes floats of these next to a null
     return docs.mapInPandas(pack, f"bucket long, ids array<{types['id']}>, langs array<{types['lang']}>, sizes binary, texts binary")
 
 
@@ -226,10 +224,10 @@ def document_perplexities(
     travels once per bucket, however often it occurs, and texts move once.
     """
     order = settings.order
-    slim = df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs, n, total = bucketed(slim, F.col("id"), F.col("text"), settings.bucket_bytes)
+    slim = df.select(written_id(id_col).alias("id"), F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs, n, total = bucketed(slim, F.coalesce("id", "text"), F.col("text"), settings.bucket_bytes)
     docs = pack_texts(docs)
-    marks = trusted.select(F.col(id_col).alias("id")).distinct().withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(n)).cast("long"))
+    marks = trusted.select(written_id(id_col).alias("id")).distinct().withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(n)).cast("long"))
     shards = max(4, -(-total // (16 * settings.bucket_bytes)))
 
     def count(key: tuple, rows: pd.DataFrame, marked: pd.DataFrame) -> pd.DataFrame:
@@ -277,8 +275,9 @@ def document_perplexities(
         sums = grams.sums(logs)
         return pd.DataFrame({"id": ids, "lang": langs, "units": grams.sizes, "perplexity": np.exp(-sums / grams.sizes)})
 
-    id_type, lang_type = dict(slim.dtypes)["id"], dict(slim.dtypes)["lang"]
-    return docs.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(score, f"id {id_type}, lang {lang_type}, units long, perplexity double")
+    schema = f"id string, lang {dict(slim.dtypes)['lang']}, units long, perplexity double"
+    scored = docs.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(score, schema)
+    return scored.withColumn("id", F.col("id").cast(df.schema[id_col].dataType))
 
 
 def judge_quality(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tamis.llm.arrays import (
     MULTIPLIER, SECOND, Powers, hash_words, mix, pack_bits, pack_sorted, unpack_bits, unpack_sorted, windows_within,
 )
-from tamis.llm.frames import bucketed, text_bytes
+from tamis.llm.frames import bucketed, text_bytes, written_id
 
 SALTS = (0x632BE59BD9B4E019, 0xE220A8397B1DCDAF, 0x4F5E2D9A1C3B7F61, 0x8EBC6AF09C88C6E3)
 
@@ -57,8 +57,8 @@ def _sketch_sizes(total: int, bucket_bytes: int, depth: int) -> tuple[int, int]:
 
 
 def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, text: Column, id_col: str) -> DataFrame:
-    """``bucket, id, text, at``: the bucketed documents, ``at`` being the packed starts of repeated windows."""
-    slim = df.select(F.col(id_col).alias("id"), text_bytes(text).alias("text"))
+    """``id, text, at``: the documents, ids as text, ``at`` being the packed starts of repeated windows."""
+    slim = df.select(written_id(id_col).alias("id"), text_bytes(text).alias("text"))
     slim, buckets, total = bucketed(slim, F.struct("id", "text"), F.col("text"), bucket_bytes)
     width, segment_bits = _sketch_sizes(total, bucket_bytes, depth)
     segments, within = 1 << segment_bits, width - segment_bits
@@ -172,8 +172,7 @@ def mark_repeated(df: DataFrame, window: int, bucket_bytes: int, depth: int, tex
     heavy = heavy.withColumn("kind", F.lit(0))
     asked = docs.cogroup(heavy.groupBy("bucket")).applyInPandas(ask, "bucket long, segment int, cells binary, checks binary, flags binary")
     exact = asked.groupBy("segment").applyInPandas(count, answer).withColumn("kind", F.lit(1))
-    id_type = dict(slim.dtypes)["id"]
-    return docs.cogroup(heavy.union(exact).groupBy("bucket")).applyInPandas(mark, f"id {id_type}, text binary, at binary")
+    return docs.cogroup(heavy.union(exact).groupBy("bucket")).applyInPandas(mark, "id string, text binary, at binary")
 
 
 def covered_words(n_words: int, starts: np.ndarray, window: int) -> np.ndarray:
@@ -217,6 +216,5 @@ def remove_repeated_passages(
                 out.append((id_, kept.decode(), len(words), int(gone.sum()), spans))
             yield pd.DataFrame(out, columns=["id", "kept_text", "n_words", "n_removed", "removed_spans"])
 
-    id_type = dict(marked.dtypes)["id"]
-    done = marked.mapInPandas(cut, f"id {id_type}, kept_text string, n_words long, n_removed long, removed_spans array<string>")
-    return done.withColumnRenamed("id", id_col)
+    done = marked.mapInPandas(cut, "id string, kept_text string, n_words long, n_removed long, removed_spans array<string>")
+    return done.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tamis.llm.frames import written_id
 from tamis.session import cut_lineage
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -364,8 +365,8 @@ def score_toxicity(
             done.insert(0, "id", batch["id"].to_numpy())
             yield done
 
-    id_type = dict(slim.dtypes)["id"]
-    scored = slim.mapInPandas(score, f"id {id_type}, score double, vote double, evidence array<string>")
+    scored = slim.withColumn("id", written_id("id")).mapInPandas(score, "id string, score double, vote double, evidence array<string>")
+    scored = scored.withColumn("id", F.col("id").cast(slim.schema["id"].dataType))
     return scored.select(
         F.col("id").alias(id_col), held_out(F.col("id"), folds).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "vote", "evidence",
     )

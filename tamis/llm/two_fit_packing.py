@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tamis.llm.frames import written_id
 from tamis.llm.tokenizing import Encoder, shared_encoder
 from tamis.session import cut_lineage
 
@@ -99,6 +100,9 @@ def pack_sequences(pieces: DataFrame, length_col: str = "length", capacity: int
     shards = max(1, -(-pieces.count() // rows_per_shard))
     dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*key_cols), F.lit(shards)).cast("long"))
     columns = pieces.columns
+    # Ids of whole numbers go as text: beside a null, Python would make doubles of them.
+    wide = [c for c in key_cols if dict(pieces.dtypes)[c] in ("bigint", "int", "smallint", "tinyint")]
+    dealt = dealt.withColumns({c: written_id(c) for c in wide})
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(columns, ignore_index=True)
@@ -117,8 +121,9 @@ def pack_sequences(pieces: DataFrame, length_col: str = "length", capacity: int
                 at += n
         return rows[columns].assign(sequence_id=sequence, offset=offset)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    return dealt.groupBy("_shard").applyInPandas(pack, schema)
+    schema = ", ".join(f"`{f.name}` {'string' if f.name in wide else f.dataType.simpleString()}" for f in pieces.schema)
+    packed = dealt.groupBy("_shard").applyInPandas(pack, schema + ", sequence_id long, offset long")
+    return packed.withColumns({c: F.col(c).cast(pieces.schema[c].dataType) for c in wide})
 
 
 def cut_pieces(
@@ -132,7 +137,7 @@ def cut_pieces(
     No shuffle.  Null texts are empty: just the end id, or no piece if there is none.
     """
     make = tokenizer if callable(tokenizer) else lambda: shared_encoder(tokenizer, joiner)
-    slim = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    slim = df.select(written_id(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tail = [] if end_id is None else [end_id]
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + (["tokens"] if keep_tokens else [])
 
@@ -153,8 +158,8 @@ def cut_pieces(
                 done = pd.DataFrame(out, columns=columns)
                 yield done
 
-    schema = f"doc_id {dict(slim.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long" + (", tokens binary" if keep_tokens else "")
-    return slim.mapInPandas(cut, schema)
+    schema = "doc_id string, piece int, start long, length long, ids_crc32 long" + (", tokens binary" if keep_tokens else "")
+    return slim.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast(df.schema[id_col].dataType))
 
 
 def pack_documents(

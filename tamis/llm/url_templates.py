@@ -60,9 +60,13 @@ def ruling(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
+# A run of hex signs with a digit before its last seven; each run is looked at once, from its first sign.
+HEX_RUN = r"(?<![0-9a-fA-F])(?=[a-fA-F]*+[0-9][0-9a-fA-F]{7})[0-9a-fA-F]++"
+
+
 def segment_class(segment: Column) -> Column:
     """A segment with its digits and long hex runs as placeholders; others stay."""
-    return F.regexp_replace(F.regexp_replace(segment, r"[0-9a-fA-F]*[0-9][0-9a-fA-F]{7,}", "{x}"), r"[0-9]+", "{n}")
+    return F.regexp_replace(F.regexp_replace(segment, HEX_RUN, "{x}"), r"[0-9]+", "{n}")
 
 
 def _counts(df: DataFrame, *keys: str) -> DataFrame:

@@ -32,7 +32,9 @@ class Settings:
     ``least_purity`` or more are toxic.  Copies of a text count once.
     ``neighbours`` vote, ``block`` texts are compared at once, and a document without
     neighbours counts ``prior`` votes at the share of toxic examples that have none either.
-    The index holds the ``wide`` terms of most examples as a matrix, the others as lists.
+    Posting lists are cut every ``span`` examples; the ``wide`` terms of most examples have a cell
+    for every example; ``first_blocks`` blocks of a query are opened at first, later eight times as many.
+    ``max_terms=0`` is plain TF-IDF.
     """
 
     max_examples: int = 8192
@@ -44,6 +46,8 @@ class Settings:
     prior: float = 1.0
     least_purity: float = 0.5
     wide: int = 1024
+    span: int = 32
+    first_blocks: int = 4
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -66,32 +70,42 @@ Vector = tuple[np.ndarray, np.ndarray]  # ascending terms, and the weight of eac
 
 
 class Index:
-    """Examples by term: all their terms, the most frequent as a matrix of term and example."""
+    """Block-max inverted index: the posting list of each term in blocks of examples, each with its greatest weight.
+
+    Block b of every list covers the same ``span`` examples, so the maxima of a query's terms bound
+    all cosines of a block at once.  Examples of one label whose heaviest term is the same stand
+    together, which keeps the bounds tight.  Lists of the most frequent terms have a cell for every example.
+    """
 
     def __init__(self, terms: list[str], idf: np.ndarray, ids: list, rows: list[dict[int, float]], toxic: np.ndarray, settings: Settings):
         vectors = [(np.fromiter(r, np.int64), np.fromiter(r.values(), float)) for r in rows]
-        self._fill(terms, idf, ids, vectors, toxic, settings)
+        self._fill(terms, idf, ids, vectors, [w for _, w in vectors], toxic, settings)
 
     @classmethod
     def of_counts(cls, terms: list[str], idf: np.ndarray, ids: list, counted: list[Vector], toxic: np.ndarray, settings: Settings) -> Index:
         """From terms and their counts.  Weights are made where they are used: counts are small to send."""
         index = cls.__new__(cls)
-        index._fill(terms, idf, ids, counted, toxic, settings)
+        raw = [(1 + np.log(n)) * idf[t] for t, n in counted]
+        index._fill(terms, idf, ids, counted, raw, toxic, settings)
         index.count, index.weight = index.weight.astype(np.min_scalar_type(int(index.weight.max(initial=1)))), None
-        raw = ((1 + np.log(n)) * idf[t] for t, n in counted)
-        index.norm = np.array([math.sqrt(r @ r) for r in raw])
+        index.norm = np.array([math.sqrt(raw[i] @ raw[i]) for i in index.rank])
         return index
 
-    def _fill(self, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], toxic: np.ndarray, settings: Settings) -> None:
+    def _fill(
+        self, terms: list[str], idf: np.ndarray, ids: list, vectors: list[Vector], heights: list[np.ndarray], toxic: np.ndarray, settings: Settings,
+    ) -> None:
         self.terms, self.idf, self.settings = {t: i for i, t in enumerate(terms)}, idf, settings
-        self.ids, self.toxic = np.array(ids, object), toxic.astype(np.float64)
+        heaviest = np.array([t[np.argmax(h)] if len(t) else -1 for (t, _), h in zip(vectors, heights)], np.int64)
+        self.rank = np.lexsort((np.arange(len(ids)), heaviest, -toxic))  # the place of each example in the caller's order
+        self.ids, self.toxic = np.array(ids, object)[self.rank], toxic.astype(np.float64)[self.rank]
+        vectors = [vectors[i] for i in self.rank]
         term = np.concatenate([t.astype(np.int32) for t, _ in vectors]) if vectors else np.zeros(0, np.int32)
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
         order = np.argsort(term, kind="stable")
         owner = np.repeat(np.arange(len(vectors), dtype=np.min_scalar_type(max(1, len(vectors)))), [len(t) for t, _ in vectors])
         self.at = owner[order]
         self.weight: np.ndarray | None = (np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0))[order]
-        self.matrix: np.ndarray | None = None  # made where it is used
+        self.cells: np.ndarray | None = None  # made where it is used
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> Vector:
         """The unit vector of a text over all terms of the examples."""
@@ -104,59 +118,101 @@ class Index:
         terms = np.array(sorted(known), np.int64)
         return dict(zip(terms.tolist(), self.vector(terms, np.array([known[t] for t in terms.tolist()], float))[1].tolist()))
 
-    def _widen(self) -> None:
-        sizes = np.diff(self.starts)
+    def _cut(self) -> None:
+        """Cut the lists into blocks and find their maxima."""
+        sizes, span = np.diff(self.starts), self.settings.span
         if self.weight is None:
             self.weight = (1 + np.log(self.count.astype(float))) * np.repeat(self.idf, sizes) / self.norm[self.at]
             self.count = None
+        self.blocks = -(-len(self.ids) // span)
         often = np.argsort(-sizes, kind="stable")[: self.settings.wide]
         self.column = np.full(len(sizes), -1, np.int32)
         self.column[often] = np.arange(len(often))
-        self.matrix = np.zeros((len(often), len(self.ids)))
+        cells = np.zeros((len(often), self.blocks * span))
         for i, t in enumerate(often.tolist()):
             part = slice(self.starts[t], self.starts[t + 1])
-            self.matrix[i, self.at[part]] = self.weight[part]
+            cells[i, self.at[part]] = self.weight[part]
+        # By block, so that one block's cells lie together.
+        self.cells = np.ascontiguousarray(cells.reshape(len(often), self.blocks, span).transpose(1, 0, 2))
+        self.cell_max = np.ascontiguousarray(self.cells.max(axis=2).T)
         rare = np.repeat(self.column < 0, sizes)
-        # What numpy indexes with, so that it is not converted again for every text.
-        self.rare_at, self.rare_weight = self.at[rare].astype(np.intp), self.weight[rare]
-        self.rare_starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
+        self.list_at, self.list_weight = self.at[rare].astype(np.intp), self.weight[rare]
+        starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
+        block = self.list_at // span
+        new = np.diff(block, prepend=-1) != 0
+        new[starts[:-1][np.diff(starts) > 0]] = True
+        self.block_start = np.flatnonzero(new)
+        self.block_size = np.diff(np.append(self.block_start, len(block)))
+        self.block_of = block[self.block_start]
+        self.block_max = np.maximum.reduceat(self.list_weight, self.block_start) if len(block) else np.zeros(0)
+        self.blocks_from = np.searchsorted(self.block_start, starts)
         self.at = self.weight = None
 
-    def cosines(self, queries: list[Vector]) -> np.ndarray:
-        """The cosine of every query with every example."""
-        if self.matrix is None:
-            self._widen()
-        wide = np.zeros((len(queries), len(self.matrix)))
-        columns = [self.column[terms] for terms, _ in queries]
-        for row, at, (_, weights) in zip(wide, columns, queries):
+    def search(self, queries: list[Vector], skips: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """``best`` of every query without the example it skips (-1: none), and the blocks that were opened for it.
+
+        Blocks are opened in waves, those of the greatest bounds first.  The cosines of an opened block
+        are exact; one whose bound is below the last of the best so far stays closed.
+        """
+        if self.cells is None:
+            self._cut()
+        k, span, m = self.settings.neighbours, self.settings.span, len(queries)
+        wide = np.zeros((m, self.cells.shape[1]))
+        rare = []
+        for row, (terms, weights) in zip(wide, queries):
+            at = self.column[terms]
             row[at[at >= 0]] = weights[at >= 0]
-        out = wide @ self.matrix
-        for row, at, (terms, weights) in zip(out, columns, queries):
-            rare, weights = terms[at < 0], weights[at < 0]
-            first = self.rare_starts[rare]
-            sizes = self.rare_starts[rare + 1] - first
-            if total := int(sizes.sum()):
-                place = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(total)
-                row += np.bincount(self.rare_at[place], self.rare_weight[place] * np.repeat(weights, sizes), len(row))
-        return out
-
-    def best(self, cosines: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the nearest examples; ties go to the earlier example."""
+            rest, weights = terms[at < 0], weights[at < 0]
+            first = self.blocks_from[rest]
+            place, sizes = _ranges(first, self.blocks_from[rest + 1] - first)
+            rare.append((place, np.repeat(weights, sizes)))
+        bounds = wide @ self.cell_max
+        for row, (place, weights) in zip(bounds, rare):
+            row += np.bincount(self.block_of[place], self.block_max[place] * weights, self.blocks)
+        cosines = np.zeros((m, self.blocks * span))
+        opened = np.zeros(bounds.shape, bool)
+        least, wave = np.full(m, 1e-9), self.settings.first_blocks
+        while (left := ~opened & (bounds >= least[:, None] - 1e-9) & (bounds > 0)).any():
+            now = left
+            if wave < self.blocks:
+                height = np.where(left, bounds, -1.0)
+                now = left & (height >= np.partition(height, self.blocks - wave, axis=1)[:, self.blocks - wave, None])
+            for b in np.flatnonzero(now.any(axis=0)).tolist():
+                rows = np.flatnonzero(now[:, b])
+                cosines[rows, b * span : (b + 1) * span] = wide[rows] @ self.cells[b]
+            for i in np.flatnonzero(now.any(axis=1)).tolist():
+                place, weights = rare[i]
+                inside = now[i][self.block_of[place]]
+                place, weights = place[inside], weights[inside]
+                if len(place):
+                    posting, sizes = _ranges(self.block_start[place], self.block_size[place])
+                    cosines[i] += np.bincount(self.list_at[posting], self.list_weight[posting] * np.repeat(weights, sizes), cosines.shape[1])
+                if skips[i] >= 0:
+                    cosines[i, skips[i]] = 0.0
+            opened |= now
+            if cosines.shape[1] > k:
+                least = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, cosines.shape[1] - k]
+            wave *= 8
+        return [self.best(row) for row in cosines], opened
+
+    def best(self, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines of the nearest examples; ties go to the one that the caller named earlier."""
         k = self.settings.neighbours
-        if skip >= 0:
-            cosines[skip] = 0.0
         # Sums that differ in the last digits only are ties.
         least = max(np.partition(cosines, len(cosines) - k)[len(cosines) - k], 0.0) if len(cosines) > k else 0.0
         at = np.flatnonzero(cosines >= max(least - 1e-11, 1e-12))
         scores = np.round(cosines[at], 12)
-        order = np.lexsort((at, -scores))[:k]
+        order = np.lexsort((self.rank[at], -scores))[:k]
         return at[order], scores[order]
 
     def nearest(self, query: dict[int, float], skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """``best`` of one query, exactly."""
-        if not query or not len(self.ids):
-            return np.zeros(0, np.int64), np.zeros(0)
-        return self.best(self.cosines([(np.fromiter(query, np.int64), np.fromiter(query.values(), float))])[0], skip)
+        return self.search([(np.fromiter(query, np.int64), np.fromiter(query.values(), float))], [skip])[0][0]
+
+
+def _ranges(first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges one after another, and their sizes."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum())), sizes
 
 
 @dataclass
@@ -297,9 +353,9 @@ def fit(texts: DataFrame, marks: DataFrame, settings: Settings = Settings()) ->
         for batch in batches:
             for at in range(0, len(batch), settings.block):
                 part = batch.iloc[at : at + settings.block]
-                cosines = model.index.cosines([vector_of(model.index, t, c) for t, c in zip(part["terms"], part["counts"])])
                 own = [place[x] for x in part["id"]]
-                yield pd.DataFrame({"at": own, "vote": [model.vote(*model.index.best(c, skip=i)) for i, c in zip(own, cosines)]})
+                near, _ = model.index.search([vector_of(model.index, t, c) for t, c in zip(part["terms"], part["counts"])], own)
+                yield pd.DataFrame({"at": model.index.rank[own], "vote": [model.vote(*n) for n in near]})
 
     numbers = rows_of.where("length(terms) > 0").select("id", "terms", "counts")
     votes = {r["at"]: r["vote"] for r in numbers.mapInPandas(own_votes, "at long, vote double").collect()}
@@ -319,7 +375,8 @@ def score_toxicity(
 
     Learns from the labelled rows of ``df`` outside the held-out fold, by their texts only.  The
     score is the distance-weighted vote of the nearest examples, calibrated to a probability;
-    ``evidence`` names them with cosine and label.  The examples are bounded by the
+    ``evidence`` names them with cosine and label.  A row whose id is an example's
+    does not see that example, so no score knows its own label.  The examples are bounded by the
     settings; every row is scored where it lies, over its whole text and all terms of the examples.
 
     Null texts are empty; texts without a word of the examples have no neighbours and get the
@@ -336,6 +393,7 @@ def score_toxicity(
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = pickle.loads(zlib.decompress(sent.value))
         known = model.index.terms
+        place = {str(x): i for i, x in enumerate(model.index.ids)}
         cache: dict[str, list[int]] = {}
 
         def query(text: str) -> Vector:
@@ -356,8 +414,8 @@ def score_toxicity(
             out = []
             for start in range(0, len(batch), settings.block):
                 queries = [query(text) for text in batch["text"].iloc[start : start + settings.block]]
-                for near in model.index.cosines(queries):
-                    at, cosines = model.index.best(near)
+                skips = [place.get(x, -1) for x in batch["id"].iloc[start : start + settings.block]]
+                for at, cosines in model.index.search(queries, skips)[0]:
                     vote = model.vote(at, cosines)
                     evidence = [f"{model.index.ids[i]}:{c:.4f}:{int(model.index.toxic[i])}" for i, c in zip(at.tolist(), cosines.tolist())]
                     out.append((model.score(vote), vote, evidence))

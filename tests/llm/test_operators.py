@@ -398,7 +398,58 @@ def test_nearest_equals_all_cosines():
         at, cosines = index.nearest(row)
         every = sorted(((-round(sum(w * r.get(t, 0) for t, w in row.items()), 12), i) for i, r in enumerate(rows)))
         want = [(i, -s) for s, i in every if s < 0][:5]
-        assert at.tolist() == [i for i, _ in want] and cosines == pytest.approx([s for _, s in want])
+        assert index.ids[at].tolist() == [i for i, _ in want] and cosines == pytest.approx([s for _, s in want])
+
+
+@pytest.mark.parametrize("wide, span, toxic_every", [(0, 4, 3), (10, 8, 2), (400, 16, 7), (25, 1, 5)])
+def test_blocks_are_skipped_and_nothing_is_lost(wide, span, toxic_every):
+    draw = random.Random(wide)
+    settings = toxic_neighbours.Settings(neighbours=3, span=span, wide=wide, first_blocks=1)
+    terms = [f"t{i}" for i in range(200)]
+    idf = np.array([1 + 3 * draw.random() for _ in terms])
+    counts = [{t: draw.randint(1, 5) for t in draw.sample(terms[20 * (i % 10) :][:20], 6)} for i in range(400)]
+    empty = toxic_neighbours.Index(terms, idf, [], [], np.zeros(0), settings)
+    rows = [empty.weights(c) for c in counts]
+    toxic = np.array([int(i % toxic_every == 0) for i in range(400)])
+    counted = [(np.array(sorted(r)), np.array([c[terms[t]] for t in sorted(r)])) for r, c in zip(rows, counts)]
+    for index in (toxic_neighbours.Index(terms, idf, list(range(400)), rows, toxic, settings),
+                  toxic_neighbours.Index.of_counts(terms, idf, list(range(400)), counted, toxic, settings)):
+        place = {x: i for i, x in enumerate(index.ids)}
+        queries = [(np.fromiter(r, np.int64), np.fromiter(r.values(), float)) for r in rows[:60]]
+        found, opened = index.search(queries, [place[i] if i % 2 else -1 for i in range(60)])
+        assert opened.any(axis=1).all() and opened.mean() < 0.5
+        assert [index.toxic[place[i]] for i in range(400)] == toxic.tolist()
+        for q, (at, cosines) in enumerate(found):
+            every = sorted((-round(sum(w * r.get(t, 0) for t, w in rows[q].items()), 11), i) for i, r in enumerate(rows) if not (q % 2 and i == q))
+            want = [(i, -s) for s, i in every if s < 0][:3]
+            assert cosines == pytest.approx([s for _, s in want], abs=1e-10) and set(index.ids[at]) == {i for i, _ in want}
+
+
+def test_votes_and_scores_equal_their_definition(docs, spark):
+    texts = [prose(i, 12) + (" vile" if i % 4 == 0 else "") for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    settings = toxic_neighbours.Settings(max_terms=0, neighbours=4, span=8, first_blocks=1)
+    got = {r["doc_id"]: r for r in toxic_neighbours.score_toxicity(docs(texts), labels, settings=settings).collect()}
+    train = [i for i in range(80) if zlib.crc32(str(i).encode()) % 5]
+    counts = [toxic_neighbours.terms_of(t, settings.stems) for t in texts]
+    df = Counter(t for i in train for t in counts[i])
+    idf = {t: math.log((1 + len(train)) / (1 + n)) + 1 for t, n in df.items()}
+    def unit(c):
+        raw = {t: (1 + math.log(n)) * idf[t] for t, n in c.items() if t in idf}
+        size = math.sqrt(sum(w * w for w in raw.values()))
+        return {t: w / size for t, w in raw.items()}
+    units = [unit(c) for c in counts]
+    share = sum(i % 4 == 0 for i in train) / len(train)
+    votes = {}
+    for i in range(80):
+        every = sorted((-round(sum(w * units[j].get(t, 0) for t, w in units[i].items()), 12), str(j), j) for j in train if j != i)[:4]
+        weights = [(-s / (1 + s + 0.05), int(j % 4 == 0)) for s, _, j in every if s < 0]
+        votes[i] = (sum(w * y for w, y in weights) + share) / (sum(w for w, _ in weights) + 1)
+        assert got[i]["vote"] == pytest.approx(votes[i], abs=1e-9)
+        assert [e.split(":")[0] for e in got[i]["evidence"]] == [str(j) for s, _, j in every if s < 0]
+    # Scores are one rising curve of the votes.
+    curve = [got[i]["score"] for i in sorted(votes, key=votes.get)]
+    assert curve == sorted(curve)
 
 
 def test_toxicity_learns_from_every_labelled_text(docs, spark):

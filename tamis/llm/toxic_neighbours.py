@@ -33,7 +33,7 @@ class Settings:
     ``neighbours`` vote, ``block`` texts are compared at once, and a document without
     neighbours counts ``prior`` votes at the share of toxic examples that have none either.
     Posting lists are cut every ``span`` examples; the ``wide`` terms of most examples have a cell
-    for every example; ``first_blocks`` blocks of a query are opened at first, later eight times as many.
+    for every example; ``first_blocks`` blocks of a query are opened at first.
     ``max_terms=0`` is plain TF-IDF.
     """
 
@@ -45,9 +45,9 @@ class Settings:
     block: int = 512
     prior: float = 1.0
     least_purity: float = 0.5
-    wide: int = 1024
-    span: int = 32
-    first_blocks: int = 4
+    wide: int = 2048
+    span: int = 64
+    first_blocks: int = 2
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
@@ -119,24 +119,29 @@ class Index:
         return dict(zip(terms.tolist(), self.vector(terms, np.array([known[t] for t in terms.tolist()], float))[1].tolist()))
 
     def _cut(self) -> None:
-        """Cut the lists into blocks and find their maxima."""
-        sizes, span = np.diff(self.starts), self.settings.span
+        """Cut the lists into blocks and find their maxima; keep each example's own vector for exact sums."""
+        sizes, span, n = np.diff(self.starts), self.settings.span, len(self.ids)
         if self.weight is None:
             self.weight = (1 + np.log(self.count.astype(float))) * np.repeat(self.idf, sizes) / self.norm[self.at]
             self.count = None
-        self.blocks = -(-len(self.ids) // span)
+        own = np.argsort(self.at, kind="stable")
+        self.own_term = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[own]
+        self.own_weight = self.weight[own]
+        self.own_from = np.concatenate([[0], np.cumsum(np.bincount(self.at, minlength=n))])
+        del own
+        self.blocks = -(-n // span)
         often = np.argsort(-sizes, kind="stable")[: self.settings.wide]
         self.column = np.full(len(sizes), -1, np.int32)
         self.column[often] = np.arange(len(often))
-        cells = np.zeros((len(often), self.blocks * span))
+        self.cells = np.zeros((self.blocks, len(often), span), np.float32)
         for i, t in enumerate(often.tolist()):
             part = slice(self.starts[t], self.starts[t + 1])
-            cells[i, self.at[part]] = self.weight[part]
-        # By block, so that one block's cells lie together.
-        self.cells = np.ascontiguousarray(cells.reshape(len(often), self.blocks, span).transpose(1, 0, 2))
+            self.cells[self.at[part] // span, i, self.at[part] % span] = self.weight[part]
         self.cell_max = np.ascontiguousarray(self.cells.max(axis=2).T)
+        # More than rounding in single precision can change a sum of products whose total is at most 1.
+        self.slack = 2.0 * (len(often) + 16) * 2.0**-24
         rare = np.repeat(self.column < 0, sizes)
-        self.list_at, self.list_weight = self.at[rare].astype(np.intp), self.weight[rare]
+        self.list_at, self.list_weight = self.at[rare].astype(np.intp), self.weight[rare].astype(np.float32)
         starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
         block = self.list_at // span
         new = np.diff(block, prepend=-1) != 0
@@ -144,20 +149,21 @@ class Index:
         self.block_start = np.flatnonzero(new)
         self.block_size = np.diff(np.append(self.block_start, len(block)))
         self.block_of = block[self.block_start]
-        self.block_max = np.maximum.reduceat(self.list_weight, self.block_start) if len(block) else np.zeros(0)
+        self.block_max = np.maximum.reduceat(self.list_weight, self.block_start) if len(block) else np.zeros(0, np.float32)
         self.blocks_from = np.searchsorted(self.block_start, starts)
         self.at = self.weight = None
 
     def search(self, queries: list[Vector], skips: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
-        """``best`` of every query without the example it skips (-1: none), and the blocks that were opened for it.
+        """The nearest examples of every query but the one it skips (-1: none), and the blocks opened for it.
 
-        Blocks are opened in waves, those of the greatest bounds first.  The cosines of an opened block
-        are exact; one whose bound is below the last of the best so far stays closed.
+        The blocks of the greatest bounds are opened first.  Of the others only those are opened whose
+        bound reaches the last of the best so far.  Sums in single precision, with room for their
+        rounding, leave few examples, whose cosines are then exact.
         """
         if self.cells is None:
             self._cut()
-        k, span, m = self.settings.neighbours, self.settings.span, len(queries)
-        wide = np.zeros((m, self.cells.shape[1]))
+        k, span, m, n = self.settings.neighbours, self.settings.span, len(queries), len(self.ids)
+        wide = np.zeros((m, self.cells.shape[1]), np.float32)
         rare = []
         for row, (terms, weights) in zip(wide, queries):
             at = self.column[terms]
@@ -169,44 +175,58 @@ class Index:
         bounds = wide @ self.cell_max
         for row, (place, weights) in zip(bounds, rare):
             row += np.bincount(self.block_of[place], self.block_max[place] * weights, self.blocks)
-        cosines = np.zeros((m, self.blocks * span))
-        opened = np.zeros(bounds.shape, bool)
-        least, wave = np.full(m, 1e-9), self.settings.first_blocks
-        while (left := ~opened & (bounds >= least[:, None] - 1e-9) & (bounds > 0)).any():
-            now = left
-            if wave < self.blocks:
-                height = np.where(left, bounds, -1.0)
-                now = left & (height >= np.partition(height, self.blocks - wave, axis=1)[:, self.blocks - wave, None])
+        cosines = np.zeros((m, self.blocks, span), np.float32)
+
+        def open_blocks(now: np.ndarray) -> None:
             for b in np.flatnonzero(now.any(axis=0)).tolist():
                 rows = np.flatnonzero(now[:, b])
-                cosines[rows, b * span : (b + 1) * span] = wide[rows] @ self.cells[b]
+                cosines[rows, b] = (wide if len(rows) == m else wide[rows]) @ self.cells[b]
             for i in np.flatnonzero(now.any(axis=1)).tolist():
                 place, weights = rare[i]
                 inside = now[i][self.block_of[place]]
                 place, weights = place[inside], weights[inside]
                 if len(place):
                     posting, sizes = _ranges(self.block_start[place], self.block_size[place])
-                    cosines[i] += np.bincount(self.list_at[posting], self.list_weight[posting] * np.repeat(weights, sizes), cosines.shape[1])
+                    more = np.bincount(self.list_at[posting], self.list_weight[posting] * np.repeat(weights, sizes), self.blocks * span)
+                    cosines[i] += more.reshape(-1, span)
                 if skips[i] >= 0:
-                    cosines[i, skips[i]] = 0.0
-            opened |= now
-            if cosines.shape[1] > k:
-                least = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, cosines.shape[1] - k]
-            wave *= 8
-        return [self.best(row) for row in cosines], opened
-
-    def best(self, cosines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the nearest examples; ties go to the one that the caller named earlier."""
-        k = self.settings.neighbours
-        # Sums that differ in the last digits only are ties.
-        least = max(np.partition(cosines, len(cosines) - k)[len(cosines) - k], 0.0) if len(cosines) > k else 0.0
-        at = np.flatnonzero(cosines >= max(least - 1e-11, 1e-12))
-        scores = np.round(cosines[at], 12)
-        order = np.lexsort((self.rank[at], -scores))[:k]
-        return at[order], scores[order]
+                    cosines[i, skips[i] // span, skips[i] % span] = 0.0
+
+        early = min(self.blocks, max(self.settings.first_blocks, -(-k // span)))
+        opened = bounds > 0
+        if early < self.blocks:
+            top = np.argpartition(bounds, self.blocks - early, axis=1)[:, -early:]
+            first = np.zeros(bounds.shape, bool)
+            np.put_along_axis(first, top, True, axis=1)
+            open_blocks(first)
+            best = np.take_along_axis(cosines, top[:, :, None], axis=1).reshape(m, -1)
+            least = np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k] if best.shape[1] >= k else np.zeros(m)
+            rest = ~first & (bounds > 0) & (bounds >= least[:, None] - self.slack)
+            open_blocks(rest)
+            opened = first | rest
+        else:
+            open_blocks(opened)
+        whole = np.zeros(len(self.starts) - 1)
+        found = []
+        for row, blocks, (terms, weights) in zip(cosines, opened, queries):
+            # Places of opened blocks only: the others hold nothing.
+            at = (np.flatnonzero(blocks)[:, None] * span + np.arange(span)).ravel()
+            near = row[blocks].ravel()
+            least = np.partition(near, len(near) - k)[len(near) - k] if len(near) > k else 0.0
+            at = at[(near >= least - self.slack) & (near > 0)]
+            sizes = self.own_from[at + 1] - self.own_from[at]
+            place, _ = _ranges(self.own_from[at], sizes)
+            whole[terms] = weights
+            exact = np.add.reduceat(whole[self.own_term[place]] * self.own_weight[place], np.cumsum(sizes) - sizes) if len(at) else np.zeros(0)
+            whole[terms] = 0.0
+            # Sums that differ in the last digits only are ties, which go to the one that the caller named earlier.
+            exact = np.round(exact, 12)
+            order = np.lexsort((self.rank[at], -exact))[:k]
+            found.append((at[order], exact[order]))
+        return found, opened
 
     def nearest(self, query: dict[int, float], skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """``best`` of one query, exactly."""
+        """``search`` for one query."""
         return self.search([(np.fromiter(query, np.int64), np.fromiter(query.values(), float))], [skip])[0][0]
 
 

@@ -32,8 +32,7 @@ class Settings:
     ``least_purity`` or more are toxic.  Copies of a text count once.
     ``neighbours`` vote, ``block`` texts are compared at once, and a document without
     neighbours counts ``prior`` votes at the share of toxic examples that have none either.
-    Posting lists are cut every ``span`` examples; the ``wide`` terms of most examples have a cell
-    for every example; ``first_blocks`` blocks of a query are opened at first.
+    The posting lists of the ``wide`` terms of most examples are cut every ``span`` examples; ``first_blocks`` blocks of a query are opened at first.
     ``max_terms=0`` is plain TF-IDF.
     """
 
@@ -46,7 +45,7 @@ class Settings:
     prior: float = 1.0
     least_purity: float = 0.5
     wide: int = 2048
-    span: int = 64
+    span: int = 32
     first_blocks: int = 2
 
 
@@ -74,7 +73,9 @@ class Index:
 
     Block b of every list covers the same ``span`` examples, so the maxima of a query's terms bound
     all cosines of a block at once.  Examples of one label whose heaviest term is the same stand
-    together, which keeps the bounds tight.  Lists of the most frequent terms have a cell for every example.
+    together, which keeps the bounds tight.  The lists of the most frequent terms have a cell for
+    every example and are opened block by block; those of the others, with hardly more than one
+    example a block, are summed at once, and the greatest sum of a block goes into its bound.
     """
 
     def __init__(self, terms: list[str], idf: np.ndarray, ids: list, rows: list[dict[int, float]], toxic: np.ndarray, settings: Settings):
@@ -142,15 +143,7 @@ class Index:
         self.slack = 2.0 * (len(often) + 16) * 2.0**-24
         rare = np.repeat(self.column < 0, sizes)
         self.list_at, self.list_weight = self.at[rare].astype(np.intp), self.weight[rare].astype(np.float32)
-        starts = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
-        block = self.list_at // span
-        new = np.diff(block, prepend=-1) != 0
-        new[starts[:-1][np.diff(starts) > 0]] = True
-        self.block_start = np.flatnonzero(new)
-        self.block_size = np.diff(np.append(self.block_start, len(block)))
-        self.block_of = block[self.block_start]
-        self.block_max = np.maximum.reduceat(self.list_weight, self.block_start) if len(block) else np.zeros(0, np.float32)
-        self.blocks_from = np.searchsorted(self.block_start, starts)
+        self.list_from = np.concatenate([[0], np.cumsum(np.where(self.column < 0, sizes, 0))])
         self.at = self.weight = None
 
     def search(self, queries: list[Vector], skips: list[int]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
@@ -164,33 +157,21 @@ class Index:
             self._cut()
         k, span, m, n = self.settings.neighbours, self.settings.span, len(queries), len(self.ids)
         wide = np.zeros((m, self.cells.shape[1]), np.float32)
-        rare = []
-        for row, (terms, weights) in zip(wide, queries):
+        cosines = np.zeros((m, self.blocks, span), np.float32)
+        for row, part, (terms, weights), skip in zip(wide, cosines.reshape(m, -1), queries, skips):
             at = self.column[terms]
             row[at[at >= 0]] = weights[at >= 0]
             rest, weights = terms[at < 0], weights[at < 0]
-            first = self.blocks_from[rest]
-            place, sizes = _ranges(first, self.blocks_from[rest + 1] - first)
-            rare.append((place, np.repeat(weights, sizes)))
-        bounds = wide @ self.cell_max
-        for row, (place, weights) in zip(bounds, rare):
-            row += np.bincount(self.block_of[place], self.block_max[place] * weights, self.blocks)
-        cosines = np.zeros((m, self.blocks, span), np.float32)
+            place, sizes = _ranges(self.list_from[rest], self.list_from[rest + 1] - self.list_from[rest])
+            part += np.bincount(self.list_at[place], self.list_weight[place] * np.repeat(weights, sizes), len(part))
+            if skip >= 0:
+                part[skip] = -4.0  # stays below 0 whatever the other terms add
+        bounds = wide @ self.cell_max + np.maximum(cosines.max(axis=2), 0.0)
 
         def open_blocks(now: np.ndarray) -> None:
             for b in np.flatnonzero(now.any(axis=0)).tolist():
                 rows = np.flatnonzero(now[:, b])
-                cosines[rows, b] = (wide if len(rows) == m else wide[rows]) @ self.cells[b]
-            for i in np.flatnonzero(now.any(axis=1)).tolist():
-                place, weights = rare[i]
-                inside = now[i][self.block_of[place]]
-                place, weights = place[inside], weights[inside]
-                if len(place):
-                    posting, sizes = _ranges(self.block_start[place], self.block_size[place])
-                    more = np.bincount(self.list_at[posting], self.list_weight[posting] * np.repeat(weights, sizes), self.blocks * span)
-                    cosines[i] += more.reshape(-1, span)
-                if skips[i] >= 0:
-                    cosines[i, skips[i] // span, skips[i] % span] = 0.0
+                cosines[rows, b] += (wide if len(rows) == m else wide[rows]) @ self.cells[b]
 
         early = min(self.blocks, max(self.settings.first_blocks, -(-k // span)))
         opened = bounds > 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tamis.functions.text import word_count
@@ -45,19 +48,79 @@ def first_line(spark: SparkSession, path: str) -> str:
     return row["value"] if row else ""
 
 
-def read_text_csv(spark: SparkSession, path: str, header: bool | str = False) -> DataFrame:
-    """CSV of texts.  ``header='auto'`` looks for a text column in the first line."""
-    names = [n.strip().strip('"') for n in first_line(spark, path).split(",")] if header == "auto" else []
-    if header is True or any(n.lower() in ("text", "content", "n_words", "n_count") for n in names):
+def file_heads(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
+    """``path, head``: every file with its first line that is not blank.
+
+    Only the first split of a file is looked at; one slim row per file is left of it in the task.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
+    first = lines.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    first = first.where((F.col("at") == 0) & F.col("value").rlike(r"\S")).withColumn("line", F.monotonically_increasing_id())
+    return first.groupBy("path").agg(F.min_by("value", "line").alias("head"))
+
+
+def _paths_by(heads: DataFrame, kind: Column) -> dict[str, list[str]]:
+    """Files by kind: as many names as the driver lists anyway to read them."""
+    rows = heads.groupBy(kind.alias("kind")).agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    return {r["kind"]: [unquote(p) for p in r["paths"]] for r in sorted(rows, key=lambda r: r["kind"])}
+
+
+def _header(head: Column) -> Column:
+    """The line where it names a text or count column, else empty."""
+    names = F.transform(F.split(head, ","), lambda n: F.lower(F.btrim(F.btrim(n), F.lit('"'))))
+    return F.when(F.arrays_overlap(names, F.array(*map(F.lit, ("text", "content", "n_words", "n_count")))), head).otherwise("")
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], header: bool | str = False) -> DataFrame:
+    """CSV of texts.  ``header='auto'`` looks for a text column in the first line of each file.
+
+    Files with different headers, or with and without one, are read apart and put together by name.
+    """
+    if header is True:
         return _csv(spark).option("header", True).csv(path)
     # Lines may carry the text alone; the missing count stays null.
-    return _csv(spark).schema(TEXT_CSV).option("header", False).csv(path)
+    plain = _csv(spark).schema(TEXT_CSV).option("header", False)
+    if header != "auto":
+        return plain.csv(path)
+    kinds = _paths_by(file_heads(spark, path), _header(F.col("head")))
+    parts = [_csv(spark).option("header", True).csv(paths) if kind else plain.csv(paths) for kind, paths in kinds.items()]
+    if len(parts) < 2:
+        return parts[0] if parts else plain.csv(path)
+    parts = [p.withColumn("n_words", F.expr("try_cast(n_words AS bigint)")) if "n_words" in p.columns else p for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_mixed(spark: SparkSession, root: str | list[str], pattern: str = "*") -> DataFrame:
+    """``text, n_words, file_path`` of all files below a folder, each read by its own format.
+
+    Parquet, CSV and JSON go by their extension, a ``.gz`` behind it left out; other files are JSON
+    where their first line begins with a brace, else plain text, a row per line.  CSV files are grouped by their
+    header and JSON files by the keys of their first line, so that each group has its own text column.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path")
+    stem = F.regexp_replace(F.lower("path"), r"\.gz$", "")
+    tables = [unquote(r["path"]) for r in listed.where(stem.endswith(".parquet")).collect()]
+    rest = [unquote(r["path"]) for r in listed.where(~stem.endswith(".parquet")).collect()]
+    parts = [spark.read.parquet(*tables)] if tables else []
+    if rest:
+        head, keys = F.col("head"), F.array_join(F.array_sort(F.json_object_keys("head")), ",")
+        kind = F.when(stem.endswith(".csv"), F.concat(F.lit("csv:"), _header(head)))
+        kind = kind.when(stem.rlike(r"\.jsonl?$") | F.ltrim(head).startswith("{"), F.concat(F.lit("json:"), F.coalesce(keys, F.lit(""))))
+        for kind, paths in _paths_by(file_heads(spark, rest), kind.otherwise("text")).items():
+            if kind.startswith("csv:"):
+                parts.append(read_text_csv(spark, paths, header=len(kind) > 4))
+            else:
+                parts.append(spark.read.json(paths) if kind != "text" else spark.read.text(paths).withColumnRenamed("value", "text"))
+    done = [resolve_text(p.withColumn("file_path", F.col("_metadata.file_path")), "file_path") for p in parts]
+    empty = spark.createDataFrame([], "text string, n_words long, file_path string")
+    return reduce(DataFrame.unionByName, done) if done else empty
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """Read a file by its inner extension, else as JSON if its first line looks so, else as plain text.
 
     A comma does not make a CSV: such a file is one by its extension, or by ``read_text_csv``.
+    For a folder of several formats see ``read_mixed``.
     """
     inner = path.removesuffix(".gz").lower()
     if inner.endswith(".parquet"):
@@ -117,11 +180,11 @@ def text_column(df: DataFrame) -> str:
     raise ValueError(f"no text column among {df.columns}")
 
 
-def resolve_text(df: DataFrame) -> DataFrame:
-    """``text, n_words`` from whatever columns there are."""
-    text = F.col(text_column(df))
+def resolve_text(df: DataFrame, *keep: str) -> DataFrame:
+    """``text, n_words`` from whatever columns there are, and the columns to keep."""
+    text = F.col(text_column(df.drop(*keep)))
     counted = F.coalesce(F.col("n_words").cast("long"), word_count(text)) if "n_words" in df.columns else word_count(text)
-    return df.select(text.alias("text"), counted.alias("n_words"))
+    return df.select(text.alias("text"), counted.alias("n_words"), *keep)
 
 
 def first_filled(df: DataFrame, candidates: list[str], min_length: int = 0) -> Column:

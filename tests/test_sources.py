@@ -138,3 +138,28 @@ def test_stream_reads_only_new_files(spark, tmp_path):
     (inbox / "b.json").write_text('{"text": "c"}\n')
     assert run() == 3
     assert {r["text"] for r in spark.read.parquet(out).collect()} == {'a"', "b", "c"}
+
+
+def test_folder_of_mixed_files(spark, tmp_path):
+    (tmp_path / "deep dir").mkdir()
+    (tmp_path / "a.csv").write_text('n_words,text\n2,"x, y"\n')
+    (tmp_path / "b.csv").write_text('"plain ""text""\nof two lines",5\nalone\n')
+    (tmp_path / "c.csv").write_text("id,content\n7,three word text\n")
+    (tmp_path / "d.jsonl").write_text('{"text": "json one"}\n')
+    (tmp_path / "deep dir" / "e.gz").write_bytes(gzip.compress(b'\n  {"content": "json two", "other": 1}\n'))
+    (tmp_path / "deep dir" / "f.txt").write_text("Hello, world, and more\nsecond\n")
+    (tmp_path / "empty.txt").write_text("")
+    spark.createDataFrame([("of a table",)], "text string").coalesce(1).write.parquet(str(tmp_path / "g.parquet"))
+    got = rd.read_mixed(spark, str(tmp_path), "[a-z]*").where("text IS NOT NULL").collect()
+    assert sorted((r["text"], r["n_words"]) for r in got) == sorted([
+        ("x, y", 2), ('plain "text"\nof two lines', 5), ("alone", 1), ("three word text", 3), ("json one", 2), ("json two", 2),
+        ("Hello, world, and more", 4), ("second", 1), ("of a table", 3),
+    ])
+    assert {r["file_path"].rsplit("/", 1)[1] for r in got} >= {"a.csv", "b.csv", "e.gz", "f.txt"}
+    (tmp_path / "csv").mkdir()
+    for name in "abc":
+        (tmp_path / "csv" / f"{name}.csv").write_bytes((tmp_path / f"{name}.csv").read_bytes())
+    rows = rd.read_text_csv(spark, str(tmp_path / "csv"), header="auto")
+    assert sorted(rows.columns) == ["content", "id", "n_words", "text"]
+    assert sorted((r["text"] or r["content"], r["n_words"]) for r in rows.collect()) == [
+        ("alone", None), ('plain "text"\nof two lines', 5), ("three word text", None), ("x, y", 2)]

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions.text import word_count
 from tamis.plans.registry import query
+from tamis.session import run_folder
 from tamis.sources import readers as rd, writers as wr
 
 
@@ -28,6 +29,22 @@ def first_filled(t):
     return t.documents.select("doc_id", rd.first_filled(t.documents, ["message", "lang", "text"], 10).alias("text"))
 
 
+@query("src05_mixed_folder", r"""
+SELECT md5(text) AS digest, count(*) AS n, sum(len(regexp_extract_all(text, '\S+')))::BIGINT AS n_words FROM documents WHERE length(text) > 0 GROUP BY 1""")
+def mixed_folder(t):
+    """The documents written in five forms below one folder and read back, each file by its own."""
+    root, text = run_folder(t.spark, "mixed"), t.documents.where("length(text) > 0")
+    part = lambda i: text.where(F.pmod(F.crc32(F.col("text").cast("binary")), F.lit(5)) == i)
+    csv = {"quote": '"', "escape": '"', "quoteAll": True, "lineSep": "\n", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    part(0).select("text", "doc_id").write.json(f"{root}/json")
+    part(1).select("doc_id", F.col("text").alias("content")).write.json(f"{root}/other json", compression="gzip")
+    part(2).select("doc_id", "text").write.options(**csv, header=True).csv(f"{root}/csv")
+    part(3).select("text", word_count("text").alias("n_words")).write.options(**csv, header=False).csv(f"{root}/plain csv")
+    part(4).select("text").write.parquet(f"{root}/table")
+    read = rd.read_mixed(t.spark, root, "part-*")
+    return read.groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("n_words"))
+
+
 @query("src07_sources_of_paths", "SELECT doc_id, source, concat('part', doc_id % 4) AS stem FROM documents")
 def sources_of_paths(t):
     path = F.concat(F.lit("file:/data/corpus/"), "source", F.lit("/part"), F.col("doc_id") % 4, F.lit("_cleaned.jsonl"))

@@ -6,7 +6,11 @@ and ``$`` are line anchors, and exempted addresses survive.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 from tamis.functions.rules import Rule
 from tamis.functions.text import compatibility_form, strip
@@ -87,30 +91,34 @@ def repair_book_lines(c: Column, credit: str = BOOK_CREDIT) -> Column:
     return F.regexp_replace(kept, "\n(\n+)", "$1")
 
 
+def splice(text: str | None, at: Sequence[int], chars: Sequence[str | None]) -> str:
+    """``text`` with ``chars`` at the places ``at`` of the original, those of one place in the given order."""
+    if text is None:
+        return ""
+    places = np.minimum(np.asarray(at, dtype=np.int64), len(text))
+    out, begin = [], 0
+    for i in np.argsort(places, kind="stable").tolist():
+        if chars[i] is not None:
+            out += (text[begin : places[i]], chars[i])
+        begin = places[i]
+    return "".join([*out, text[begin:]])
+
+
+@F.pandas_udf(T.StringType())
+def _spliced(texts: pd.Series, at: pd.Series, chars: pd.Series) -> pd.Series:
+    # One walk along each text: cutting pieces in SQL decodes it from the start for every piece.
+    return pd.Series([None if a is None else splice(v, a, c) for v, a, c in zip(texts, at, chars)], dtype=object)
+
+
 def insert_at(text: Column, insertions: Column) -> Column:
     """Insert characters at 0-based positions of the original text.
 
     ``insertions``: array of ``struct<char_index, char, should_ignore>``.  Positions
     are clamped to the text; the pieces between them are cut once and joined.
     """
-    length = F.length(text)
     wanted = F.filter(insertions, lambda s: ~F.coalesce(s["should_ignore"], F.lit(False)))
-    ordered = F.sort_array(
-        F.transform(
-            wanted,
-            lambda s, i: F.struct(
-                F.least(F.greatest(s["char_index"].cast("int"), F.lit(0)), length).alias("at"),
-                i.alias("rank"),
-                s["char"].alias("char"),
-            ),
-        )
-    )
-    cuts = F.transform(ordered, lambda s: s["at"])
-    starts = F.concat(F.array(F.lit(0)), cuts)
-    stops = F.array_append(cuts, length)
-    pieces = F.zip_with(starts, stops, lambda a, b: F.substring(text, a + 1, b - a))
-    added = F.array_append(F.transform(ordered, lambda s: s["char"]), F.lit(""))
-    return F.array_join(F.zip_with(pieces, added, lambda p, ch: F.concat(p, ch)), "")
+    at = F.transform(wanted, lambda s: F.greatest(s["char_index"].cast("int"), F.lit(0)))
+    return _spliced(F.when(insertions.isNotNull(), text), at, F.transform(wanted, lambda s: s["char"]))
 
 
 def ocr_elements_to_text(c: Column) -> Column:

@@ -1,5 +1,8 @@
 """Cleaning rules, rule sets, statistics, de-duplication of lines, space repair."""
 
+import re
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tamis.functions import cleaning as cl, text as tx
@@ -126,19 +129,17 @@ def sheet_safe(t):
     return t.docs.select("doc_id", tx.sheet_safe(noisy).alias("text"))
 
 
+@F.pandas_udf("array<struct<char_index: int, char: string, should_ignore: boolean>>")
+def _split_pairs(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda v: [(m.start() + 1, " ", m[0] == "an") for m in re.finditer("th|an", v or "")])
+
+
 @query("cln36_apply_insertions", """
 SELECT doc_id, replace(text, 'th', 't h') AS text FROM documents""")
 def apply_insertions(t):
     # Predictions derived from the text: a blank inside every "th", and ignored ones inside every "an".
     docs = t.docs.select("doc_id", "text")
-    letters = docs.select("doc_id", F.split("text", "", -1).alias("ch"))
-    pairs = letters.select(
-        "doc_id",
-        F.posexplode(F.zip_with("ch", F.slice("ch", F.lit(2), F.size("ch")), lambda a, b: F.concat(a, b))).alias("i", "pair"),
-    )
-    predictions = pairs.where(F.col("pair").isin("th", "an")).select(
-        "doc_id", (F.col("i") + 1).alias("char_index"), F.lit(" ").alias("char"), (F.col("pair") == "an").alias("should_ignore")
-    )
+    predictions = docs.select("doc_id", F.inline(_split_pairs("text")))
     return op.apply_insertions(docs, predictions, "doc_id")
 
 

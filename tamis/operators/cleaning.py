@@ -11,6 +11,7 @@ from tamis.functions.cleaning import insert_at
 from tamis.functions.hashing import stable_rank_key
 from tamis.functions.rules import Rule, rewrite_column
 from tamis.functions.text import edit_distance_ratio, strip, word_count, words
+from tamis.session import cut_lineage
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -95,10 +96,20 @@ def word_changes(df: DataFrame, before: str, after: str, label: str) -> DataFram
 def rule_examples(df: DataFrame, rules: Sequence[Rule], id_col: str, cap: int, text_col: str = "text", seed: int = 42) -> DataFrame:
     """Up to ``cap`` before/after texts per rule, chosen by a stable hash of the id.
 
-    The per-rule rank keeps at most ``cap`` rows per task ahead of the exchange, so
-    a rule that fires everywhere moves no more than a rare one.
+    The choice moves ids only: at most ``cap`` of a rule leave a task.  The rules then run again on the
+    rows of the chosen ids, at most ``cap`` for each rule, and those are ranked with their texts.
     """
     staged = rule_effects(df, rules, text_col)
+    fired = [F.when(F.col(f"_t{i}") != F.col(f"_t{i + 1}"), F.lit(r.name)) for i, r in enumerate(rules)]
+    order = Window.partitionBy("rule").orderBy(stable_rank_key(seed, id_col), id_col)
+
+    def first(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= cap).drop("_n")
+
+    chosen = first(staged.select(id_col, F.explode(F.array_compact(F.array(*fired))).alias("rule")))
+    # Written down, so that its few rows are counted and broadcast whatever the plan expects.
+    ids = cut_lineage(chosen.select(F.col(id_col).alias("_chosen")).distinct())
+    staged = rule_effects(df.join(F.broadcast(ids), F.col(id_col).eqNullSafe(F.col("_chosen")), "left_semi"), rules, text_col)
     hits = F.array(
         *[
             F.struct(F.lit(r.name).alias("rule"), F.col(f"_t{i}").alias("before"), F.col(f"_t{i + 1}").alias("after"))
@@ -106,9 +117,7 @@ def rule_examples(df: DataFrame, rules: Sequence[Rule], id_col: str, cap: int, t
         ]
     )
     changed = F.filter(hits, lambda h: h["before"] != h["after"])
-    rows = staged.select(id_col, F.inline(changed))
-    order = Window.partitionBy("rule").orderBy(stable_rank_key(seed, id_col), id_col)
-    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= cap).drop("_n")
+    return first(staged.select(id_col, F.inline(changed)))
 
 
 def unique_lines(c: Column) -> Column:

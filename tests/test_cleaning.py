@@ -1,5 +1,8 @@
+import hashlib
+import time
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from tamis.functions import cleaning as cl, text as tx, wikitext as w
 from tamis.functions.rules import Rule, apply_rules
@@ -172,3 +175,31 @@ def test_chunks(spark):
     df = spark.createDataFrame([(1, text)], "id int, text string")
     chunks = [r["chunk"] for r in op.chunk_text(df, 100).orderBy("chunk_id").collect()]
     assert "".join(chunks) == text and max(map(len, chunks)) <= 100
+
+
+def test_insertions_take_one_walk_along_a_text(spark):
+    text, n = "abcdefghij" * 100_000, 100_000
+    places = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.struct((i * 10).alias("char_index"), F.lit("|").alias("char"), F.lit(False).alias("should_ignore")))
+    df = spark.createDataFrame([(text,)], "t string")
+    started = time.monotonic()
+    assert df.select(cl.insert_at(F.col("t"), places).alias("o")).first()["o"] == "abcdefghij|" * n
+    assert time.monotonic() - started < 20
+
+
+@pytest.mark.parametrize("text, at, chars, made", [
+    ("abc", [1, 1, 9], ["x", "y", "z"], "axybcz"), ("aé𝄞b", [2, 3], [" ", "-"], "aé 𝄞-b"), ("", [0], ["x"], "x"), ("abc", [], [], "abc"), (None, [0], ["x"], ""),
+])
+def test_splice(text, at, chars, made):
+    assert cl.splice(text, at, chars) == made
+
+
+def test_rule_examples_choose_by_id(spark):
+    rows = [(i, f"a{i}" if i % 2 else f"b{i}") for i in range(200)] + [(1, "a1"), (1, "a1"), (None, "a"), (None, "b")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    rules = [Rule("a", "a", "A"), Rule("b", "b", "B"), Rule("never", "zzz", "")]
+    found = op.rule_examples(df, rules, "id", 7)
+    # The texts of chosen ids alone reach the last window.
+    assert "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda i: (hashlib.md5("|".join(["42"] + ([] if i is None else [str(i)])).encode()).hexdigest(), i is not None, i or 0)
+    expected = [(r, i, t) for r in "ab" for i, t in sorted((x for x in rows if r in x[1]), key=lambda x: key(x[0]))[:7]]
+    assert sorted(map(str, found.select("rule", "id", "before").collect())) == sorted(str(Row(rule=r, id=i, before=t)) for r, i, t in expected)

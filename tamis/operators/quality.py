@@ -1,7 +1,7 @@
 """Document quality gates: measures, first failing reason, filter group.
 
-Measures are string and array functions that stay in generated code; only the
-order-dependent repeated n-gram scan runs in Arrow batches.  Nothing here shuffles.
+Measures are string and array functions that stay in generated code; ``annotate_quality``
+takes counts over words and n-grams from one scan in Arrow batches.  Nothing here shuffles.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tamis.functions.text import PUNCTUATION_CLASS, byte_count, count_matches, strip, word_count, words
+from tamis.functions.text import PUNCTUATION, PUNCTUATION_CLASS, byte_count, count_matches, strip, word_count
 from tamis.session import pin
 
 # Stop words of the default profile.
@@ -134,6 +134,7 @@ def _repeated(items: Column) -> tuple[Column, Column]:
 
 def base_counts(text: Column, t: Thresholds) -> dict[str, Column]:
     """Counts that several measures share; as columns of their own they are taken once."""
+    stops = "|".join(re.escape(w) for w in t.stop_words)
     return {
         "n_words": word_count(text),
         # A match starts at the first character of the kind and takes the rest of the word.
@@ -141,26 +142,27 @@ def base_counts(text: Column, t: Thresholds) -> dict[str, Column]:
         "newlines": F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
         "solid": F.regexp_extract_all(text, F.lit(r"(?md)^[^\S\n]*+\S[^\n]*"), F.lit(0)),
         "runs": F.split(text, r"\n+", -1),
+        "paragraphs": F.split(strip(text), r"\n{2,}", -1),
+        "n_alpha_words": count_matches(text, r"\p{L}\S*"),
+        "real_chars": F.length(F.regexp_replace(F.regexp_replace(text, rf"(?:^|\s)[{PUNCTUATION_CLASS}]+(?=\s|$)", ""), r"\s+", "")),
+        "stop_words": F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<!\S)(?:{stops})(?!\S)"), F.lit(0)))).cast("long") if stops else F.lit(0).cast("long"),
     }
 
 
 def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str, Column]:
     """Every per-document measure except the n-gram ones, from the text and its base counts."""
-    symbol_word = rf"(?:^|\s)[{PUNCTUATION_CLASS}]+(?=\s|$)"
-    real_chars = F.length(F.regexp_replace(F.regexp_replace(text, symbol_word, ""), r"\s+", ""))
     n_words, newlines, solid, runs = base["n_words"], base["newlines"], base["solid"], base["runs"]
     n_lines = newlines + F.when(text.endswith("\n"), 0).otherwise(1)
     n_solid = F.size(solid)
-    paragraphs = F.split(strip(text), r"\n{2,}", -1)
+    paragraphs = base["paragraphs"]
     dup_para, dup_para_chars = _repeated(paragraphs)
     dup_line, dup_line_chars = _repeated(runs)
     _, dup_solid_chars = _repeated(solid)
-    stops = "|".join(re.escape(w) for w in t.stop_words)
     ends = re.escape(t.stop_characters)
     return {
         "n_words": n_words,
         "n_real_words": base["n_real_words"],
-        "mean_word_length": share(real_chars, base["n_real_words"]),
+        "mean_word_length": share(base["real_chars"], base["n_real_words"]),
         "dup_para_frac": share(dup_para, F.size(paragraphs)),
         "dup_para_char_frac": share(dup_para_chars, F.length(text)),
         "dup_line_frac": share(dup_line, F.size(runs)),
@@ -176,8 +178,8 @@ def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str,
         "ellipsis_ratio": share(count_matches(text, r"\.\.\.|…"), n_words),
         "bullet_ratio": share(count_matches(text, r"(?md)^[^\S\n]*+[•\-]"), n_lines),
         "ellipsis_line_ratio": share(count_matches(text, r"(?md)(?:\.\.\.|…)[^\S\n]*$"), n_lines),
-        "alpha_ratio": share(count_matches(text, r"\p{L}\S*"), n_words),
-        "stop_words": F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<!\S)(?:{stops})(?!\S)"), F.lit(0)))).cast("long") if stops else F.lit(0).cast("long"),
+        "alpha_ratio": share(base["n_alpha_words"], n_words),
+        "stop_words": base["stop_words"],
     }
 
 
@@ -228,9 +230,13 @@ def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[
     Per dup size: characters in n-grams seen before, left to right, jumping over each hit.
     """
     found = _WORD.findall(text)
-    tops, dups = dict.fromkeys(top_sizes, 0), dict.fromkeys(dup_sizes, 0)
     seen: dict[str, int] = {}
     ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
+    return _n_gram_chars(found, seen, ids, top_sizes, dup_sizes)
+
+
+def _n_gram_chars(found: list[str], seen: dict[str, int], ids: np.ndarray, top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
+    tops, dups = dict.fromkeys(top_sizes, 0), dict.fromkeys(dup_sizes, 0)
     ends = np.concatenate([[0], np.cumsum([len(w) for w in found], dtype=np.int64)])
     codes, repeats = ids, True
     for n in range(2, min(len(found), max([*tops, *dups], default=0)) + 1):
@@ -257,6 +263,38 @@ def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[
     return [*tops.values(), *dups.values()]
 
 
+WORD_COUNTS = ("n_words", "n_real_words", "real_chars", "n_alpha_words", "stop_words")
+
+
+def word_counts(text: str, stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
+    """The counts of ``WORD_COUNTS`` and, for sizes given, those of ``n_gram_chars``, from one split into words.
+
+    Real words have a character other than ASCII punctuation, alphabetic ones a letter; each distinct word
+    of the text is looked at once.
+    """
+    found = _WORD.findall(text)
+    seen: dict[str, int] = {}
+    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
+    times = np.bincount(ids, minlength=len(seen))
+    real_lengths = np.fromiter((len(w) if w.strip(PUNCTUATION) else 0 for w in seen), dtype=np.int64, count=len(seen))
+    alpha = np.fromiter((w[0].isalpha() or any(map(str.isalpha, w)) for w in seen), dtype=bool, count=len(seen))
+    counts = [len(found), int(times[real_lengths > 0].sum()), int(times @ real_lengths), int(times[alpha].sum()), sum(w in seen for w in set(stop_words))]
+    return counts + _n_gram_chars(found, seen, ids, top_sizes, dup_sizes)
+
+
+def word_scan(stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int]):
+    """Arrow UDF ``text, with_grams -> array`` of ``word_counts``; texts without n-grams end after the counts."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def scan(texts: pd.Series, with_grams: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if v is None else word_counts(v, stop_words, top_sizes if g else [], dup_sizes if g else [])
+            for v, g in zip(texts, with_grams)
+        ], dtype=object)
+
+    return scan
+
+
 def n_gram_numbers(ids: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
     """For each size one number per place, equal where the n-grams that begin there are equal.
 
@@ -346,31 +384,32 @@ def annotate_quality(
     limit = Limits(t, DEFAULT_OVERRIDES if overrides is None else overrides, F.col(source_col) if source_col else None)
     text = F.col(text_col)
     base = base_counts(text, t)
-    out = df.withColumns({f"_b_{k}": c for k, c in base.items()})
+    # Counts over words come from the scan that numbers them; a stop word of several words needs the regex.
+    scanned = [k for k in WORD_COUNTS if k != "stop_words" or all(_WORD.fullmatch(w) for w in t.stop_words)]
+    out = df.withColumns({f"_b_{k}": c for k, c in base.items() if k not in scanned})
     derived = ratios(text, {k: F.col(f"_b_{k}") for k in base}, t)
-    out = out.withColumns({f"_m_{k}": c for k, c in derived.items()})
     m = {k: F.col(f"_m_{k}") for k in derived}
-
-    early = _first(
-        (m["n_real_words"] < limit.min_doc_words, "gopher_short_doc"),
+    repeats = [
         (m["dup_para_frac"] > limit.dup_para_frac, "dup_para_frac"),
         (m["dup_para_char_frac"] > limit.dup_para_char_frac, "dup_para_char_frac"),
         (m["dup_line_frac"] > limit.dup_line_frac, "dup_line_frac"),
         (m["dup_line_char_frac"] > limit.dup_line_char_frac, "dup_line_char_frac"),
-    )
-    out = out.withColumn("_early", early)
+    ]
+    out = out.withColumns({f"_m_{name}": derived[name] for _, name in repeats})
+    out = out.withColumn("_repeats", _first(*repeats))
+    # Texts go to Python once, where words are numbered: for counts over words, for the
+    # order-dependent scan and the short n-grams on its way.
     top_sizes, dup_sizes = limit.sizes("top_n_grams"), limit.sizes("dup_n_grams")
+    out = out.withColumn("_words", word_scan(t.stop_words, top_sizes, dup_sizes)(text, F.col("_repeats").isNull()))
+    out = out.withColumns({f"_b_{k}": F.get("_words", F.lit(i)) for i, k in enumerate(WORD_COUNTS) if k in scanned})
+    out = out.withColumns({f"_m_{k}": c for k, c in derived.items() if f"_m_{k}" not in out.columns})
+    early = F.when(m["n_real_words"] < limit.min_doc_words, "gopher_short_doc").otherwise(F.col("_repeats"))
+    out = out.withColumn("_early", early)
     top_share = {n: F.col(f"_m_top_{n}_gram") for n in top_sizes}
     dup_share = {n: F.col(f"_m_dup_{n}_gram") for n in dup_sizes}
-    if dup_sizes:
-        # Texts go to Python for the order-dependent scan, which numbers the short
-        # n-grams on its way, so their counts come from there too.
-        out = out.withColumn("_grams", n_gram_scan(top_sizes, dup_sizes)(F.when(F.col("_early").isNull(), text)))
-        names = [f"_m_top_{n}_gram" for n in top_sizes] + [f"_m_dup_{n}_gram" for n in dup_sizes]
-        out = out.withColumns({name: share(F.col("_grams")[i], F.length(text)) for i, name in enumerate(names)})
-    elif top_sizes:
-        out = out.withColumn("_words", F.when(F.col("_early").isNull(), words(text)))
-        out = out.withColumns({f"_m_top_{n}_gram": share(top_n_gram_chars(F.col("_words"), n), F.length(text)) for n in top_sizes})
+    names = [f"_m_top_{n}_gram" for n in top_sizes] + [f"_m_dup_{n}_gram" for n in dup_sizes]
+    grams = [F.when(F.col("_early").isNull(), F.get("_words", F.lit(len(WORD_COUNTS) + i))) for i in range(len(names))]
+    out = out.withColumns({name: share(c, F.length(text)) for name, c in zip(names, grams)})
     repetition = F.coalesce(
         F.col("_early"),
         *[F.when(top_share[n] > limit.n_gram("top_n_grams", n), f"top_{n}_gram") for n in top_sizes],
@@ -398,10 +437,10 @@ def annotate_quality(
     out = pin(out, "filter_reason", F.coalesce(repetition, late))
     out = out.withColumn("filter_group", reason_group(F.col("filter_reason")))
     out = out.withColumn("n_words", F.col("_m_n_words"))
-    internal = [c for c in out.columns if c in ("_early", "_words", "_grams") or c.startswith(("_m_", "_b_"))]
+    internal = [c for c in out.columns if c in ("_early", "_repeats", "_words") or c.startswith(("_m_", "_b_"))]
     if not keep_measures:
         return out.drop(*internal)
-    out = out.drop("_early", "_words", "_grams", "_m_n_words", *[c for c in internal if c.startswith("_b_")])
+    out = out.drop("_early", "_repeats", "_words", "_m_n_words", *[c for c in internal if c.startswith("_b_")])
     return out.withColumnsRenamed({c: c[3:] for c in out.columns if c.startswith("_m_")})
 
 

@@ -112,3 +112,21 @@ def test_full_examples_are_whole(spark):
     row = (1, "s", "x" * 40000 + " end", "reason", "group", 2)
     df = spark.createDataFrame([row], "doc_id long, source string, text string, filter_reason string, filter_group string, n_words long")
     assert reports.report_tables(df)["full_examples"].first()["full_text"] == row[2]
+
+
+def test_word_counts_agree_with_the_measures(spark):
+    texts = ["", " ", "... !! the", "the. the of 'tis 12 ab3 --", "αβγ 1½ ² ... x\n\n•a\tthe\x0bof", GOOD, "a b ! ! é", "9x _ _y ١٢"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    t = q.Thresholds(stop_words=("the", "of"))
+    base = q.base_counts(F.col("text"), t)
+    wanted = [list(r) for r in df.select("text", *[base[k].alias(k) for k in q.WORD_COUNTS]).collect()]
+    assert [[v, *q.word_counts(v, t.stop_words, [], [])] for v in texts] == wanted
+
+
+def test_words_are_counted_in_one_scan(spark):
+    df = spark.createDataFrame([("s", GOOD), ("s", None)], "source string, text string")
+    t = q.Thresholds(dup_n_grams={}, min_stop_words=1, stop_words=("word1",))
+    out = q.annotate_quality(df, t, {}, keep_measures=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and r"\S+, 0)" not in plan and "lambda" not in plan
+    assert [(r["n_words"], r["stop_words"], r["filter_reason"]) for r in out.collect()] == [(40, 1, None), (None, None, None)]

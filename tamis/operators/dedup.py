@@ -8,13 +8,14 @@ clusters, the smallest id of each is kept.
 from __future__ import annotations
 
 import random
+import re
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tamis.functions.hashing import hash60
 from tamis.functions.text import PUNCTUATION_CLASS, strip, word_count
 from tamis.operators.quality import n_grams
 from tamis.session import cut_lineage
@@ -113,6 +114,7 @@ def line_dedup_counts(text: Column) -> tuple[Column, Column]:
 
 # A word character of the normal form: neither blank nor ASCII punctuation.
 PLAIN = rf"[^\s{PUNCTUATION_CLASS}]"
+_PLAIN_WORD = re.compile(PLAIN + "+", re.ASCII)
 
 
 def normalised_words(text: Column) -> Column:
@@ -125,13 +127,23 @@ def shingles(word_array: Column, n: int) -> Column:
     return F.when(F.size(word_array) >= n, n_grams(word_array, n)).otherwise(F.array(F.array_join(word_array, " ")))
 
 
+def shingle_hashes(text: str, n: int) -> list[int]:
+    """One 60-bit hash per distinct shingle of a lower-cased text, those of ``shingles`` in order."""
+    found = _PLAIN_WORD.findall(text)
+    grams = dict.fromkeys(map(" ".join, zip(*(found[i:] for i in range(n))))) if len(found) >= n else [" ".join(found)]
+    return [int.from_bytes(md5(g.encode()).digest()[:8]) >> 4 for g in grams]
+
+
 def base_hashes(df: DataFrame, id_col: str, config: MinHashConfig, text_col: str = "text") -> DataFrame:
     """``id, hashes``: one 60-bit hash per distinct shingle, computed in the row."""
-    # The test stops at the first word character; asking for the array's size would
-    # run the extraction once for the filter and once for the rows.
-    words = df.where(F.col(text_col).rlike(PLAIN)).select(id_col, normalised_words(F.col(text_col)).alias("_w"))
-    grams = words.select(id_col, F.array_distinct(shingles(F.col("_w"), config.n_gram)).alias("_g"))
-    return grams.select(id_col, F.transform("_g", lambda g: F.pmod(hash60(g), F.lit(PRIME))).alias("hashes"))
+    n = config.n_gram
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def hashes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda v: None if v is None else np.array(shingle_hashes(v, n), dtype=np.int64))
+
+    words = df.where(F.col(text_col).rlike(PLAIN))
+    return words.select(id_col, hashes(F.lower(F.col(text_col))).alias("hashes"))
 
 
 def _minima(a: np.ndarray, b: np.ndarray, hashes: np.ndarray, block: int = 1024) -> np.ndarray:

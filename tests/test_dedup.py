@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tamis.functions.hashing import hash60
 from tamis.operators import dedup as d
 
 
@@ -136,3 +137,13 @@ def test_verified_clusters_do_not_hang_on_the_smallest_id(spark):
     got = {(r["id"], r["component"]) for r in d.connected_components(d.verified_bucket_edges(bands, df, "id", 0.88, config)).collect()}
     assert not star.where("src IN (2, 3)").count() and {(2, 2), (3, 2)} <= got and got == wanted
     assert {(2, 2), (3, 2)} <= {tuple(r) for r in d.near_duplicate_clusters(df, "id", config, min_jaccard=0.88).collect()}
+
+
+def test_shingle_hashes_come_from_one_scan(spark):
+    texts = ["One two, THREE four five-six seven", "short text!", "a b c d e a b c d e a", "É ß 1_2 x.y z ... q r s t", "x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(9, " .. "), (10, None)], "id int, text string")
+    found = d.base_hashes(df, "id", d.MinHashConfig())
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
+    grams = F.array_distinct(d.shingles(d.normalised_words(F.col("text")), 5))
+    wanted = df.where("id < 9").select("id", F.transform(grams, hash60).alias("hashes"))
+    assert sorted(found.collect()) == sorted(wanted.collect())

@@ -3,7 +3,7 @@
 import re
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tamis.functions import cleaning as cl, text as tx
 from tamis.functions.rules import apply_rules
@@ -129,7 +129,11 @@ def sheet_safe(t):
     return t.docs.select("doc_id", tx.sheet_safe(noisy).alias("text"))
 
 
-@F.pandas_udf("array<struct<char_index: int, char: string, should_ignore: boolean>>")
+# Built without a session, as this module is imported before one.
+INSERTIONS = T.ArrayType(T.StructType().add("char_index", T.IntegerType()).add("char", T.StringType()).add("should_ignore", T.BooleanType()))
+
+
+@F.pandas_udf(INSERTIONS)
 def _split_pairs(texts: pd.Series) -> pd.Series:
     return texts.map(lambda v: [(m.start() + 1, " ", m[0] == "an") for m in re.finditer("th|an", v or "")])
 

@@ -7,8 +7,10 @@ takes counts over words and n-grams from one scan in Arrow batches.  Nothing her
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+import sys
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, fields, replace
+from functools import cache
 from typing import Any
 
 import numpy as np
@@ -132,6 +134,12 @@ def _repeated(items: Column) -> tuple[Column, Column]:
     return F.size(items) - F.size(distinct), chars
 
 
+def _ellipses(text: Column, pattern: str) -> Column:
+    """Matches of a pattern with an ellipsis; a regex decodes the text, the test for one does not."""
+    some = text.contains("...") | text.contains("…")
+    return F.when(some, count_matches(text, pattern)).when(text.isNotNull(), F.lit(0).cast("long"))
+
+
 def base_counts(text: Column, t: Thresholds) -> dict[str, Column]:
     """Counts that several measures share; as columns of their own they are taken once."""
     stops = "|".join(re.escape(w) for w in t.stop_words)
@@ -142,7 +150,8 @@ def base_counts(text: Column, t: Thresholds) -> dict[str, Column]:
         "newlines": F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
         "solid": F.regexp_extract_all(text, F.lit(r"(?md)^[^\S\n]*+\S[^\n]*"), F.lit(0)),
         "runs": F.split(text, r"\n+", -1),
-        "paragraphs": F.split(strip(text), r"\n{2,}", -1),
+        # Without an empty line there is one paragraph, which repeats nothing: its text is not needed.
+        "paragraphs": F.when(text.contains("\n\n"), F.split(strip(text), r"\n{2,}", -1)).when(text.isNotNull(), F.array(F.lit(""))),
         "n_alpha_words": count_matches(text, r"\p{L}\S*"),
         "real_chars": F.length(F.regexp_replace(F.regexp_replace(text, rf"(?:^|\s)[{PUNCTUATION_CLASS}]+(?=\s|$)", ""), r"\s+", "")),
         "stop_words": F.size(F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?<!\S)(?:{stops})(?!\S)"), F.lit(0)))).cast("long") if stops else F.lit(0).cast("long"),
@@ -158,7 +167,8 @@ def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str,
     dup_para, dup_para_chars = _repeated(paragraphs)
     dup_line, dup_line_chars = _repeated(runs)
     _, dup_solid_chars = _repeated(solid)
-    ends = re.escape(t.stop_characters)
+    # A search for line ends is cheaper than one for characters of a class.
+    closed = count_matches(text, rf"\n(?<=[{re.escape(t.stop_characters)}]\n)") + F.right(text, F.lit(1)).isin(list(t.stop_characters)).cast("long")
     return {
         "n_words": n_words,
         "n_real_words": base["n_real_words"],
@@ -168,16 +178,16 @@ def ratios(text: Column, base: Mapping[str, Column], t: Thresholds) -> dict[str,
         "dup_line_frac": share(dup_line, F.size(runs)),
         "dup_line_char_frac": share(dup_line_chars, F.length(text)),
         "solid_lines": n_solid.cast("long"),
-        "line_punct_ratio": share(count_matches(text, f"(?md)[{ends}]$"), n_solid),
+        "line_punct_ratio": share(closed, n_solid),
         "short_line_ratio": share(
             count_matches(text, rf"(?md)^(?=[^\S\n]*+\S)[^\n]{{1,{t.short_line_length}}}$"), n_solid
         ),
         "char_dup_ratio": share(dup_solid_chars, F.length(text) - newlines),
         "list_ratio": share(newlines, n_words),
         "hash_ratio": share(F.length(text) - F.length(F.replace(text, F.lit("#"), F.lit(""))), n_words),
-        "ellipsis_ratio": share(count_matches(text, r"\.\.\.|…"), n_words),
+        "ellipsis_ratio": share(_ellipses(text, r"\.\.\.|…"), n_words),
         "bullet_ratio": share(count_matches(text, r"(?md)^[^\S\n]*+[•\-]"), n_lines),
-        "ellipsis_line_ratio": share(count_matches(text, r"(?md)(?:\.\.\.|…)[^\S\n]*$"), n_lines),
+        "ellipsis_line_ratio": share(_ellipses(text, r"(?md)(?:\.\.\.|…)[^\S\n]*$"), n_lines),
         "alpha_ratio": share(base["n_alpha_words"], n_words),
         "stop_words": base["stop_words"],
     }
@@ -225,72 +235,130 @@ def top_n_gram_chars(word_array: Column, n: int) -> Column:
 _WORD = re.compile(r"\S+", re.ASCII)
 
 
-def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
-    """Per top size: count times length of the most frequent n-gram (longest among equals).
-    Per dup size: characters in n-grams seen before, left to right, jumping over each hit.
+@cache
+def _kinds() -> np.ndarray:
+    """Per code point: 1 for a letter, plus 2 for anything but a blank and ASCII punctuation."""
+    table = np.full(sys.maxunicode + 1, 2, np.uint8)
+    table[[ord(c) for c in " " + PUNCTUATION]] = 0
+    table[np.fromiter(map(str.isalpha, map(chr, range(len(table)))), bool, len(table))] = 3
+    return table
+
+
+def _word_kinds(words: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters and kinds (``_kinds`` of any of its characters) of every word."""
+    joined = b" ".join(words)
+    if not joined:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    points = np.frombuffer((joined + b" ").decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    ends = np.flatnonzero(points == 32)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return ends - starts, np.bitwise_or.reduceat(_kinds()[points], starts)
+
+
+WORD_COUNTS = ("n_words", "n_real_words", "real_chars", "n_alpha_words", "stop_words")
+
+
+def all_word_counts(
+    texts: Sequence[bytes], stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int], with_grams: Sequence[bool] | None = None
+) -> list[list[int]]:
+    """Per text the counts of ``WORD_COUNTS`` and those of ``n_gram_counts``, from one split into words.
+
+    Real words have a character other than ASCII punctuation, alphabetic ones a letter.  Words are numbered
+    for all texts at once, each distinct word is looked at once.  Texts whose ``with_grams`` is false
+    end after the first counts.
     """
-    found = _WORD.findall(text)
-    seen: dict[str, int] = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
-    return _n_gram_chars(found, seen, ids, top_sizes, dup_sizes)
-
-
-def _n_gram_chars(found: list[str], seen: dict[str, int], ids: np.ndarray, top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
-    tops, dups = dict.fromkeys(top_sizes, 0), dict.fromkeys(dup_sizes, 0)
-    ends = np.concatenate([[0], np.cumsum([len(w) for w in found], dtype=np.int64)])
-    codes, repeats = ids, True
-    for n in range(2, min(len(found), max([*tops, *dups], default=0)) + 1):
-        lengths = ends[n:] - ends[:-n]
-        if repeats:
-            # Number the n-grams exactly: (n-1)-gram number and last word decide it.
-            distinct, codes, counts = np.unique(codes[:-1] * len(seen) + ids[n - 1:], return_inverse=True, return_counts=True)
-            repeats = len(distinct) < len(codes)  # when nothing repeats, nothing longer does
+    found: list[bytes] = []
+    sizes = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        found += (split := text.split())  # at ASCII whitespace only
+        sizes[i] = len(split)
+    seen = {w: i for i, w in enumerate(dict.fromkeys(found))}
+    ids = np.fromiter(map(seen.__getitem__, found), dtype=np.int64, count=len(found))
+    doc = np.repeat(np.arange(len(texts)), sizes)
+    lengths, kinds = _word_kinds(seen)
+    real = kinds >= 2
+    stops = np.array(sorted(seen[w] for w in {w.encode() for w in stop_words} if w in seen), np.int64)
+    at = np.flatnonzero(np.isin(ids, stops))
+    pairs = np.unique(doc[at] * len(seen) + ids[at]) // max(len(seen), 1)
+
+    def total(each: np.ndarray) -> np.ndarray:
+        return np.bincount(doc, each[ids], len(texts)).astype(np.int64)
+
+    counts = [sizes, total(real), total(np.where(real, lengths, 0)), total(kinds & 1), np.bincount(pairs, minlength=len(texts))]
+    if with_grams is None:
+        with_grams = [True] * len(texts)
+    grams = n_gram_counts(ids, lengths, doc, sizes, np.array(with_grams, bool), top_sizes, dup_sizes)
+    rows = np.column_stack([*counts, *grams]).tolist()
+    return [row if g else row[: len(counts)] for row, g in zip(rows, with_grams)]
+
+
+def n_gram_counts(
+    ids: np.ndarray, word_lengths: np.ndarray, doc: np.ndarray, sizes: np.ndarray, wanted: np.ndarray, top_sizes: list[int], dup_sizes: list[int]
+) -> list[np.ndarray]:
+    """Per top size: count times length of the most frequent n-gram of each text (longest among equals).
+    Per dup size: characters in n-grams seen before in the text, left to right, jumping over each hit.
+
+    ``ids`` are the words of the texts ``doc``, which hold ``sizes`` words each; others than ``wanted`` give 0.
+    """
+    tops, dups = ({n: np.zeros(len(sizes), np.int64) for n in ns} for ns in (top_sizes, dup_sizes))
+    n_distinct = len(word_lengths)
+    ends = np.concatenate([[0], np.cumsum(word_lengths[ids])])
+    stop = np.cumsum(sizes)
+    # An n-gram occurs again only where both (n-1)-grams in it do, so few places are left to number.
+    places = np.flatnonzero(wanted[doc])
+    codes = doc[places]
+    for n in range(1, min(int(sizes.max(initial=0)), max([*tops, *dups], default=0)) + 1):
+        if n > 1:
+            follows = np.flatnonzero((np.diff(places) == 1) & (doc[places[:-1]] == doc[places[1:]]))
+            places, codes = places[follows], codes[follows]
+        # Numbered exactly: text or (n-1)-gram number and last word decide it.
+        _, codes, counts = np.unique(codes * n_distinct + ids[places + n - 1], return_inverse=True, return_counts=True)
+        times = counts[codes]
         if n in tops:
-            best = int(counts.max()) if repeats else 1
-            of_best = lengths[counts[codes] == best] if repeats else lengths
-            tops[n] = best * (int(of_best.max()) + n - 1)
-        if n in dups and repeats:
-            visited, at, chars = set(), 0, 0
-            row = codes.tolist()
-            while at < len(row):
-                if row[at] in visited:
-                    chars += int(lengths[at])
-                    at += n
+            best, longest = np.ones(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+            np.maximum.at(best, doc[places], times)
+            whole = np.flatnonzero(wanted[doc] & (best[doc] == 1) & (np.arange(len(doc)) + n <= stop[doc]))
+            most = places[(times > 1) & (times == best[doc[places]])]
+            for part in (whole, most):
+                np.maximum.at(longest, doc[part], ends[part + n] - ends[part])
+            tops[n] = np.where(wanted & (sizes >= n), best * (longest + n - 1), 0)
+        again = times > 1
+        places, codes = places[again], codes[again]
+        if n in dups:
+            visited, free = set(), 0
+            spans = ends[places + n] - ends[places]
+            for at, code, of, length in zip(places.tolist(), codes.tolist(), doc[places].tolist(), spans.tolist()):
+                if at < free:
+                    continue
+                if code in visited:
+                    dups[n][of] += length
+                    free = at + n
                 else:
-                    visited.add(row[at])
-                    at += 1
-            dups[n] = chars
+                    visited.add(code)
     return [*tops.values(), *dups.values()]
 
 
-WORD_COUNTS = ("n_words", "n_real_words", "real_chars", "n_alpha_words", "stop_words")
+def n_gram_chars(text: str, top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
+    """The counts of ``n_gram_counts`` of one text."""
+    return word_counts(text, (), top_sizes, dup_sizes)[len(WORD_COUNTS):]
 
 
 def word_counts(text: str, stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int]) -> list[int]:
-    """The counts of ``WORD_COUNTS`` and, for sizes given, those of ``n_gram_chars``, from one split into words.
-
-    Real words have a character other than ASCII punctuation, alphabetic ones a letter; each distinct word
-    of the text is looked at once.
-    """
-    found = _WORD.findall(text)
-    seen: dict[str, int] = {}
-    ids = np.fromiter((seen.setdefault(w, len(seen)) for w in found), dtype=np.int64, count=len(found))
-    times = np.bincount(ids, minlength=len(seen))
-    real_lengths = np.fromiter((len(w) if w.strip(PUNCTUATION) else 0 for w in seen), dtype=np.int64, count=len(seen))
-    alpha = np.fromiter((w[0].isalpha() or any(map(str.isalpha, w)) for w in seen), dtype=bool, count=len(seen))
-    counts = [len(found), int(times[real_lengths > 0].sum()), int(times @ real_lengths), int(times[alpha].sum()), sum(w in seen for w in set(stop_words))]
-    return counts + _n_gram_chars(found, seen, ids, top_sizes, dup_sizes)
+    """``all_word_counts`` of one text."""
+    return all_word_counts([text.encode()], stop_words, top_sizes, dup_sizes)[0]
 
 
-def word_scan(stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int]):
-    """Arrow UDF ``text, with_grams -> array`` of ``word_counts``; texts without n-grams end after the counts."""
+def word_scan(stop_words: tuple[str, ...], top_sizes: list[int], dup_sizes: list[int], rows: int = 64):
+    """Arrow UDF ``text as binary, with_grams -> array`` of ``all_word_counts``, for ``rows`` texts at a time; null stays null."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def scan(texts: pd.Series, with_grams: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if v is None else word_counts(v, stop_words, top_sizes if g else [], dup_sizes if g else [])
-            for v, g in zip(texts, with_grams)
-        ], dtype=object)
+        out = []
+        for at in range(0, len(texts), rows):
+            part, grams = texts.iloc[at : at + rows].tolist(), with_grams.iloc[at : at + rows].tolist()
+            counts = all_word_counts([v or b"" for v in part], stop_words, top_sizes, dup_sizes, grams)
+            out += [None if v is None else row for v, row in zip(part, counts)]
+        return pd.Series(out, dtype=object)
 
     return scan
 
@@ -350,13 +418,14 @@ def repeated_n_gram_scan(sizes: list[int]):
 
 
 def n_gram_scan(top_sizes: list[int], dup_sizes: list[int]):
-    """Arrow UDF ``text -> array``: the top sizes first, then the dup sizes; null stays null."""
+    """``text -> array`` of ``n_gram_counts``: the top sizes first, then the dup sizes; null stays null."""
+    scan = word_scan((), top_sizes, dup_sizes)
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def scan(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda v: None if v is None else n_gram_chars(v, top_sizes, dup_sizes))
+    def grams(text: Column | str) -> Column:
+        c = F.col(text) if isinstance(text, str) else text
+        return F.slice(scan(c.cast("binary"), F.lit(True)), len(WORD_COUNTS) + 1, len(top_sizes) + len(dup_sizes))
 
-    return scan
+    return grams
 
 
 def _first(*checks: tuple[Column, str]) -> Column:
@@ -400,7 +469,7 @@ def annotate_quality(
     # Texts go to Python once, where words are numbered: for counts over words, for the
     # order-dependent scan and the short n-grams on its way.
     top_sizes, dup_sizes = limit.sizes("top_n_grams"), limit.sizes("dup_n_grams")
-    out = out.withColumn("_words", word_scan(t.stop_words, top_sizes, dup_sizes)(text, F.col("_repeats").isNull()))
+    out = out.withColumn("_words", word_scan(t.stop_words, top_sizes, dup_sizes)(text.cast("binary"), F.col("_repeats").isNull()))
     out = out.withColumns({f"_b_{k}": F.get("_words", F.lit(i)) for i, k in enumerate(WORD_COUNTS) if k in scanned})
     out = out.withColumns({f"_m_{k}": c for k, c in derived.items() if f"_m_{k}" not in out.columns})
     early = F.when(m["n_real_words"] < limit.min_doc_words, "gopher_short_doc").otherwise(F.col("_repeats"))

@@ -130,3 +130,24 @@ def test_words_are_counted_in_one_scan(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and r"\S+, 0)" not in plan and "lambda" not in plan
     assert [(r["n_words"], r["stop_words"], r["filter_reason"]) for r in out.collect()] == [(40, 1, None), (None, None, None)]
+
+
+def test_texts_of_a_batch_are_counted_apart():
+    texts = ["a b a b", "a b", "", "x y z x y z x y z", "b a b", "a b a b a b"]
+    wanted = [q.word_counts(v, ("a",), [2, 3], [2]) for v in texts]
+    assert [w[5:] for w in wanted] == [[6, 5, 2], [3, 0, 0], [0, 0, 0], [9, 15, 6], [3, 5, 0], [9, 10, 4]]
+    grams = [True, True, True, True, False, True]
+    got = q.all_word_counts([v.encode() for v in texts], ("a",), [2, 3], [2], grams)
+    assert got == [w if g else w[:5] for w, g in zip(wanted, grams)]
+
+
+def test_line_measures_without_a_search_of_every_character(spark):
+    t = q.Thresholds()
+    texts = [("One.\nTwo?\n\nthree\n  …", 3 / 4), ("a\nb", 0.0), ("\n", None), ("", None), ("x.\n", 1.0), (". \nend!", 1 / 2), (None, None), ("é。\r\nz۔", 1 / 2)]
+    df = spark.createDataFrame(texts, "text string, wanted double")
+    m = q.measures(F.col("text"), t)
+    out = df.select("wanted", m["line_punct_ratio"].alias("got"), m["ellipsis_ratio"].alias("e"), m["dup_para_frac"].alias("p"), m["dup_para_char_frac"].alias("c"))
+    assert all(r["got"] == r["wanted"] for r in out.collect())
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "]$" not in plan and "Contains(" in plan.replace("contains(", "Contains(")
+    assert out.where("wanted IS NOT NULL AND p <> 0").count() == 0 and out.where("p IS NULL").count() == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from tamis.functions.cleaning import EMAIL, IP_ADDRESS, LOOPBACK
@@ -55,11 +57,14 @@ def _any(words: list[str]) -> str:
     return "(?:" + "|".join(words) + ")"
 
 
-def _drop_lines(pattern: str):
-    """Remove whole lines whose stripped form matches ``pattern``."""
+def _drop_lines(pattern: str, needs: tuple[str, ...]):
+    """Remove whole lines whose stripped form matches ``pattern``; lines without any of ``needs`` skip the regexes."""
 
     def rewrite(c: Column) -> Column:
-        return F.array_join(F.filter(F.split(c, "\n", -1), lambda line: ~strip(line).rlike(pattern)), "\n")
+        def drop(line: Column) -> Column:
+            return reduce(lambda a, b: a | b, [line.contains(x) for x in needs]) & strip(line).rlike(pattern)
+
+        return F.array_join(F.filter(F.split(c, "\n", -1), lambda line: ~drop(line)), "\n")
 
     return rewrite
 
@@ -70,6 +75,14 @@ def shrink_space_runs(c: Column) -> Column:
     return F.regexp_replace(c, r"(?<! )(?:(?: {4})* {2,3}|(?: {4})+ )(?! )", " ")
 
 
+def _trim(c: Column) -> Column:
+    """``strip`` by looking at the ends of the text alone.  Mentions ``c`` twice: give it a column.
+
+    Before a line separator outside ASCII at the end, the regex of ``strip`` removes blanks too.
+    """
+    return F.when(F.right(c, F.lit(1)).isin("\u0085", "\u2028", "\u2029"), strip(c)).otherwise(F.btrim(c, F.lit(" \t\n\x0b\f\r")))
+
+
 def _cells(row: Column) -> Column:
     """Cells of a table row: split at bars, picture sizes and one-character cells dropped."""
     trimmed = F.transform(F.split(row, r"\|\||\|", -1), strip)
@@ -120,21 +133,29 @@ def tables_to_lists(c: Column) -> Column:
     return _replace_tables(c, render)
 
 
+def _heading(level: int) -> Rule:
+    body = r"[ \t]*([^=\r\n]+?)[ \t]*"
+    exact, more = "=" * level, "=" * level + "={0," + str(6 - level) + "}"
+    pattern = rf"(?md)^(?:{exact}{body}{more}|{more}{body}{exact})[ \t]*$"
+    return Rule(f"heading_{level}", pattern, "#" * level + " $1$2", needs=(exact,))
+
+
+# ``== H ==`` -> ``## H``; the smaller side decides the level (2 to 6).
+HEADINGS = [_heading(level) for level in range(6, 1, -1)]
+
+
 def headings_to_markdown(c: Column) -> Column:
-    """``== H ==`` -> ``## H``; the smaller side decides the level (2 to 6)."""
-    for level in range(6, 1, -1):
-        body = r"[ \t]*([^=\r\n]+?)[ \t]*"
-        exact, more = "=" * level, "=" * level + "={0," + str(6 - level) + "}"
-        pattern = rf"(?md)^(?:{exact}{body}{more}|{more}{body}{exact})[ \t]*$"
-        c = F.regexp_replace(c, pattern, "#" * level + " $1$2")
-    return c
+    return reduce(lambda text, rule: rule.rewrite(text), HEADINGS, c)
 
 
 MASK_PERSONAL_DATA = [
     Rule("email", EMAIL, "[EMAIL_REMOVED]", needs=("@",)),
-    Rule("ip_address", rf"(?!\b{LOOPBACK}){IP_ADDRESS}", "[IP_REMOVED]"),
+    Rule("ip_address", rf"(?=\d)\b(?!{LOOPBACK}){IP_ADDRESS}", "[IP_REMOVED]"),
 ]
 
+# A single blank stays what it is.
+BLANK_RUN = Rule("blank_run", r"[ \t]+", " ", function=lambda c: F.regexp_replace(c, r"[ \t]{2,}|\t", " "), needs=("  ", "\t"))
+
 DROP_TEMPLATES = [Rule(f"template_pass_{i}", r"\{\{[^{}]*\}\}", needs=("{{",)) for i in range(1, 6)]
 
 UNWRAP_MARKUP = DROP_TEMPLATES + [
@@ -144,7 +165,7 @@ UNWRAP_MARKUP = DROP_TEMPLATES + [
     Rule("double_comma", r",\s*,", ",", needs=(",",)),
     Rule("comma_before_bracket", r",\s*\]", "]", needs=("]",)),
     Rule("comma_after_bracket", r"\[\s*,", "[", needs=("[",)),
-    Rule("blank_run", r"[ \t]+", " "),
+    BLANK_RUN,
     Rule("leading_comma", r"(?md)^\s*,\s*", needs=(",",)),
     Rule("trailing_comma", r"(?md)\s*,\s*$", needs=(",",)),
 ]
@@ -182,25 +203,26 @@ MEDIA = [
     Rule("trailing_bar", r"(?md)\|\s*$", needs=("|",)),
     Rule("blank_lines", r"\n\s*\n\s*\n", "\n\n"),
     Rule("newline_run", r"\n{4,}", "\n\n\n"),
-    Rule("blank_run", r"[ \t]+", " "),
+    BLANK_RUN,
     Rule("line_start", r"(?md)^[ \t]+"),
     Rule("line_end", r"(?md)[ \t]+$"),
     Rule("punctuation_line", r"(?md)^\s*[,.;:]+\s*$"),
 ]
 
-DROP_BULLET_LINES = Rule("bullet_line", function=_drop_lines(f"^[{BULLETS}]+$"), needs=tuple(BULLETS))
+SEPARATOR_RUNS = tuple(ch * 4 for ch in SEPARATORS)
+DROP_BULLET_LINES = Rule("bullet_line", function=_drop_lines(f"^[{BULLETS}]+$", tuple(BULLETS)), needs=tuple(BULLETS))
 DROP_SEPARATOR_LINES = Rule(
-    "separator_line", function=_drop_lines("^(?:" + "|".join(f"[{ch}]{{4,}}" for ch in SEPARATORS) + ")$"),
-    needs=tuple(ch * 4 for ch in SEPARATORS),
+    "separator_line", function=_drop_lines("^(?:" + "|".join(f"[{ch}]{{4,}}" for ch in SEPARATORS) + ")$", SEPARATOR_RUNS),
+    needs=SEPARATOR_RUNS,
 )
-DROP_TABLE_ATTRIBUTES = Rule("table_attribute", rf'{_any(TABLE_ATTRIBUTES)}="[^"]*"', needs=("=\"",))
+DROP_TABLE_ATTRIBUTES = Rule("table_attribute", rf'(?=[{"".join(sorted({a[0] for a in TABLE_ATTRIBUTES}))}]){_any(TABLE_ATTRIBUTES)}="[^"]*"', needs=("=\"",))
 
 # Article cleaning in order; citations and media go before general markup.
 ARTICLE_RULES: dict[str, list[Rule]] = {
     "html_escape_codes": [Rule("double_quote", r"&quot;|&#34;", '"', needs=("&quot;", "&#34;")), Rule("apostrophe", r"&#39;", "'", needs=("&#39;",))],
     "cr_and_3_newlines": [Rule("carriage_return", r"\r", needs=("\r",)), Rule("newline_run", r"\n{4,}", "\n\n\n")],
     "multiple_spaces": [Rule("space_run", r" {2,}", function=shrink_space_runs, needs=("  ",))],
-    "start_end_white_space": [Rule("strip", function=strip)],
+    "start_end_white_space": [Rule("strip", function=_trim)],
     "PII": MASK_PERSONAL_DATA,
     "empty_line_with_bullet": [DROP_BULLET_LINES],
     "multiple_hyphens": [DROP_SEPARATOR_LINES],
@@ -209,7 +231,7 @@ ARTICLE_RULES: dict[str, list[Rule]] = {
     "wiki_citations": CITATIONS,
     "wiki_tags_and_media_descriptions": MEDIA,
     "wiki_markup": UNWRAP_MARKUP,
-    "wiki_headers": [Rule("heading", function=headings_to_markdown, needs=("==",))],
+    "wiki_headers": HEADINGS,
 }
 
 # Short form used before training: tables as lists, leftovers dropped.

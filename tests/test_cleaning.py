@@ -203,3 +203,20 @@ def test_rule_examples_choose_by_id(spark):
     key = lambda i: (hashlib.md5("|".join(["42"] + ([] if i is None else [str(i)])).encode()).hexdigest(), i is not None, i or 0)
     expected = [(r, i, t) for r in "ab" for i, t in sorted((x for x in rows if r in x[1]), key=lambda x: key(x[0]))[:7]]
     assert sorted(map(str, found.select("rule", "id", "before").collect())) == sorted(str(Row(rule=r, id=i, before=t)) for r, i, t in expected)
+
+
+def test_article_rules_touch_the_ends_and_the_lines_that_need_it(spark):
+    from tamis.functions.rules import rewrite_column
+
+    rows = [(" \t a b \n", "a b"), ("a  ", "a "), ("a ", "a "), ("", ""), (None, None), ("\n \n", "")]
+    df = spark.createDataFrame(rows, "text string, wanted string")
+    out = rewrite_column(df, "text", w.ARTICLE_RULES["start_end_white_space"])
+    assert out.where("NOT (text <=> wanted)").count() == 0
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" in plan
+    lines = "• a\n •• \n-----\n ----x\n=== t ==\ta  b"
+    rules = [r for g in ("empty_line_with_bullet", "multiple_hyphens", "wiki_headers") for r in w.ARTICLE_RULES[g]]
+    assert one(spark, lines + "\n=== t ==", lambda c: apply_rules(c, rules)) == "• a\n ----x\n=== t ==\ta  b\n## t"
+    assert one(spark, "a\tb   c d", w.BLANK_RUN.guarded) == "a b c d"
+    headings = [r for r in w.ARTICLE_RULES["wiki_headers"] if r.needs]
+    assert [r.needs for r in headings] == [("=" * n,) for n in (6, 5, 4, 3, 2)]

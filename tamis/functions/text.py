@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -101,7 +102,7 @@ def edit_distance_ratio(a: Column, b: Column) -> Column:
 def edit_script_counts(a: str, b: str, few: int = 64) -> tuple[int, int]:
     """Deletions and insertions of a shortest edit script that substitutes as often as a shortest one can.
 
-    What the texts share at both ends is taken off.  Up to ``few`` edits the furthest places that can
+    What the texts share at both ends is taken off.  Up to ``few`` edits, more for long texts, the furthest places that can
     be reached are followed; beyond, rows of a band around the diagonal are computed, and the band
     grows until the distance fits.  Memory is that of the texts and a band.
     """
@@ -129,6 +130,7 @@ def _indels_by_reach(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
 
     For every number of edits and of insertions or deletions among them: the furthest place on each
     diagonal.  One edit more comes from the same diagonal (substitution) or from a neighbour.
+    Beyond ``most`` edits it goes on while places are fewer than two for each row of a band.
     """
     n, m = len(x), len(y)
     target = m - n
@@ -148,7 +150,11 @@ def _indels_by_reach(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
         return i
 
     before: list[dict[int, int]] = [{0: along(0, 0)}]
-    for edits in range(most + 1):
+    places = 0
+    for edits in count():
+        places += (edits + 1) ** 2
+        if edits > most and places > 2 * n:
+            return None
         if edits:
             now: list[dict[int, int]] = []
             for indels in range(edits + 1):
@@ -164,7 +170,6 @@ def _indels_by_reach(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
         for indels in range(abs(target), len(before)):
             if before[indels].get(target, -1) >= n:
                 return indels
-    return None
 
 
 def _indels_in_band(x: np.ndarray, y: np.ndarray, width: int) -> int | None:

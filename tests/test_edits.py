@@ -75,3 +75,15 @@ def test_ratio_through_all_bands(spark):
         tx.edit_distance(F.col("a"), F.col("b")).alias("d"), F.levenshtein("a", "b").alias("whole"), tx.edit_distance_ratio(F.col("a"), F.col("b")).alias("r"),
     ).collect()
     assert all(r["d"] == r["whole"] for r in got) and [r["r"] for r in got[4:]] == [0.0, 1.0, None, 3 / 7]
+
+
+def test_long_texts_follow_furthest_places_beyond_the_few(monkeypatch):
+    draw = random.Random(6)
+    a = "".join(draw.choices("abcdefgh ", k=40_000))
+    out = list(a)
+    for at in draw.sample(range(100, 39_900), 12):
+        out[at] = "#"
+    b = "".join(out) + "!"
+    wanted = tx.edit_script_counts(a, b, few=16)
+    monkeypatch.setattr(tx, "_indels_in_band", None)  # would fail if it were asked
+    assert tx.edit_script_counts(a, b, few=4) == wanted == (0, 1)

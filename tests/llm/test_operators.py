@@ -452,6 +452,21 @@ def test_votes_and_scores_equal_their_definition(docs, spark):
     assert curve == sorted(curve)
 
 
+def test_a_model_holds_names_in_arrow(spark):
+    """Before, names were a million strings and a dict with the driver, which kept their pages for the stages that follow."""
+    words = ["apple", "zebra", "\u00e9t\u00e9", "\uff41bc", "\U00010428\U00010429"]
+    texts = spark.createDataFrame([(i, " ".join(words[j] for j in range(5) if (i + 1) >> j & 1) or None) for i in range(31)] + [(31, "1 2")], "id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(32)], "id long, toxic int")
+    model = toxic_neighbours.fit(texts, marks)
+    assert "terms" not in vars(model.index) and len(model.index.ids) == 31
+    names = model.index.names.to_pylist()
+    assert names == sorted(names) and set(words) <= set(names) and "zebr*" in names
+    assert model.index.terms == {t: i for i, t in enumerate(names)} and model.index.names is None
+    assert model.index.weights({"apple": 2, "other": 1}).keys() == {names.index("apple")}
+    none = toxic_neighbours.fit(texts, marks.limit(0))
+    assert none.index.terms == {} and len(none.index.ids) == 0
+
+
 def test_toxicity_learns_from_every_labelled_text(docs, spark):
     # No term is over-represented enough to be raised, and yet copies of labelled texts find them.
     texts = [prose(i, 30) + f" only{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
